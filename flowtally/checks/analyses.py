@@ -19,12 +19,12 @@ from .registry import COSTS, LINES, MOVES, NATIONS, PRIORITIES, check, pivot_sql
 
 @check("A1", "O47", sql=f"WITH {LINES} SELECT dest, origin, sum(n) AS n FROM lines GROUP BY dest, origin")
 def route_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return Q.route_matrix(T.movements(spark, folder))
+    return Q.route_matrix(T.movement_lines(spark, folder))
 
 
 @check("A1", sql=f"WITH {LINES} SELECT dest, origin, sum(n) AS n FROM lines GROUP BY dest, origin HAVING sum(n) <> 0")
 def nonzero_routes(spark, folder):
-    return Q.nonzero_routes(T.movements(spark, folder))
+    return Q.nonzero_routes(T.movement_lines(spark, folder))
 
 
 TOP = f"""WITH {LINES},
@@ -40,12 +40,12 @@ TOP = f"""WITH {LINES},
 
 @check("A2", "O28", "O40", "O68", "O69", "O60", sql=TOP + " SELECT dest, origin, n FROM ranked")
 def top_routes(spark, folder):
-    return Q.top_routes(Q.route_matrix(T.movements(spark, folder)))
+    return Q.top_routes(Q.route_matrix(T.movement_lines(spark, folder)))
 
 
 @check("A2", "O66", sql=TOP + " SELECT dest, origin, n, rank_origin, rank_dest FROM ranked")
 def top_routes_ranked(spark, folder):
-    ranked = Q.ranked_top_routes(Q.route_matrix(T.movements(spark, folder)))
+    ranked = Q.ranked_top_routes(Q.route_matrix(T.movement_lines(spark, folder)))
     return ranked.select("dest", "origin", "n", "rank_origin", "rank_dest")
 
 
@@ -57,7 +57,7 @@ YEARLY_LONG = f"""WITH {LINES},
 
 @check("A3", "O54", "O74", sql=YEARLY_LONG + " SELECT year, dest, origin, n FROM cells WHERE n > 0")
 def yearly_returns_long(spark, folder):
-    return Q.yearly_returns_long(T.movements(spark, folder)).select("year", "dest", "origin", "n")
+    return Q.yearly_returns_long(T.movement_lines(spark, folder)).select("year", "dest", "origin", "n")
 
 
 YEARLY = YEARLY_LONG + f" SELECT year, dest, {pivot_sql('origin', 'n', NATIONS)} FROM cells WHERE n > 0 GROUP BY year, dest"
@@ -66,13 +66,13 @@ YEARLY = YEARLY_LONG + f" SELECT year, dest, {pivot_sql('origin', 'n', NATIONS)}
 @check("A3", "O18", "O67", "O73", "O75", sql=YEARLY)
 def yearly_returns(spark, folder):
     """Columns in the order of their totals, taken from the staged long cube."""
-    return Q.yearly_returns(T.movements(spark, folder))
+    return Q.yearly_returns(T.movement_lines(spark, folder))
 
 
 @check("A3", sql=YEARLY)
 def yearly_returns_fixed_columns(spark, folder):
     """Columns given up front: a single job over the tables."""
-    return Q.yearly_returns(T.movements(spark, folder), origins=NATIONS)
+    return Q.yearly_returns(T.movement_lines(spark, folder), origins=NATIONS)
 
 
 # An order without lines keeps its type but has no date, as in a full join on the id.
@@ -112,7 +112,7 @@ CONTRIBUTIONS = f"""WITH {LINES},
 
 @check("A6", "O46", sql=CONTRIBUTIONS + " SELECT year, payee, CAST(amount AS DOUBLE) AS amount FROM cells")
 def yearly_contributions_long(spark, folder):
-    long = Q.yearly_contributions_long(T.ledger(spark, folder))
+    long = Q.yearly_contributions_long(T.payments(spark, folder))
     return long.withColumn("amount", F.col("amount").cast("double"))
 
 
@@ -128,7 +128,7 @@ def yearly_contributions_long(spark, folder):
     ).replace(" END), 0)", " END), 0) AS DOUBLE)"),
 )
 def yearly_contributions(spark, folder):
-    return Q.yearly_contributions(T.ledger(spark, folder), payees=None)
+    return Q.yearly_contributions(T.payments(spark, folder), payees=None)
 
 
 @check("A7", "O41", "O61", "O62", sql=f"WITH {COSTS} SELECT op_id, dest, op_date, n, CAST(amount AS DOUBLE) AS amount, CAST(n_ops AS BIGINT) AS n_ops FROM costs")
@@ -241,14 +241,14 @@ def cube_axis_top(spark, folder):
 
 @check("A16", "O58", sql=f"WITH {LINES} SELECT DISTINCT dest FROM lines")
 def cube_options(spark, folder):
-    return Q.options(T.movements(spark, folder), "dest")
+    return Q.options(T.movement_lines(spark, folder), "dest")
 
 
 @check("A16", "O9", sql=YEARLY_LONG + """
   SELECT year, sum(n) AS total FROM cells WHERE dest = 'all destinations' GROUP BY year""")
 def published_cube_totals(spark, folder):
     """A consumer reads the written cube and totals its columns per row."""
-    path = write_cube(Q.yearly_returns(T.movements(spark, folder), NATIONS), new_folder(spark, "yearly-returns"))
+    path = write_cube(Q.yearly_returns(T.movement_lines(spark, folder), NATIONS), new_folder(spark, "yearly-returns"))
     slice_ = Q.cube_slice(read_cube(spark, path), F.col("dest") == Q.ALL_DESTINATIONS, "year", NATIONS)
     return slice_.groupBy("year").agg(F.max("total").alias("total"))
 
@@ -269,7 +269,7 @@ GRAPH = TOP + """,
 
 
 def _links(spark, folder):
-    ranked = Q.ranked_top_routes(Q.route_matrix(T.movements(spark, folder)))
+    ranked = Q.ranked_top_routes(Q.route_matrix(T.movement_lines(spark, folder)))
     links = G.links_from_routes(ranked)
     return links.withColumns({"source": F.concat(F.lit("from "), "source"), "target": F.concat(F.lit("to "), "target")})
 

@@ -12,16 +12,20 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 
 def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def strict_sum(c: Column | str) -> Column:
-    """Sum that is NULL as soon as one value of the group is NULL."""
+def strict_sum(c: Column | str, over: WindowSpec | None = None) -> Column:
+    """Sum that is NULL as soon as one value of the group, or of the window, is NULL."""
     c = as_col(c)
-    return F.when(F.count(c) == F.count(F.lit(1)), F.sum(c))
+    known, rows, total = F.count(c), F.count(F.lit(1)), F.sum(c)
+    if over is not None:
+        known, rows, total = known.over(over), rows.over(over), total.over(over)
+    return F.when(known == rows, total)
 
 
 def lenient_sum(c: Column | str) -> Column:

@@ -1,16 +1,19 @@
-"""Fill-down, row numbers and running sums in row order, without one task per group.
+"""Fill-down, row numbers and running sums in row order, without one task per large group.
 
-A plain window over a whole file or key puts that group into one task. Here rows
-are cut into chunks by their position, so a group of any size is spread out:
+A plain window over a file or a key puts that group into one task, however large it
+is. Here a group of more than `chunk` rows is cut into chunks by row position:
 
-1. one small row per chunk is made with a partial aggregate;
-2. the same scan runs over those rows (again chunked, until few are left), which
-   gives the value carried into each chunk;
-3. the carried value enters its chunk as an extra first row, and an ordinary
-   window runs inside the chunk.
+1. the largest groups are found by a count, which combines on the map side;
+2. each of their chunks gives one small row by a partial aggregate, and a window over
+   those rows, which are `chunk` times fewer, gives the value carried into each chunk;
+3. the carried value enters its chunk as an extra first row, and one window runs over
+   all rows, by chunk in large groups and by group in the others.
 
-No join is needed, and no task sees more than `chunk` rows of one group.
-The last order column must be an integer that is unique inside its group.
+The list of groups to cut is limited to the `LARGEST` ones, so it may be broadcast; any
+other group then has at most 1/LARGEST of all rows and needs no cutting. When no group
+is large, step 2 is empty and drops out at run time.
+
+The last order column must be an integer, unique inside its group.
 """
 
 from __future__ import annotations
@@ -22,9 +25,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .columns import quoted
+from .joins import join_on
 
-CHUNK = 100_000
-LEVELS = 2
+CHUNK = 1_000_000
+LARGEST = 20_000
 
 
 @dataclass(frozen=True)
@@ -42,61 +46,73 @@ LAST_VALUE = Scan(
 TOTAL = Scan(framed=F.sum, per_chunk=lambda c, position: F.sum(c))
 
 
+def _cut(df: DataFrame, position: str, by: Sequence[str], chunk: int) -> DataFrame:
+    """Add `__chunk`, NULL for groups that need no cutting."""
+    at = quoted(position)
+    if not by:
+        return df.withColumn("__chunk", F.expr(f"`{position}` div {chunk}"))
+    size = F.count(F.lit(1))
+    # positions a chunk spans so that it holds about `chunk` rows
+    width = F.ceil((F.max(at) - F.min(at) + 1) / F.ceil(size / chunk))
+    groups = df.groupBy(*by).agg(size.alias("__rows"), F.min(at).alias("__low"), width.alias("__width"))
+    large = groups.where(F.col("__rows") > chunk).orderBy(F.desc("__rows"), *by).limit(LARGEST).drop("__rows")
+    joined = join_on(df, F.broadcast(large), by)
+    return joined.withColumn("__chunk", F.expr(f"(`{position}` - __low) div __width")).drop("__low", "__width")
+
+
 def scan_rows(
     df: DataFrame,
     outputs: Mapping[str, tuple[str, Scan]],
     order: Sequence[str],
     by: Sequence[str] = (),
     chunk: int = CHUNK,
-    levels: int = LEVELS,
     before: bool = False,
 ) -> DataFrame:
     """Add `{new column: (column, scan)}`, each computed over the rows so far.
 
-    `before` leaves the current row out. `order` columns before the last split the
-    group further (file part, then line); they may be of any sortable type.
+    `before` leaves the current row out. `order` columns before the last come first in
+    the sort (part of a file, then line) and may be of any sortable type.
     """
     *prefix, position = order
     last_row = -1 if before else Window.currentRow
-    if levels == 0:
-        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, last_row)
-        return df.withColumns({out: s.framed(quoted(c)).over(w) for out, (c, s) in outputs.items()})
-
     used = {c: s for c, s in outputs.values()}
-    group = [*by, *prefix, "__chunk"]
-    cut = df.withColumn("__chunk", F.expr(f"floor(`{position}` / {chunk})"))
-    ends = cut.groupBy(*group).agg(*[s.per_chunk(quoted(c), quoted(position)).alias(c) for c, s in used.items()])
-    carried = scan_rows(
-        ends, {f"__in_{c}": (c, s) for c, s in used.items()}, [*prefix, "__chunk"], by, chunk, levels - 1, before=True
-    ).select(*group, *[quoted(f"__in_{c}").alias(c) for c in used], F.lit(True).alias("__carried"))
+
+    cut = _cut(df, position, by, chunk)
+    large = F.col("__chunk").isNotNull()
+    cut = cut.withColumns({f"__part_{p}": F.when(large, quoted(p)) for p in prefix})
+    parts = [*[f"__part_{p}" for p in prefix], "__chunk"]
+
+    ends = cut.where(large).groupBy(*by, *parts).agg(*[s.per_chunk(quoted(c), quoted(position)).alias(c) for c, s in used.items()])
+    above = Window.partitionBy(*by).orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(
+        *[quoted(b) for b in by],
+        *[quoted(p) for p in parts],
+        *[s.framed(quoted(c)).over(above).alias(c) for c, s in used.items()],
+        F.lit(True).alias("__carried"),
+    )
 
     seeded = cut.withColumn("__carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
-    w = (
-        Window.partitionBy(*group)
-        .orderBy(F.desc("__carried"), position)
+    so_far = (
+        Window.partitionBy(*by, *parts)
+        .orderBy(F.desc("__carried"), *order)
         .rowsBetween(Window.unboundedPreceding, last_row)
     )
-    scanned = seeded.withColumns({f"__out_{out}": s.framed(quoted(c)).over(w) for out, (c, s) in outputs.items()})
-    rest = [c for c in df.columns if c not in outputs]
-    kept = scanned.where(~F.col("__carried"))
-    columns = {c: quoted(c) for c in rest} | {out: quoted(f"__out_{out}") for out in outputs}
-    names = [*df.columns, *[o for o in outputs if o not in df.columns]]
-    return kept.select(*[columns[n].alias(n) for n in names])
+    scanned = seeded.withColumns({f"__out_{out}": s.framed(quoted(c)).over(so_far) for out, (c, s) in outputs.items()})
+    columns = {c: quoted(c) for c in df.columns} | {out: quoted(f"__out_{out}") for out in outputs}
+    return scanned.where(~F.col("__carried")).select(*[c.alias(name) for name, c in columns.items()])
 
 
 def fill_down(
-    df: DataFrame, columns: Sequence[str], order: Sequence[str], by: Sequence[str] = (), chunk: int = CHUNK, levels: int = LEVELS
+    df: DataFrame, columns: Sequence[str], order: Sequence[str], by: Sequence[str] = (), chunk: int = CHUNK
 ) -> DataFrame:
     """Each NULL takes the nearest value above it; leading NULLs stay."""
-    return scan_rows(df, {c: (c, LAST_VALUE) for c in columns}, order, by, chunk, levels)
+    return scan_rows(df, {c: (c, LAST_VALUE) for c in columns}, order, by, chunk)
 
 
-def number_rows(
-    df: DataFrame, out: str, order: Sequence[str], by: Sequence[str] = (), chunk: int = CHUNK, levels: int = LEVELS
-) -> DataFrame:
+def number_rows(df: DataFrame, out: str, order: Sequence[str], by: Sequence[str] = (), chunk: int = CHUNK) -> DataFrame:
     """Row number from 1 in row order, within each group of `by`."""
     one = df.withColumn("__one", F.lit(1).cast("long"))
-    return scan_rows(one, {out: ("__one", TOTAL)}, order, by, chunk, levels).drop("__one")
+    return scan_rows(one, {out: ("__one", TOTAL)}, order, by, chunk).drop("__one")
 
 
 def running_total(
@@ -106,8 +122,7 @@ def running_total(
     by: Sequence[str] = (),
     before: bool = False,
     chunk: int = CHUNK,
-    levels: int = LEVELS,
 ) -> DataFrame:
     """Running sums {new column: column}; with `before`, the sum of the rows above, 0 at the top."""
-    out = scan_rows(df, {o: (c, TOTAL) for o, c in columns.items()}, order, by, chunk, levels, before)
+    out = scan_rows(df, {o: (c, TOTAL) for o, c in columns.items()}, order, by, chunk, before)
     return out.withColumns({o: F.coalesce(quoted(o), F.lit(0)) for o in columns}) if before else out

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ..functions.nulls import ascending, descending, lenient_sum
 from .columns import numeric_columns, quoted
@@ -39,10 +40,13 @@ def with_grand_total(df: DataFrame, key: str, label: str) -> DataFrame:
     return both.withColumn(key, named).drop("__total")
 
 
-def with_group_total(df: DataFrame, by: Sequence[str], totals: Mapping[str, Column]) -> DataFrame:
-    """Put group aggregates on each row. For tables already aggregated to few rows per group."""
+def with_group_total(df: DataFrame, by: Sequence[str], totals: Mapping[str, Callable[[WindowSpec], Column]]) -> DataFrame:
+    """Put group aggregates, {new column: aggregate over a window}, on each row.
+
+    For tables already aggregated to few rows per group.
+    """
     w = Window.partitionBy(*by)
-    return df.withColumns({out: agg.over(w) for out, agg in totals.items()})
+    return df.withColumns({out: agg(w) for out, agg in totals.items()})
 
 
 def single_rows(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -62,12 +66,12 @@ def top_by(df: DataFrame, key: str, metric: Column, k: int, out: str = "total")
     return totals.orderBy(descending(out), ascending(key)).limit(k)
 
 
-def ordered_values(df: DataFrame, key: str, total: str, positive_only: bool = True) -> list:
-    """Values of `key` by falling total, as a list for column orders.
+def ordered_values(df: DataFrame, key: str, metric: Column, positive_only: bool = True) -> list:
+    """Values of `key` by falling aggregate, as a list for column orders.
 
     For keys that become columns, so there are few of them; more than 5000 is an error.
     """
-    sums = df.groupBy(key).agg(lenient_sum(total).alias("__total"))
+    sums = df.groupBy(key).agg(metric.alias("__total"))
     if positive_only:
         sums = sums.where(F.col("__total") > 0)
     rows = sums.orderBy(descending("__total"), ascending(key)).limit(5001).collect()

@@ -67,7 +67,7 @@ def yearly_returns(returnees: DataFrame, origins: Sequence[str] | None = None, l
     long = yearly_returns_long(returnees, label)
     if origins is None:
         long = staged(long, "yearly-returns")
-        origins = ordered_values(long.where(F.col("dest") == label), "origin", "n")
+        origins = ordered_values(long.where(F.col("dest") == label), "origin", lenient_sum("n"))
     wide = long_to_wide(long, ["year", "dest"], "origin", "n", origins, fill=0, unique=True)
     return wide.orderBy((F.col("dest") == label).desc(), "dest", "year")
 
@@ -103,7 +103,7 @@ def type_order(cube: DataFrame, levels: Sequence[str] = TYPE_LEVELS) -> list[str
     if all_known(present, "op_type", levels):
         there = {r[0] for r in present.select("op_type").collect()}
         return [v for v in levels if v in there]
-    return ordered_values(present, "op_type", "n", positive_only=False)
+    return ordered_values(present, "op_type", strict_sum("n"), positive_only=False)
 
 
 def yearly_types(ops: DataFrame, levels: Sequence[str] | None = None) -> DataFrame:
@@ -138,7 +138,7 @@ def yearly_contributions(
     long = yearly_contributions_long(ledger)
     if payees is None:
         long = staged(long, "yearly-contributions")
-        payees = ordered_values(long, "payee", "amount")
+        payees = ordered_values(long, "payee", lenient_sum("amount"))
     wide = long_to_wide(long, ["year"], "payee", "amount", payees, unique=True)
     wide = fill_columns(wide, payees, 0)
     names = F.explode(F.array(F.lit(label), *[F.lit(p) for p in payees])).alias("payee")

@@ -2,23 +2,37 @@
 
 An order is an operation, its customer's nation the origin, each line's supplier
 nation a destination, the quantity the number of people and the net price the
-money paid. Lines are summed to operation x destination *before* they meet the
-orders: a key that holds a large share of all lines then enters the join with at
-most one row per place. The order join comes last, so everything grouped by
-operation afterwards finds its rows already in the right partition.
+money paid. Two grains are offered:
+
+* by line, for cubes whose keys are few: the joins feed a partial aggregate, so
+  only group sums are shuffled after them and a skewed join partition can be split
+  at run time;
+* by operation and destination, for everything that works per operation: lines are
+  summed *before* they meet the orders, so a key with a large share of all lines
+  enters that join with at most one row per place. The order join comes last and
+  leaves the rows partitioned by operation for the aggregates that follow.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.nulls import strict_sum
 from ..functions.text import MONEY
 
 
+_schemas: dict[tuple[str, str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One of the tables; its schema is looked up once per session, not once per query."""
+    path = f"{folder}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def amount() -> Column:
@@ -47,12 +61,25 @@ def operation_headers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def lines_by_destination(spark: SparkSession, folder: str, *sums: Column) -> DataFrame:
-    """Given sums per order and destination."""
-    suppliers = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+def _suppliers(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+
+
+def movement_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """op_id, op_date, op_type, origin, dest, n: one row per line."""
+    lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("op_id"), "l_suppkey", F.col("l_quantity").alias("n"))
+    return (
+        lines.join(_suppliers(spark, folder), "l_suppkey")
+        .join(operation_headers(spark, folder), "op_id")
+        .join(_places(spark, folder, "s_nationkey", "dest"), "s_nationkey")
+        .select("op_id", "op_date", "op_type", "origin", "dest", "n")
+    )
+
+
+def _by_destination(spark: SparkSession, folder: str, *sums: Column) -> DataFrame:
     return (
         table(spark, folder, "lineitem")
-        .join(suppliers, "l_suppkey")
+        .join(_suppliers(spark, folder), "l_suppkey")
         .groupBy(F.col("l_orderkey").alias("op_id"), "s_nationkey")
         .agg(*sums)
     )
@@ -63,7 +90,7 @@ def movements(spark: SparkSession, folder: str) -> DataFrame:
 
     A missing quantity makes its row's `n` NULL, so sums above keep their NULL rule.
     """
-    per_place = lines_by_destination(spark, folder, strict_sum("l_quantity").alias("n"))
+    per_place = _by_destination(spark, folder, strict_sum("l_quantity").alias("n"))
     return (
         per_place.join(operation_headers(spark, folder), "op_id")
         .join(_places(spark, folder, "s_nationkey", "dest"), "s_nationkey")
@@ -71,22 +98,34 @@ def movements(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def ledger(spark: SparkSession, folder: str) -> DataFrame:
-    """op_id, year, payee, amount: one row per operation and payee (the supplier's nation)."""
-    per_place = lines_by_destination(spark, folder, F.sum(amount()).cast(MONEY).alias("amount"))
-    years = table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("op_id"), F.year("o_orderdate").alias("year")
+def _years(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "orders").select(F.col("o_orderkey").alias("op_id"), F.year("o_orderdate").alias("year"))
+
+
+def payments(spark: SparkSession, folder: str) -> DataFrame:
+    """op_id, year, payee, amount: one row per line, paid to the supplier's nation."""
+    return (
+        ledger_lines(spark, folder, "l_suppkey")
+        .join(_suppliers(spark, folder), "l_suppkey")
+        .join(_years(spark, folder), "op_id")
+        .join(_places(spark, folder, "s_nationkey", "payee"), "s_nationkey")
+        .select("op_id", "year", "payee", "amount")
     )
+
+
+def ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """op_id, year, payee, amount: one row per operation and payee."""
+    per_place = _by_destination(spark, folder, F.sum(amount()).cast(MONEY).alias("amount"))
     return (
-        per_place.join(years, "op_id")
+        per_place.join(_years(spark, folder), "op_id")
         .join(_places(spark, folder, "s_nationkey", "payee"), "s_nationkey")
         .select("op_id", "year", "payee", "amount")
     )
 
 
-def ledger_lines(spark: SparkSession, folder: str) -> DataFrame:
+def ledger_lines(spark: SparkSession, folder: str, *more: str) -> DataFrame:
     """op_id, amount per line, for uses that need no payee."""
-    return table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("op_id"), amount().alias("amount"))
+    return table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("op_id"), amount().alias("amount"), *more)
 
 
 def operation_types(spark: SparkSession, folder: str) -> DataFrame:
