@@ -8,25 +8,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .nulls import as_col
-from .text import last_chars, remove_first, trimmed
+from .text import last_chars, remove_first
 
-DAY_FIRST = ("d/M/y", "d-M-y", "d.M.y")
-YEAR_FIRST = ("y-M-d", "y/M/d")
+# Order of the parts in a text; between them stands anything but digits.
+DAY_FIRST = ("dmy",)
+YEAR_FIRST = ("ymd",)
+_SHAPES = {
+    "dmy": (r"^\D*(\d{1,2})\D+(\d{1,2})\D+(\d{4}|\d{2})(?!\d)", {"d": 1, "m": 2, "y": 3}),
+    "ymd": (r"^\D*(\d{4})\D+(\d{1,2})\D+(\d{1,2})(?!\d)", {"y": 1, "m": 2, "d": 3}),
+}
 
 
-def parse_date(c: Column | str, formats: Sequence[str] = DAY_FIRST + YEAR_FIRST) -> Column:
-    """First format that fits the text; NULL when none does.
+def parse_date(c: Column | str, orders: Sequence[str] = DAY_FIRST + YEAR_FIRST) -> Column:
+    """Date in the first order of parts that fits the text; NULL when none does.
 
-    Day-first formats only see texts that begin with at most two digits before the
-    separator, year-first ones only texts that begin with four, so that a lenient
-    parser never reads one as the other.
+    Words before the date are skipped, and any separators will do. Years of two digits
+    count as 1969-2068.
     """
-    text = trimmed(c)
-    out = []
-    for f in formats:
-        shape = r"^\d{4}\D" if f.startswith("y") else r"^\d{1,2}\D"
-        out.append(F.when(text.rlike(shape), F.try_to_date(text, f)))
-    return F.coalesce(*out)
+    text = as_col(c)
+    found = []
+    for order in orders:
+        pattern, at = _SHAPES[order]
+        part = {k: F.regexp_extract(text, pattern, i) for k, i in at.items()}
+        short = F.when(part["y"] <= "68", F.lit("20")).otherwise(F.lit("19"))
+        year = F.when(F.length(part["y"]) == 2, F.concat(short, part["y"])).otherwise(part["y"])
+        padded = F.concat(year, F.lit("-"), F.lpad(part["m"], 2, "0"), F.lit("-"), F.lpad(part["d"], 2, "0"))
+        found.append(F.try_to_date(padded, "yyyy-MM-dd"))
+    return F.coalesce(*found)
 
 
 def range_end(c: Column | str) -> Column:

@@ -101,9 +101,9 @@ def money_value(c: Column | str) -> Column:
 
 
 def display_amount(c: Column | str, digits: int = 0, currency: str = "€") -> Column:
-    """Number for display with '.' between thousands and ',' before decimals."""
+    """Number for display with '.' between thousands and ',' before decimals, ties away from 0."""
     value = as_col(c)
-    text = F.translate(F.format_number(F.abs(value), digits), ",.", ".,")
+    text = F.translate(F.format_number(F.round(F.abs(value), digits), digits), ",.", ".,")
     sign = F.when(value < 0, F.lit("-")).otherwise(F.lit(""))
     return F.concat(sign, F.lit(currency), text)
 
