@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import CHECKS, Check
 
-MODULES = ["analyses", "sources", "columns", "rows", "text"]
+MODULES = ["analyses", "sources", "columns", "rows", "text", "deliveries"]
 
 
 def all_checks() -> dict[str, Check]:

@@ -11,9 +11,6 @@ from ..sources import files as S
 from ..sources import tables as T
 from .registry import LINES, check
 
-ORDER_DATE = F.col("o_orderdate").cast("date")
-
-
 def _csv(df, spark, label, header=True):
     path = new_folder(spark, label)
     df.write.option("header", header).csv(path)
@@ -23,7 +20,7 @@ def _csv(df, spark, label, header=True):
 @check("O1", sql="""SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice,
     CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders""")
 def scan_typed(spark, folder):
-    orders = T.table(spark, folder, "orders").withColumn("o_orderdate", ORDER_DATE).drop("o_custkey")
+    orders = T.table(spark, folder, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date")).drop("o_custkey")
     schema = "o_orderkey bigint, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string"
     return S.read_typed(spark, _csv(orders, spark, "orders"), schema)
 

@@ -51,16 +51,16 @@ def names_pattern(text: str) -> str:
     return r"\Q" + text + r"\E"
 
 
-def tidy_returns(rows: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
+def tidy_returns(rows: DataFrame, order: Sequence[str] = ROW_ORDER, id_length: int = 8) -> DataFrame:
     """op_id, op_date, op_type, origin, dest, n from a table with continuation rows.
 
     Id, date and type are written once per operation and filled down among the data
     rows. Where the page break merged date and type into the id cell, they are cut out
-    of its tail first.
+    of its tail first: ids have `id_length` characters, the rest follows after a blank.
     """
     merged = F.col("date_type").isNull() & F.col("op_id").isNotNull()
-    date_type = strict_if(merged, between_positions("op_id", 10, 23), F.col("date_type"))
-    op_id = strict_if(F.length("op_id") > 8, between_positions("op_id", 1, 8), F.col("op_id"))
+    date_type = strict_if(merged, between_positions("op_id", id_length + 2, id_length + 15), F.col("date_type"))
+    op_id = strict_if(F.length("op_id") > id_length, between_positions("op_id", 1, id_length), F.col("op_id"))
     cut = data_rows(rows).withColumns({"date_type": date_type, "op_id": op_id})
     split = cut.withColumns(
         {"op_date": between_positions("date_type", 1, 10), "op_type": between_positions("date_type", 12, 14)}
@@ -81,13 +81,13 @@ def shifted_returns(rows: DataFrame, overflow: str = "overflow") -> DataFrame:
     return rows.where(number_value("n").isNull() & number_value(overflow).isNotNull() & F.col("origin").isNotNull())
 
 
-def subtotal_differences(rows: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
+def subtotal_differences(rows: DataFrame, order: Sequence[str] = ROW_ORDER, id_length: int = 8) -> DataFrame:
     """Operations whose delivered subtotal is not the sum of their rows."""
     subtotal = rows.where(matches("op_id", names_pattern(SUBTOTAL))).select(
-        between_positions("op_id", 1, 8).alias("op_id"), number_value("n").alias("stated")
+        between_positions("op_id", 1, id_length).alias("op_id"), number_value("n").alias("stated")
     )
     stated = subtotal.groupBy("op_id").agg(F.sum("stated").alias("stated"))
-    summed = tidy_returns(rows, order).groupBy("op_id").agg(F.sum("n").alias("summed"))
+    summed = tidy_returns(rows, order, id_length).groupBy("op_id").agg(F.sum("n").alias("summed"))
     both = join_on(summed, stated, "op_id", "full")
     return both.where(~F.col("summed").eqNullSafe(F.col("stated")))
 
