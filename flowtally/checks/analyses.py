@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.nulls import lenient_sum
-from ..operators.columns import quoted
+from ..functions.names import operation_type_2022
+from ..operators.reshape import union_by_name
 from ..plans import costs as C
 from ..plans import cubes as Q
 from ..plans import flow as G
-from ..session import staged
+from ..plans.publish import publish
+from ..session import new_folder, staged
 from ..sources import tables as T
 from ..sources.files import read_cube, write_cube
-from ..session import new_folder
 from .registry import COSTS, LINES, MOVES, NATIONS, PRIORITIES, check, pivot_sql
 
 
@@ -323,3 +323,52 @@ def flow_adjacency(spark, folder):
         F.aggregate("links.value", F.lit(0.0), lambda a, x: a + x).alias("value"),
         F.array_join(F.transform("links.other", lambda x: x.cast("string")), ",").alias("others"),
     )
+
+
+SIZES = COSTS + """,
+  yearly AS (SELECT year, dest FROM moves GROUP BY ALL),
+  types AS (SELECT DISTINCT year(op_date) AS year FROM moves FULL JOIN orders ON op_id = o_orderkey),
+  sums AS (SELECT dest, sum(n) AS n FROM costs GROUP BY 1 HAVING sum(n) >= 10)
+  SELECT 'N_RETURNEES_MSNAME_DEST_new' AS cube, count(*) AS n_rows FROM (SELECT DISTINCT dest, origin FROM moves)
+  UNION ALL SELECT 'N_RETURNEES_MSNAME_DEST_ROUTES_MIN_15_new', count(*) FROM (SELECT DISTINCT dest, origin FROM moves
+    WHERE dest IN (SELECT dest FROM moves GROUP BY 1 ORDER BY sum(n) DESC, 1 LIMIT 15)
+      AND origin IN (SELECT origin FROM moves GROUP BY 1 ORDER BY sum(n) DESC, 1 LIMIT 15))
+  UNION ALL SELECT 'N_RETURNEES_YEARS_MSNAME_new', count(*) + count(DISTINCT year) FROM yearly
+  UNION ALL SELECT 'OPTYPE_YEAR_new', 2 * count(*) FROM types
+  UNION ALL SELECT 'FX_CONTRIB_YEARS_MSNAME_new', count(DISTINCT year) * (1 + count(DISTINCT dest)) FROM yearly
+  UNION ALL SELECT 'CONTRIB_PP_BY_DEST_new', least(26, count(*) + 1) FROM sums
+  UNION ALL SELECT 'average_per_year', count(DISTINCT year) FROM costs
+  UNION ALL SELECT 'average_per_year_dest', count(DISTINCT (year, dest)) FROM costs
+  UNION ALL SELECT 'averages_omitted', count(DISTINCT year) FROM moves"""
+
+
+@check("O7", "O10", sql=f"WITH {SIZES}")
+def published_cubes(spark, folder):
+    """The whole publishing job; the result counts the rows of every written cube."""
+    paths = publish(
+        T.movements(spark, folder),
+        T.operation_types(spark, folder),
+        T.ledger(spark, folder),
+        T.countries(spark, folder),
+        new_folder(spark, "published"),
+    )
+    counts = [read_cube(spark, p).agg(F.lit(name).alias("cube"), F.count(F.lit(1)).alias("n_rows")) for name, p in paths.items()]
+    return union_by_name(*counts)
+
+
+@check("A4", "O81", sql=f"""WITH {MOVES}, per_op AS (
+      SELECT op_id, op_date, CASE WHEN op_id % 6 <> 0 THEN op_type ELSE 'unknown' END AS op_type, sum(n) AS n FROM moves GROUP BY ALL)
+    SELECT CAST(year(op_date) AS INTEGER) AS year, op_type, sum(n) AS people, count(*) AS operations FROM per_op GROUP BY ALL""")
+def yearly_types_older_rule(spark, folder):
+    """Types as part of the movements, missing ones unknown."""
+    moves = T.movements(spark, folder)
+    gappy = moves.withColumn("op_type", F.when(F.col("op_id") % 6 != 0, F.col("op_type")))
+    return Q.yearly_types_long(gappy.withColumn("op_type", operation_type_2022("op_type"))).drop("known_people")
+
+
+@check("A6", "O24", "O25", sql=CONTRIBUTIONS.replace("FROM lines", "FROM lines WHERE dest <> 'NATION_9' AND amount > 0")
+       + " SELECT year, payee, CAST(amount AS DOUBLE) AS amount FROM cells")
+def yearly_contributions_older_rule(spark, folder):
+    payments = T.payments(spark, folder).withColumn("payee", F.when(F.col("payee") != "NATION_9", F.col("payee")))
+    long = Q.yearly_contributions_long(Q.paid_contributions(payments))
+    return long.withColumn("amount", F.col("amount").cast("double"))

@@ -90,6 +90,8 @@ RANKING_RELABELS = {"Congo, The Democratic Republic Of The": "Congo DR"}
 # Operation types in display order.
 TYPE_LEVELS = ["JRO", "JRO (FRONTEX-RO)", "FRONTEX-RO", "NRO", "CRO", "VRD", "Humanitarian VR", "VDO"]
 
+TYPE_LEVELS_2022 = ["JRO", "CRO", "NRO", "VDO", "VRD", "FRONTEX-RO", "Humanitarian VR", "unknown"]
+
 # State spellings in the 2006-18 sheets (case-insensitive but for UK and N/A).
 STATES_2006 = [("(?i)fronte", "Frontex"), ("UK", "United Kingdom"), ("(?i)taly", "Italy"), ("(?i)embourg", "Luxembourg")]
 STATE_SUFFIXES_2006 = [("(?i)observer", r" \(observer\)"), ("(?i)ombudsman", r" \(Ombudsman\)")]
@@ -144,3 +146,8 @@ def operation_type(op_type: Column | str, op_id: Column | str) -> Column:
         .when(matches(op_id, "VRD"), F.lit("VRD"))
         .otherwise(F.lit("unknown"))
     )
+
+
+def operation_type_2022(op_type: Column | str, op_id: Column | str | None = None) -> Column:
+    """Older rule: any missing type is 'unknown', others stay as delivered."""
+    return F.coalesce(as_col(op_type), F.lit("unknown"))

@@ -86,13 +86,18 @@ def operation_key(year: Column, number: Column, prefix: str = "RO-") -> Column:
 
 
 def number_value(c: Column | str) -> Column:
-    """Text to double; anything that is not a number becomes NULL."""
-    return trimmed(c).try_cast("double")
+    """Text to double; anything that is not a number becomes NULL.
+
+    The cast ignores blanks and line ends around the number, but would also take the
+    Java suffixes of '12f' or '12d'.
+    """
+    c = as_col(c)
+    return F.when(~c.rlike(r"[dDfF]\s*$"), c.try_cast("double"))
 
 
 def amount_value(c: Column | str) -> Column:
     """Text to an exact amount of money; anything that is not a number becomes NULL."""
-    return trimmed(c).try_cast(MONEY)
+    return as_col(c).try_cast(MONEY)
 
 
 def money_value(c: Column | str) -> Column:

@@ -72,14 +72,15 @@ def yearly_returns(returnees: DataFrame, origins: Sequence[str] | None = None, l
     return wide.orderBy((F.col("dest") == label).desc(), "dest", "year")
 
 
-def operations(types: DataFrame, returnees: DataFrame, null_safe: bool = True) -> DataFrame:
+def operations(types: DataFrame, returnees: DataFrame, null_safe: bool = True, rule=operation_type) -> DataFrame:
     """Movements with their type, full joined on the operation id alone.
 
     Dates differ between the two deliveries, so the types' own dates are not used.
+    `rule(op_type, op_id)` names missing types.
     """
     known = types.select("op_id", "op_type")
     joined = join_on(returnees.drop("op_type"), known, "op_id", "full", null_safe)
-    return joined.withColumn("op_type", operation_type("op_type", "op_id"))
+    return joined.withColumn("op_type", rule("op_type", "op_id"))
 
 
 def yearly_types_long(ops: DataFrame) -> DataFrame:
@@ -123,6 +124,11 @@ def yearly_types(ops: DataFrame, levels: Sequence[str] | None = None) -> DataFra
     return wide.orderBy(ascending("year"), "key")
 
 
+def paid_contributions(payments: DataFrame) -> DataFrame:
+    """Older rule: payments above 0 with a known payee."""
+    return payments.where(F.col("payee").isNotNull() & (F.col("amount") > 0))
+
+
 def yearly_contributions_long(ledger: DataFrame) -> DataFrame:
     """year, payee, amount."""
     return ledger.groupBy("year", "payee").agg(lenient_sum("amount").alias("amount"))

@@ -63,14 +63,14 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
 
 def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast text columns; what does not fit becomes NULL."""
-    return df.withColumns({c: trimmed(quoted(c)).try_cast(t) for c, t in types.items()})
+    return df.withColumns({c: quoted(c).try_cast(t) for c, t in types.items()})
 
 
 def unfit_rows(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Quarantine: rows in which some text does not fit its declared type."""
     bad = F.lit(False)
     for c, t in types.items():
-        bad = bad | (quoted(c).isNotNull() & trimmed(quoted(c)).try_cast(t).isNull())
+        bad = bad | (quoted(c).isNotNull() & quoted(c).try_cast(t).isNull())
     return df.where(bad)
 
 
