@@ -74,8 +74,8 @@ def unfit_rows(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.where(bad)
 
 
-def year_from_path(pattern: str = r"(\d{4})(?=[^/\d]*(?:\.csv|/)[^/]*$)") -> Column:
-    """Delivery year written in a file's or its folder's name."""
+def year_from_path(pattern: str = r"(?<!\d)((?:19|20)\d{2})(?!\d)[^/]*$") -> Column:
+    """Delivery year written in a file's name, or where else the pattern's group finds it."""
     return F.regexp_extract(F.col("src_file"), pattern, 1).try_cast("int")
 
 
