@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import operation_type_2022
+from ..functions.names import RANKING_SYNONYMS_2021, operation_type_2022
 from ..operators.reshape import union_by_name
 from ..plans import costs as C
 from ..plans import cubes as Q
@@ -14,7 +14,7 @@ from ..plans.publish import publish
 from ..session import new_folder, staged
 from ..sources import tables as T
 from ..sources.files import read_cube, write_cube
-from .registry import COSTS, LINES, MOVES, NATIONS, PRIORITIES, check, pivot_sql
+from .registry import AMOUNT, COSTS, LINES, MOVES, NATIONS, PRIORITIES, check, pivot_sql
 
 
 @check("A1", "O47", sql=f"WITH {LINES} SELECT dest, origin, sum(n) AS n FROM lines GROUP BY dest, origin")
@@ -88,7 +88,8 @@ TYPES = f"""WITH {MOVES},
 
 def _operations(spark, folder):
     # order ids are never NULL, so the plain key keeps the movements' partitioning
-    return Q.operations(T.operation_types(spark, folder), T.movements(spark, folder), null_safe=False)
+    totals = Q.operation_totals(T.movements(spark, folder, origin=False))
+    return Q.operations(T.operation_types(spark, folder), totals, null_safe=False)
 
 
 @check("A4", "O39", "O50", "O48", sql=TYPES + " SELECT year, op_type, people, operations FROM cube")
@@ -122,13 +123,14 @@ def yearly_contributions_long(spark, folder):
   grid AS (
     SELECT year, payee AS key, amount, 'all EU member states' AS payee FROM cells
     UNION ALL SELECT year, payee, amount, payee FROM cells
-    UNION ALL SELECT y.year, p.payee, 0, p.payee FROM (SELECT DISTINCT year FROM cells) y, (SELECT DISTINCT payee FROM cells) p)
+    UNION ALL SELECT y.year, p.payee, 0, p.payee FROM (SELECT DISTINCT year FROM cells) y, (SELECT n_name AS payee FROM nation) p)
   SELECT year, payee, {pivot_sql('key', 'CAST(amount AS DECIMAL(38,4))', NATIONS)} FROM grid GROUP BY year, payee""".replace(
         "coalesce(sum(", "CAST(coalesce(sum("
     ).replace(" END), 0)", " END), 0) AS DOUBLE)"),
 )
 def yearly_contributions(spark, folder):
-    return Q.yearly_contributions(T.payments(spark, folder), payees=None)
+    """Columns given up front, so that a nation without payments has one too."""
+    return Q.yearly_contributions(T.payments(spark, folder), payees=NATIONS)
 
 
 @check("A7", "O41", "O61", "O62", sql=f"WITH {COSTS} SELECT op_id, dest, op_date, n, CAST(amount AS DOUBLE) AS amount, CAST(n_ops AS BIGINT) AS n_ops FROM costs")
@@ -137,20 +139,40 @@ def operation_costs(spark, folder):
 
 
 def _costs(spark, folder):
-    return C.operation_costs(T.movements(spark, folder), T.ledger_lines(spark, folder), null_safe=False)
+    return C.operation_costs(T.movements(spark, folder, origin=False), T.ledger_lines(spark, folder), null_safe=False)
 
 
-@check(
-    "A7", "O35", "O81",
-    sql=f"""WITH {MOVES},
+RECORDS = f"""WITH {MOVES},
   single AS (SELECT op_id, min(dest) AS dest, sum(n) AS n FROM moves GROUP BY op_id HAVING count(*) = 1),
-  pay AS (SELECT op_id, dest AS payee, sum(amount) AS amount FROM lines GROUP BY ALL)
-  SELECT op_id, dest, n, CAST(coalesce(amount, 0) AS DOUBLE) AS amount FROM single LEFT JOIN pay USING (op_id)""",
-)
+  pay AS (SELECT l_orderkey AS op_id, {AMOUNT} AS amount FROM lineitem WHERE l_orderkey % 7 <> 0),
+  every AS (SELECT s.op_id, dest, n, coalesce(amount, 0) AS amount FROM single s LEFT JOIN pay ON s.op_id = pay.op_id)"""
+
+
+def _costs_by_record(spark, folder):
+    payments = T.ledger_lines(spark, folder).where(F.col("op_id") % 7 != 0)
+    return C.operation_costs_by_record(T.movements(spark, folder, origin=False), payments, null_safe=False)
+
+
+@check("A7", "O35", "O81", sql=RECORDS + """ SELECT op_id, dest, sum(n) AS n, CAST(sum(amount) AS DOUBLE) AS amount, count(*) AS payments
+    FROM every GROUP BY op_id, dest""")
 def operation_costs_by_record(spark, folder):
-    """The older rule, with the records and payment rows as delivered."""
-    out = C.operation_costs_by_record(T.movements(spark, folder), T.ledger(spark, folder), null_safe=False)
-    return out.select("op_id", "dest", "n", F.col("amount").cast("double").alias("amount"))
+    """The older rule; every seventh operation has no payment at all."""
+    out = _costs_by_record(spark, folder)
+    return out.select("op_id", "dest", "n", F.col("amount").cast("double").alias("amount"), "payments")
+
+
+@check("A8", sql=RECORDS + """,
+  ranked AS (SELECT CASE WHEN grouping(dest) = 1 THEN 'average across all destinations' ELSE dest END AS dest, sum(n) AS n,
+             CAST(sum(amount) AS DOUBLE) AS amount FROM every GROUP BY ROLLUP (dest))
+  SELECT r.dest, n, amount, amount / n AS per_person,
+         CASE WHEN n_nationkey IS NULL THEN '' ELSE 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') END AS iso
+  FROM ranked r LEFT JOIN nation ON r.dest = n_name WHERE n >= 10 ORDER BY per_person DESC, r.dest LIMIT 26""")
+def cost_per_person_older_rule(spark, folder):
+    label = "average across all destinations"
+    ranking = C.cost_per_person(
+        _costs_by_record(spark, folder), T.countries(spark, folder), label=label, label_iso="", synonyms=RANKING_SYNONYMS_2021
+    )
+    return ranking.withColumn("amount", F.col("amount").cast("double"))
 
 
 RANKING = f"""WITH {COSTS},
@@ -192,12 +214,12 @@ LEFT_OUT = f"""WITH {COSTS}
 
 @check("A11", "O49", "O57", sql=LEFT_OUT % ("= 2", "= 2"))
 def share_left_out(spark, folder):
-    return C.share_left_out(T.movements(spark, folder))
+    return C.share_left_out(T.movements(spark, folder, origin=False))
 
 
 @check("A11", sql=LEFT_OUT % ("> 1", "> 1"))
 def share_left_out_any(spark, folder):
-    return C.share_left_out(T.movements(spark, folder), exactly=None)
+    return C.share_left_out(T.movements(spark, folder, origin=False), exactly=None)
 
 
 @check("O10", "O7", sql=f"""WITH {COSTS}
@@ -361,7 +383,7 @@ def published_cubes(spark, folder):
     SELECT CAST(year(op_date) AS INTEGER) AS year, op_type, sum(n) AS people, count(*) AS operations FROM per_op GROUP BY ALL""")
 def yearly_types_older_rule(spark, folder):
     """Types as part of the movements, missing ones unknown."""
-    moves = T.movements(spark, folder)
+    moves = T.movements(spark, folder, origin=False)
     gappy = moves.withColumn("op_type", F.when(F.col("op_id") % 6 != 0, F.col("op_type")))
     return Q.yearly_types_long(gappy.withColumn("op_type", operation_type_2022("op_type"))).drop("known_people")
 

@@ -270,7 +270,7 @@ def counts(spark, folder):
 @check("O50", "O51", sql=f"""WITH {MOVES}, o AS (SELECT op_id, op_date, op_type, sum(n) AS n FROM moves GROUP BY ALL)
     SELECT op_type, sum(n) AS n, count(*) AS operations, max(n) AS largest FROM o GROUP BY 1""")
 def two_level_aggregate(spark, folder):
-    ops = T.movements(spark, folder).groupBy("op_id", "op_date", "op_type").agg(lenient_sum("n").alias("n"))
+    ops = T.movements(spark, folder, origin=False).groupBy("op_id", "op_date", "op_type").agg(lenient_sum("n").alias("n"))
     return ops.groupBy("op_type").agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("operations"), F.max("n").alias("largest")
     )
@@ -326,7 +326,7 @@ def partition_totals(spark, folder):
 @check("O61", sql=f"WITH {MOVES} SELECT op_id, dest, n, count(*) OVER (PARTITION BY op_id, op_date) AS n_dest FROM moves")
 def partition_sizes(spark, folder):
     """Number of destinations on each row of an operation, at most one row per place."""
-    moves = T.movements(spark, folder)
+    moves = T.movements(spark, folder, origin=False)
     return A.with_group_total(moves, ["op_id", "op_date"], {"n_dest": lambda w: F.count(F.lit(1)).over(w)}).select("op_id", "dest", "n", "n_dest")
 
 
@@ -454,7 +454,8 @@ def value_ranks(spark, folder):
     SELECT op_type, CAST(row_number() OVER (ORDER BY n DESC NULLS LAST, op_type) AS INTEGER) AS level FROM t""")
 def type_order_by_total(spark, folder):
     """No fixed order covers these types, so they are ranked by their totals, unknown ones by name."""
-    ops = Q.operations(T.operation_types(spark, folder), T.movements(spark, folder), null_safe=False)
+    totals = Q.operation_totals(T.movements(spark, folder, origin=False))
+    ops = Q.operations(T.operation_types(spark, folder), totals, null_safe=False)
     cube = staged(Q.yearly_types_long(ops), "types")
     order = Q.type_order(cube)
     return A.ranked_values(cube.select("op_type").distinct(), "op_type", order, "level")

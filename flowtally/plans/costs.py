@@ -36,17 +36,18 @@ def operation_costs(returnees: DataFrame, ledger: DataFrame, floor: float = 10,
 
 
 def operation_costs_by_record(records: DataFrame, payments: DataFrame, key: str = "op_id", null_safe: bool = True) -> DataFrame:
-    """Older rule: operations that appear in exactly one record, with every payment row.
+    """Older rule: operations that appear in exactly one record, with all their payment rows.
 
-    Several payment rows of one operation repeat its record. A missing payment is 0,
-    records without a destination are left out, and there is no floor per operation.
+    A record counts its people once for every payment row, so `n` is multiplied by their
+    number, `payments`; that gives the sums of a row-by-row join without its fan-out, and
+    an operation with very many payments is summed before the join. Missing payments are
+    0, records without a destination are left out, and there is no floor per operation.
     """
-    single = single_rows(records.select(key, "dest", "n"), [key])
-    return (
-        join_on(single, payments.select(key, "amount"), key, "left", null_safe)
-        .withColumn("amount", F.coalesce("amount", F.lit(0)))
-        .where(F.col("dest").isNotNull())
-    )
+    single = single_rows(records.select(key, "dest", "n"), [key]).where(F.col("dest").isNotNull())
+    paid = payments.groupBy(key).agg(lenient_sum("amount").alias("amount"), F.count(F.lit(1)).alias("payments"))
+    joined = join_on(single, paid, key, "left", null_safe)
+    times = F.coalesce("payments", F.lit(1))
+    return joined.withColumns({"n": F.col("n") * times, "amount": F.coalesce("amount", F.lit(0)), "payments": times})
 
 
 def combined_costs(*parts: DataFrame) -> DataFrame:
@@ -69,7 +70,7 @@ def cost_per_person(
     unless `label_iso` is given.
     """
     ranked = (
-        with_grand_total(costs.drop("op_id", "op_date"), "dest", label)
+        with_grand_total(costs.drop("op_id", "op_date", "payments"), "dest", label)
         .withColumn("per_person", ratio("amount", "n"))
         .withColumn("dest", apply_rules("dest", [], RANKING_RELABELS))
         .where(F.col("n") >= floor)

@@ -83,13 +83,23 @@ def operations(types: DataFrame, returnees: DataFrame, null_safe: bool = True, r
     return joined.withColumn("op_type", rule("op_type", "op_id"))
 
 
+def operation_totals(returnees: DataFrame) -> DataFrame:
+    """op_id, op_date, n, known_n: movements summed per operation, for `operations`.
+
+    Summing before the full join sends one row per operation through it. `known_n` is
+    NULL where a count is missing.
+    """
+    return returnees.groupBy("op_id", "op_date").agg(lenient_sum("n").alias("n"), strict_sum("n").alias("known_n"))
+
+
 def yearly_types_long(ops: DataFrame) -> DataFrame:
     """year, op_type, people, operations; one operation is one id on one date.
 
     `known_people` is NULL where a count is missing; it orders the types.
     """
+    known = "known_n" if "known_n" in ops.columns else "n"
     per_operation = ops.groupBy("op_id", "op_date", "op_type").agg(
-        lenient_sum("n").alias("n"), strict_sum("n").alias("known_n")
+        lenient_sum("n").alias("n"), strict_sum(known).alias("known_n")
     )
     return per_operation.groupBy(F.year("op_date").alias("year"), "op_type").agg(
         lenient_sum("n").alias("people"),

@@ -38,7 +38,7 @@ def published(returnees: DataFrame, types: DataFrame, ledger: DataFrame, countri
     ledger = staged(ledger, "ledger")
     costs = staged(C.operation_costs(returnees, ledger), "operation-costs")
     matrix = staged(Q.route_matrix(returnees), "routes")
-    ops = Q.operations(types, returnees)
+    ops = Q.operations(types, Q.operation_totals(returnees))
     ranking = C.cost_per_person(costs, countries).withColumn("amount", F.col("amount").cast("double"))
     return {
         ROUTES: rename(matrix.orderBy("dest", "origin"), ROUTE_NAMES),

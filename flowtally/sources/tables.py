@@ -45,14 +45,16 @@ def _places(spark: SparkSession, folder: str, key: str, name: str) -> DataFrame:
     return table(spark, folder, "nation").select(F.col("n_nationkey").alias(key), F.col("n_name").alias(name))
 
 
-def operation_headers(spark: SparkSession, folder: str) -> DataFrame:
-    """op_id, op_date, op_type, origin: one row per order."""
+def operation_headers(spark: SparkSession, folder: str, origin: bool = True) -> DataFrame:
+    """op_id, op_date, op_type, origin: one row per order. Without `origin`, no customer is looked up."""
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("op_id"),
         F.col("o_orderdate").cast("date").alias("op_date"),
         F.col("o_orderpriority").alias("op_type"),
         "o_custkey",
     )
+    if not origin:
+        return orders.drop("o_custkey")
     customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     return (
         orders.join(customers, "o_custkey")
@@ -85,16 +87,18 @@ def _by_destination(spark: SparkSession, folder: str, *sums: Column) -> DataFram
     )
 
 
-def movements(spark: SparkSession, folder: str) -> DataFrame:
+def movements(spark: SparkSession, folder: str, origin: bool = True) -> DataFrame:
     """op_id, op_date, op_type, origin, dest, n: one row per operation and destination.
 
     A missing quantity makes its row's `n` NULL, so sums above keep their NULL rule.
+    Analyses that never look at the origin leave it out and save the customer join.
     """
     per_place = _by_destination(spark, folder, strict_sum("l_quantity").alias("n"))
+    columns = ["op_id", "op_date", "op_type", *(["origin"] if origin else []), "dest", "n"]
     return (
-        per_place.join(operation_headers(spark, folder), "op_id")
+        per_place.join(operation_headers(spark, folder, origin), "op_id")
         .join(_places(spark, folder, "s_nationkey", "dest"), "s_nationkey")
-        .select("op_id", "op_date", "op_type", "origin", "dest", "n")
+        .select(*columns)
     )
 
 

@@ -82,6 +82,7 @@ def test_types_without_operations_have_no_year(returnees, types):
     wide = Q.yearly_types(ops)
     # not all types are in the fixed order; a missing count makes a total unknown, which sorts last by name
     assert wide.columns == ["year", "key", "NRO", "JRO", "VRD", "unknown"]
+    assert Q.yearly_types(Q.operations(types, Q.operation_totals(returnees))).columns == wide.columns
     known = Q.yearly_types(Q.operations(types, returnees.where("op_id in ('R1', 'R2', 'R3')")))
     assert known.columns == ["year", "key", "JRO", "NRO", "VRD"]
 
@@ -108,11 +109,11 @@ def test_share_left_out(returnees):
     assert [tuple(r) for r in C.share_left_out(returnees).collect()] == [(2019, 2, 4, 0.5), (2020, 0, 3, 0.0)]
 
 
-def test_older_costs_repeat_records_for_every_payment(spark):
+def test_older_costs_count_a_record_once_per_payment(spark):
     records = spark.createDataFrame([("A", "X", 5.0), ("B", "X", 1.0), ("B", "Y", 1.0), ("C", None, 2.0), ("D", "Y", 4.0)], "op_id string, dest string, n double")
     payments = spark.createDataFrame([("A", 1.0), ("A", 2.0), ("B", 9.0)], "op_id string, amount double")
     out = C.operation_costs_by_record(records, payments)
-    assert sorted(tuple(r) for r in out.collect()) == [("A", "X", 5.0, 1.0), ("A", "X", 5.0, 2.0), ("D", "Y", 4.0, 0.0)]
+    assert sorted(tuple(r) for r in out.collect()) == [("A", "X", 10.0, 3.0, 2), ("D", "Y", 4.0, 0.0, 1)]
 
 
 def test_stack_bounds(returnees):
