@@ -343,17 +343,21 @@ def _parts(spark, folder):
     )
     # one operation per date, as the layout needs it
     first = T.operation_headers(spark, folder).where(F.year("op_date") == 1995).groupBy("op_date").agg(_id(F.min("op_id")).alias("op_id"))
-    numbered = _with_totals(raw.where(year.between(1996, 1998))).withColumn("number", F.when(head, F.concat(key, F.lit(" (JRO)"))))
-    keyed = _with_totals(raw.where(year == 1999)).withColumn("op_id", F.when(head, F.concat(F.lit("RO-1999-"), key)))
-    own = raw.where(year == 2000).withColumns({"number": F.when(head, key), "op_date": _day("op_date", "yyyy-MM-dd")})
+    layout = F.when(year <= 1998, F.lit(L.NUMBERED)).when(year == 1999, F.lit(L.KEYED)).otherwise(F.lit(L.OWN_DATES))
+    merged = union_by_name(_with_totals(raw.where(year.between(1996, 1999))), raw.where(year == 2000)).withColumns(
+        {
+            "layout": layout,
+            "number": F.when(head & (year <= 1998), F.concat(key, F.lit(" (JRO)"))).when(head & (year == 2000), key),
+            "op_id": F.when(head & (year == 1999), F.concat(F.lit("RO-1999-"), key)),
+            "op_date": F.when(year == 2000, _day("op_date", "yyyy-MM-dd")),
+        }
+    )
     later = raw.where(year >= 2001).withColumns({"op_date": _day("op_date"), "op_id": F.concat(F.lit("RO-"), key)})
     code = F.when(F.col("nation") == 4, F.lit("FX")).otherwise(F.concat(F.lit("N"), F.lpad(F.col("nation").cast("string"), 2, "0")))
     drop = ["op_date", "op_id"]
     return {
         "dated": L.dated_ledger(dated.drop(*drop), first, lands, order),
-        "numbered": L.numbered_ledger(numbered.drop(*drop), lands, order),
-        "keyed": L.keyed_ledger(keyed.drop("op_date"), lands, order),
-        "own": L.dated_numbered_ledger(own.drop("op_id"), lands, order),
+        "merged": L.merged_ledger(merged, lands, order),
         "named": L.named_ledger(later.where(F.col("src_row") % 2 == 0).withColumn("payee", F.initcap("payee")), lands),
         "coded": L.coded_ledger(later.where(F.col("src_row") % 2 == 1).drop("payee").withColumn("iso", code), lands),
     }
@@ -381,7 +385,7 @@ LEDGER = f"""WITH {MOVES},
 
 @check("A5", "O3", "O4", "O5", "O29", "O31", "O37", "O42", "O43", "O71", "O88", "O90", sql=LEDGER + " SELECT * FROM whole")
 def whole_ledger(spark, folder):
-    """Five layouts that end in one ledger; the sixth keeps names as delivered, see below."""
+    """All layouts that end in one ledger but the one that keeps names as delivered, see below."""
     parts = _parts(spark, folder)
     out = L.whole_ledger(*[v for k, v in parts.items() if k != "named"])
     return out.withColumn("amount", F.col("amount").cast("double"))

@@ -13,7 +13,9 @@ The list of groups to cut is limited to the `LARGEST` ones, so it may be broadca
 other group then has at most 1/LARGEST of all rows and needs no cutting. When no group
 is large, step 2 is empty and drops out at run time.
 
-The last order column must be an integer, unique inside its group.
+The last order column must be an integer, unique inside its group. The input is read up
+to three times, so it should be a file scan or a written table (`session.staged`), in
+particular when one scan follows another.
 """
 
 from __future__ import annotations

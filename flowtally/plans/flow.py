@@ -32,7 +32,7 @@ def nodes(links: DataFrame) -> DataFrame:
         F.struct(F.col("source").alias("name"), (F.col("position") * 2).alias("used")),
         F.struct(F.col("target").alias("name"), (F.col("position") * 2 + 1).alias("used")),
     )
-    first = links.select(F.inline(ends)).groupBy("name").agg(F.min("used").alias("used"))
+    first = staged(links.select(F.inline(ends)).groupBy("name").agg(F.min("used").alias("used")), "flow-nodes")
     numbered = number_rows(first, "node", ["used"])
     return numbered.select("name", (F.col("node") - 1).alias("node"))
 
@@ -84,8 +84,10 @@ def link_offsets(indexed: DataFrame) -> DataFrame:
     """Start of each link on both its nodes: the value of the links drawn before it.
 
     On the source side links lie in the order of their targets, and the other way round.
+    Running totals read their input more than once, so it is written first.
     """
-    out = running_total(indexed, {"source_offset": "value"}, ["target_node"], ["source_node"], before=True)
+    links = staged(indexed, "flow-links")
+    out = staged(running_total(links, {"source_offset": "value"}, ["target_node"], ["source_node"], before=True), "flow-links")
     return running_total(out, {"target_offset": "value"}, ["source_node"], ["target_node"], before=True)
 
 
@@ -98,7 +100,7 @@ def adjacency(indexed: DataFrame, per_row: int = 1000) -> DataFrame:
         F.struct(F.col("source_node").alias("node"), F.lit("out").alias("side"), F.col("target_node").alias("other")),
         F.struct(F.col("target_node").alias("node"), F.lit("in").alias("side"), F.col("source_node").alias("other")),
     )
-    ends = indexed.select("position", "value", F.inline(sides))
+    ends = staged(indexed.select("position", "value", F.inline(sides)), "flow-ends")
     numbered = number_rows(ends, "at", ["position"], ["node", "side"])
     pieces = numbered.groupBy("node", "side", F.expr(f"int((at - 1) div {per_row})").alias("part"))
     lists = pieces.agg(F.sort_array(F.collect_list(F.struct("position", "other", "value"))).alias("links"))
@@ -107,6 +109,7 @@ def adjacency(indexed: DataFrame, per_row: int = 1000) -> DataFrame:
 
 def flow_graph(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(nodes with number, value and level; links with numbers and offsets)."""
-    numbered = nodes(links)
+    links = staged(links, "links")
+    numbered = staged(nodes(links), "flow-nodes")
     described = join_on(join_on(numbered, throughput(links), "name", null_safe=False), node_levels(links), "name", null_safe=False)
     return described, link_offsets(indexed_links(links, numbered))

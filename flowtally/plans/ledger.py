@@ -1,9 +1,10 @@
-"""One contribution ledger from deliveries in four layouts.
+"""One contribution ledger from deliveries in several layouts.
 
 Raw rows carry `year` (of the delivery), `src_file`, `src_block`, `src_row` and text
 columns as named below. Every layout ends as op_id, op_date, year, payee, iso, amount.
 
-Merged cells are filled down inside their file only.
+Merged cells are filled down inside their file only. Fill-down reads its input more
+than once, so rows should come from a written table.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from ..operators.ordered import fill_down
 from ..operators.reshape import union_by_name
 from ..sources.files import ROW_ORDER
 
+NUMBERED, KEYED, OWN_DATES = "numbered", "keyed", "own dates"
 LEDGER = ["op_id", "op_date", "year", "payee", "iso", "amount"]
 
 
@@ -56,32 +58,49 @@ def dated_ledger(rows: DataFrame, operations: DataFrame, countries: DataFrame, o
     return _cleaned(found, countries)
 
 
+def merged_ledger(rows: DataFrame, countries: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
+    """Rows of the layouts with merged ids, told apart by `layout`, in one pass.
+
+    * NUMBERED `number, payee, n_escorts, amount`: a number within the year, maybe with text after it;
+    * KEYED `op_id, payee, n_escorts, amount`: the full id;
+    * OWN_DATES `number, payee, op_date, amount`: a number, and a date on every row.
+    """
+    missing = [c for c in ("number", "op_id", "op_date") if c not in rows.columns]
+    rows = rows.withColumns({c: F.lit(None).cast("string") for c in missing})
+    own = F.col("layout") == OWN_DATES
+    read = rows.withColumns(
+        {
+            "number": F.when(own, F.col("number")).when(F.col("layout") == NUMBERED, leading_digits("number")),
+            "op_id": F.when(F.col("layout") == KEYED, F.col("op_id")),
+        }
+    )
+    filled = fill_down(read, ["number", "op_id"], order, ["src_file"])
+    built = operation_key(F.col("year"), F.col("number"))
+    keyed = filled.select(
+        "layout",
+        F.when(F.col("layout") == KEYED, F.col("op_id")).otherwise(built).alias("op_id"),
+        F.when(own, parse_date("op_date", YEAR_FIRST)).alias("op_date"),
+        "year",
+        F.col("payee").alias("written"),
+        F.when(own, names.payee_2016("payee")).otherwise(names.payee("payee")).alias("payee"),
+        amount_value("amount").alias("amount"),
+    ).where(F.col("written").isNotNull() & (F.col("amount") > 0))
+    usable = ~is_one_of("written", names.TOTAL_LABELS) & ~is_one_of("payee", names.UNUSABLE_PAYEES)
+    usable_own = ~matches("payee", names.UNUSABLE_PAYEE_PATTERN_2016) & ~is_one_of("payee", names.UNUSABLE_PAYEES_2016)
+    kept = keyed.where(F.when(own, usable_own).otherwise(usable))
+    return _with_code(kept, countries).select(*LEDGER)
+
+
 def numbered_ledger(rows: DataFrame, countries: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
-    """Layout `number, payee, n_escorts, amount`: merged operation numbers within a year."""
-    filled = fill_down(rows.withColumn("number", leading_digits("number")), ["number"], order, ["src_file"])
-    keyed = filled.withColumn("op_id", operation_key(F.col("year"), F.col("number")))
-    return _cleaned(keyed.withColumn("op_date", F.lit(None).cast("date")), countries)
+    return merged_ledger(rows.withColumn("layout", F.lit(NUMBERED)), countries, order)
 
 
 def keyed_ledger(rows: DataFrame, countries: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
-    """Layout `op_id, payee, n_escorts, amount`: merged full ids."""
-    filled = fill_down(rows, ["op_id"], order, ["src_file"])
-    return _cleaned(filled.withColumn("op_date", F.lit(None).cast("date")), countries)
+    return merged_ledger(rows.withColumn("layout", F.lit(KEYED)), countries, order)
 
 
 def dated_numbered_ledger(rows: DataFrame, countries: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
-    """Layout `number, payee, op_date, amount`: merged numbers, own dates."""
-    filled = fill_down(rows, ["number"], order, ["src_file"])
-    keyed = filled.select(
-        operation_key(F.col("year"), F.col("number")).alias("op_id"),
-        parse_date("op_date", YEAR_FIRST).alias("op_date"),
-        "year",
-        names.payee_2016("payee").alias("payee"),
-        amount_value("amount").alias("amount"),
-    )
-    coded = _with_code(keyed, countries).where(F.col("amount") > 0)
-    named = ~matches("payee", names.UNUSABLE_PAYEE_PATTERN_2016) & ~is_one_of("payee", names.UNUSABLE_PAYEES_2016)
-    return coded.where(F.col("payee").isNotNull() & named).select(*LEDGER)
+    return merged_ledger(rows.withColumn("layout", F.lit(OWN_DATES)), countries, order)
 
 
 def named_ledger(rows: DataFrame, countries: DataFrame) -> DataFrame:
