@@ -14,27 +14,19 @@ from .text import last_chars, remove_first
 DAY_FIRST = ("dmy",)
 YEAR_FIRST = ("ymd",)
 _SHAPES = {
-    "dmy": (r"^\D*(\d{1,2})\D+(\d{1,2})\D+(\d{4}|\d{2})(?!\d)", {"d": 1, "m": 2, "y": 3}),
-    "ymd": (r"^\D*(\d{4})\D+(\d{1,2})\D+(\d{1,2})(?!\d)", {"y": 1, "m": 2, "d": 3}),
+    "dmy": (r"(?s)^\D*(\d{1,2})\D+(\d{1,2})\D+(\d{4})(?!\d).*$", "@$3-$2-$1"),
+    "ymd": (r"(?s)^\D*(\d{4})\D+(\d{1,2})\D+(\d{1,2})(?!\d).*$", "@$1-$2-$3"),
 }
 
 
 def parse_date(c: Column | str, orders: Sequence[str] = DAY_FIRST + YEAR_FIRST) -> Column:
     """Date in the first order of parts that fits the text; NULL when none does.
 
-    Words before the date are skipped, and any separators will do. Years of two digits
-    count as 1969-2068.
+    Words before the date are skipped, and any separators will do.
     """
-    text = as_col(c)
-    found = []
-    for order in orders:
-        pattern, at = _SHAPES[order]
-        part = {k: F.regexp_extract(text, pattern, i) for k, i in at.items()}
-        short = F.when(part["y"] <= "68", F.lit("20")).otherwise(F.lit("19"))
-        year = F.when(F.length(part["y"]) == 2, F.concat(short, part["y"])).otherwise(part["y"])
-        padded = F.concat(year, F.lit("-"), F.lpad(part["m"], 2, "0"), F.lit("-"), F.lpad(part["d"], 2, "0"))
-        found.append(F.try_to_date(padded, "yyyy-MM-dd"))
-    return F.coalesce(*found)
+    # the mark in front is there only if the shape fitted
+    texts = [F.regexp_replace(as_col(c), *_SHAPES[order]) for order in orders]
+    return F.coalesce(*[F.try_to_date(t, "'@'yyyy-M-d") for t in texts])
 
 
 def range_end(c: Column | str) -> Column:

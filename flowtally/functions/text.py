@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -113,6 +113,11 @@ def display_amount(c: Column | str, digits: int = 0, currency: str = "€") -> C
     return F.concat(sign, F.lit(currency), text)
 
 
+def computed_once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """Use a costly expression several times but work it out once per row."""
+    return F.element_at(F.transform(F.array(c), use), 1)
+
+
 def apply_rules(
     c: Column | str,
     rules: Sequence[tuple[str, str | None]],
@@ -123,7 +128,12 @@ def apply_rules(
 
     A text that meets no rule, and NULL, stay as they are. A rule may map to NULL.
     """
-    c = as_col(c)
+    if isinstance(c, Column):
+        return computed_once(c, lambda value: _first_rule(value, rules, exact, ignore_case))
+    return _first_rule(as_col(c), rules, exact, ignore_case)
+
+
+def _first_rule(c: Column, rules, exact, ignore_case) -> Column:
     cases = [(matches(c, pattern, ignore_case), to) for pattern, to in rules]
     cases += [(c == name, to) for name, to in (exact or {}).items()]
     if not cases:

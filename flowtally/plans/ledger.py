@@ -21,9 +21,10 @@ from ..functions.text import amount_value, leading_digits, operation_key, replac
 from ..operators.joins import join_on, with_lookup
 from ..operators.ordered import fill_down
 from ..operators.reshape import union_by_name
+from ..session import staged
 from ..sources.files import ROW_ORDER
 
-NUMBERED, KEYED, OWN_DATES = "numbered", "keyed", "own dates"
+DATED, NUMBERED, KEYED, OWN_DATES = "dated", "numbered", "keyed", "own dates"
 LEDGER = ["op_id", "op_date", "year", "payee", "iso", "amount"]
 
 
@@ -32,19 +33,31 @@ def country_codes(countries: DataFrame) -> DataFrame:
     return countries.select(replace_patterns("name", names.COUNTRY_SYNONYMS).alias("name"), "iso")
 
 
-def _with_code(df: DataFrame, countries: DataFrame) -> DataFrame:
-    coded = with_lookup(df, "payee", country_codes(countries), "name", {"iso": "iso"})
+def payee_table(rows: DataFrame, countries: DataFrame) -> DataFrame:
+    """written, own_dates, payee, iso for every spelling of a usable payee in the rows.
+
+    Names are cleaned once per spelling instead of once per row. The table is written, so
+    that Spark knows its size and can pick the join for it.
+    """
+    own = F.col("own_dates")
+    spellings = rows.select(F.col("payee").alias("written"), (F.col("layout") == OWN_DATES).alias("own_dates"))
+    named = (
+        spellings.where(F.col("written").isNotNull())
+        .distinct()
+        .withColumn("payee", F.when(own, names.payee_2016("written")).otherwise(names.payee("written")))
+    )
+    usable = ~is_one_of("written", names.TOTAL_LABELS) & ~is_one_of("payee", names.UNUSABLE_PAYEES)
+    usable_own = ~matches("payee", names.UNUSABLE_PAYEE_PATTERN_2016) & ~is_one_of("payee", names.UNUSABLE_PAYEES_2016)
+    coded = with_lookup(named.where(F.when(own, usable_own).otherwise(usable)), "payee", country_codes(countries), "name", {"iso": "iso"})
     iso = strict_if(F.col("payee") == names.AGENCY, F.lit(names.AGENCY_CODE), F.col("iso"))
-    return coded.withColumn("iso", iso)
+    return staged(coded.select("written", "own_dates", "payee", iso.alias("iso")), "payees")
 
 
-def _cleaned(df: DataFrame, countries: DataFrame) -> DataFrame:
-    """Amounts above 0 with a usable payee, cleaned and coded."""
-    usable = df.withColumn("amount", amount_value("amount")).where(
-        F.col("payee").isNotNull() & (F.col("amount") > 0) & ~is_one_of("payee", names.TOTAL_LABELS)
-    )
-    named = usable.withColumn("payee", names.payee("payee")).where(~is_one_of("payee", names.UNUSABLE_PAYEES))
-    return _with_code(named, countries).select(*LEDGER)
+def _with_payee(rows: DataFrame, payees: DataFrame) -> DataFrame:
+    """Rows with an amount above 0 and a usable payee, cleaned and coded."""
+    paid = rows.withColumn("amount", amount_value("amount")).where(F.col("amount") > 0)
+    keyed = paid.withColumnsRenamed({"payee": "written"}).withColumn("own_dates", F.col("layout") == OWN_DATES)
+    return join_on(keyed, payees, ["written", "own_dates"], "inner", null_safe=False).select(*LEDGER)
 
 
 def dated_ledger(rows: DataFrame, operations: DataFrame, countries: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
@@ -53,9 +66,10 @@ def dated_ledger(rows: DataFrame, operations: DataFrame, countries: DataFrame, o
     The operation is found by its date in `operations(op_id, op_date)`. Two operations
     on one date both take the row, so that table should hold one per date.
     """
+    rows = rows.withColumn("layout", F.lit(DATED))
     dated = fill_down(rows.withColumn("op_date", range_end("info")), ["op_date"], order, ["src_file"])
     found = join_on(dated, operations.select("op_date", "op_id"), "op_date")
-    return _cleaned(found, countries)
+    return _with_payee(found, payee_table(rows, countries))
 
 
 def merged_ledger(rows: DataFrame, countries: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
@@ -76,19 +90,13 @@ def merged_ledger(rows: DataFrame, countries: DataFrame, order: Sequence[str] =
     )
     filled = fill_down(read, ["number", "op_id"], order, ["src_file"])
     built = operation_key(F.col("year"), F.col("number"))
-    keyed = filled.select(
-        "layout",
-        F.when(F.col("layout") == KEYED, F.col("op_id")).otherwise(built).alias("op_id"),
-        F.when(own, parse_date("op_date", YEAR_FIRST)).alias("op_date"),
-        "year",
-        F.col("payee").alias("written"),
-        F.when(own, names.payee_2016("payee")).otherwise(names.payee("payee")).alias("payee"),
-        amount_value("amount").alias("amount"),
-    ).where(F.col("written").isNotNull() & (F.col("amount") > 0))
-    usable = ~is_one_of("written", names.TOTAL_LABELS) & ~is_one_of("payee", names.UNUSABLE_PAYEES)
-    usable_own = ~matches("payee", names.UNUSABLE_PAYEE_PATTERN_2016) & ~is_one_of("payee", names.UNUSABLE_PAYEES_2016)
-    kept = keyed.where(F.when(own, usable_own).otherwise(usable))
-    return _with_code(kept, countries).select(*LEDGER)
+    keyed = filled.withColumns(
+        {
+            "op_id": F.when(F.col("layout") == KEYED, F.col("op_id")).otherwise(built),
+            "op_date": F.when(own, parse_date("op_date", YEAR_FIRST)),
+        }
+    )
+    return _with_payee(keyed, payee_table(rows, countries))
 
 
 def numbered_ledger(rows: DataFrame, countries: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:

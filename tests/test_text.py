@@ -69,8 +69,9 @@ def test_rules_first_match_then_exact_then_unchanged(spark):
 
 def test_dates(spark):
     day = datetime.date(2008, 2, 1)
-    assert apply(spark, D.parse_date, "01/02/2008", "2008-02-01", "1.2.2008", "on 1-2-08", "2008-02-01T00:00:00Z") == [day] * 5
-    assert apply(spark, D.parse_date, "31/02/2008", "none", "", None, "12345") == [None] * 5
+    assert apply(spark, D.parse_date, "01/02/2008", "2008-02-01", "1.2.2008", "on 1-2-2008", "2008-02-01T00:00:00Z") == [day] * 5
+    assert apply(spark, D.parse_date, "31/02/2008", "none", "", None, "12345", "1/2/20081", "@2008-x") == [None] * 7
+    assert apply(spark, lambda c: D.parse_date(c, D.DAY_FIRST), "2008-02-01", "01/02/2008") == [None, day]
 
 
 def test_date_range_end(spark):
