@@ -333,6 +333,7 @@ def _name_countries(spark, folder) -> DataFrame:
 
 
 def _parts(spark, folder):
+    """Layout -> function that reads its rows."""
     raw, lands = _payments(spark, folder), _name_countries(spark, folder)
     head, order = F.col("head"), ["src_row"]
     key = F.col("op_id").cast("string")
@@ -356,10 +357,10 @@ def _parts(spark, folder):
     code = F.when(F.col("nation") == 4, F.lit("FX")).otherwise(F.concat(F.lit("N"), F.lpad(F.col("nation").cast("string"), 2, "0")))
     drop = ["op_date", "op_id"]
     return {
-        "dated": L.dated_ledger(dated.drop(*drop), first, lands, order),
-        "merged": L.merged_ledger(merged, lands, order),
-        "named": L.named_ledger(later.where(F.col("src_row") % 2 == 0).withColumn("payee", F.initcap("payee")), lands),
-        "coded": L.coded_ledger(later.where(F.col("src_row") % 2 == 1).drop("payee").withColumn("iso", code), lands),
+        "dated": lambda: L.dated_ledger(dated.drop(*drop), first, lands, order),
+        "merged": lambda: L.merged_ledger(merged, lands, order),
+        "named": lambda: L.named_ledger(later.where(F.col("src_row") % 2 == 0).withColumn("payee", F.initcap("payee")), lands),
+        "coded": lambda: L.coded_ledger(later.where(F.col("src_row") % 2 == 1).drop("payee").withColumn("iso", code), lands),
     }
 
 
@@ -387,7 +388,7 @@ LEDGER = f"""WITH {MOVES},
 def whole_ledger(spark, folder):
     """All layouts that end in one ledger but the one that keeps names as delivered, see below."""
     parts = _parts(spark, folder)
-    out = L.whole_ledger(*[v for k, v in parts.items() if k != "named"])
+    out = L.whole_ledger(*[part() for name, part in parts.items() if name != "named"])
     return out.withColumn("amount", F.col("amount").cast("double"))
 
 
@@ -401,4 +402,4 @@ def whole_ledger(spark, folder):
     FROM pay WHERE k % 2 = 0""")
 def named_ledger(spark, folder):
     """Names and amounts are kept as delivered, codes found where the name is a country's."""
-    return _parts(spark, folder)["named"].withColumn("amount", F.col("amount").cast("double"))
+    return _parts(spark, folder)["named"]().withColumn("amount", F.col("amount").cast("double"))

@@ -119,9 +119,12 @@ def load_catalog(spark: SparkSession, folder: str, ending: str = ".csv", exclude
     return out
 
 
-def write_cube(df: DataFrame, path: str, form: str = "parquet") -> str:
-    """Write a cube as Parquet, or as CSV with a header line."""
-    writer = df.write
+def write_cube(df: DataFrame, path: str, form: str = "parquet", by: Sequence[str] = ()) -> str:
+    """Write a table as Parquet, or as CSV with a header line.
+
+    `by` lays it out in folders, e.g. by year, so that readers open only those they need.
+    """
+    writer = df.write.partitionBy(*by) if by else df.write
     if form == "csv":
         writer = writer.option("header", True)
     writer.format(form).save(path)

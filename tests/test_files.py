@@ -70,6 +70,14 @@ def test_cubes_can_be_written_and_read(spark, tmp_path):
     assert S.read_typed(spark, S.write_cube(cube, str(tmp_path / "c"), "csv"), "k string, v double").collect() == cube.collect()
 
 
+def test_tables_laid_out_by_year_are_pruned(spark, tmp_path):
+    facts = spark.range(10).selectExpr("id", "int(2000 + id % 3) AS year")
+    path = S.write_cube(facts, str(tmp_path / "facts"), by=["year"])
+    one = S.read_cube(spark, path).where("year = 2001")
+    assert sorted(r.id for r in one.collect()) == [1, 4, 7]
+    assert "PartitionFilters: [isnotnull(year" in one._jdf.queryExecution().executedPlan().toString()
+
+
 def test_staging_uses_the_named_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or staging_folder(spark) == named
