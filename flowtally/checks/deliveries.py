@@ -7,6 +7,8 @@ values back. The SQL states those values directly from the tables.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -194,7 +196,7 @@ def staff_and_costs(spark, folder):
 @check("A14", "O26", "O71", "O92", sql=f"""WITH {HEADS} SELECT {TIDY_ID} AS op_id, op_date,
     CASE WHEN op_id % 6 <> 0 THEN CAST(op_id % 4 AS DOUBLE) END AS n_staff FROM heads""")
 def representatives(spark, folder):
-    ops = T.operation_headers(spark, folder)
+    ops = T.operation_headers(spark, folder, origin=False)
     rows = ops.select(
         _id(F.col("op_id")).alias("op_id"),
         _day("op_date").alias("op_date"),
@@ -295,7 +297,7 @@ def sheet_destinations(spark, folder):
 
 def _payments(spark, folder) -> DataFrame:
     """Ledger rows with the payee written in several ways, plus what must be dropped."""
-    rows = T.ledger(spark, folder).join(T.operation_headers(spark, folder).select("op_id", "op_date"), "op_id")
+    rows = T.ledger(spark, folder).join(T.operation_headers(spark, folder, origin=False).select("op_id", "op_date"), "op_id")
     rows = rows.withColumn("k", _number("payee"))
     rows = with_group_total(rows, ["op_id"], {"first": lambda w: F.min("k").over(w)})  # one row per place
     written = (
@@ -343,7 +345,7 @@ def _parts(spark, folder):
         "info", F.when(head, F.concat(F.lit("JRO to somewhere "), _day("op_date", "dd"), F.lit("-"), _day("op_date")))
     )
     # one operation per date, as the layout needs it
-    first = T.operation_headers(spark, folder).where(F.year("op_date") == 1995).groupBy("op_date").agg(_id(F.min("op_id")).alias("op_id"))
+    first = T.operation_headers(spark, folder, origin=False).where(F.year("op_date") == 1995).groupBy("op_date").agg(_id(F.min("op_id")).alias("op_id"))
     layout = F.when(year <= 1998, F.lit(L.NUMBERED)).when(year == 1999, F.lit(L.KEYED)).otherwise(F.lit(L.OWN_DATES))
     merged = union_by_name(_with_totals(raw.where(year.between(1996, 1999))), raw.where(year == 2000)).withColumns(
         {
@@ -356,9 +358,15 @@ def _parts(spark, folder):
     later = raw.where(year >= 2001).withColumns({"op_date": _day("op_date"), "op_id": F.concat(F.lit("RO-"), key)})
     code = F.when(F.col("nation") == 4, F.lit("FX")).otherwise(F.concat(F.lit("N"), F.lpad(F.col("nation").cast("string"), 2, "0")))
     drop = ["op_date", "op_id"]
+
+    def spellings() -> DataFrame:
+        both = union_by_name(dated.select("payee", F.lit(L.DATED).alias("layout")), merged.select("payee", "layout"))
+        return L.payee_table(both, lands)
+
+    known = cache(spellings)
     return {
-        "dated": lambda: L.dated_ledger(dated.drop(*drop), first, lands, order),
-        "merged": lambda: L.merged_ledger(merged, lands, order),
+        "dated": lambda: L.dated_ledger(dated.drop(*drop), first, lands, order, known()),
+        "merged": lambda: L.merged_ledger(merged, lands, order, known()),
         "named": lambda: L.named_ledger(later.where(F.col("src_row") % 2 == 0).withColumn("payee", F.initcap("payee")), lands),
         "coded": lambda: L.coded_ledger(later.where(F.col("src_row") % 2 == 1).drop("payee").withColumn("iso", code), lands),
     }

@@ -60,19 +60,28 @@ def _with_payee(rows: DataFrame, payees: DataFrame) -> DataFrame:
     return join_on(keyed, payees, ["written", "own_dates"], "inner", null_safe=False).select(*LEDGER)
 
 
-def dated_ledger(rows: DataFrame, operations: DataFrame, countries: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
+def dated_ledger(
+    rows: DataFrame,
+    operations: DataFrame,
+    countries: DataFrame,
+    order: Sequence[str] = ROW_ORDER,
+    payees: DataFrame | None = None,
+) -> DataFrame:
     """Layout `info, payee, amount`: a date range closes the merged info text.
 
     The operation is found by its date in `operations(op_id, op_date)`. Two operations
-    on one date both take the row, so that table should hold one per date.
+    on one date both take the row, so that table should hold one per date. `payees` is a
+    ready `payee_table`, for several layouts read together.
     """
     rows = rows.withColumn("layout", F.lit(DATED))
     dated = fill_down(rows.withColumn("op_date", range_end("info")), ["op_date"], order, ["src_file"])
     found = join_on(dated, operations.select("op_date", "op_id"), "op_date")
-    return _with_payee(found, payee_table(rows, countries))
+    return _with_payee(found, payees if payees is not None else payee_table(rows, countries))
 
 
-def merged_ledger(rows: DataFrame, countries: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
+def merged_ledger(
+    rows: DataFrame, countries: DataFrame, order: Sequence[str] = ROW_ORDER, payees: DataFrame | None = None
+) -> DataFrame:
     """Rows of the layouts with merged ids, told apart by `layout`, in one pass.
 
     * NUMBERED `number, payee, n_escorts, amount`: a number within the year, maybe with text after it;
@@ -96,7 +105,7 @@ def merged_ledger(rows: DataFrame, countries: DataFrame, order: Sequence[str] =
             "op_date": F.when(own, parse_date("op_date", YEAR_FIRST)),
         }
     )
-    return _with_payee(keyed, payee_table(rows, countries))
+    return _with_payee(keyed, payees if payees is not None else payee_table(rows, countries))
 
 
 def numbered_ledger(rows: DataFrame, countries: DataFrame, order: Sequence[str] = ROW_ORDER) -> DataFrame:
