@@ -24,7 +24,7 @@ from ..operators import totals as A
 from ..plans import cubes as Q
 from ..session import staged
 from ..sources import tables as T
-from .registry import LINES, MOVES, NATIONS, PRIORITIES, check, pivot_sql
+from .registry import LINES, MOVES, PRIORITIES, check
 
 
 def _orders(spark, folder):

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import lenient_sum
-from ..operators.columns import quoted
 from ..operators.joins import join_on
 from ..operators.ordered import number_rows, running_total
 from ..session import staged
