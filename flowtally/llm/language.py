@@ -33,6 +33,7 @@ from .common import column, fold
 
 UNKNOWN = "und"
 LONGEST = 5
+LONGEST_WORD = 64  # longer ones take no part in fitting; texts are scored with all their words
 _WORDS = regex.compile(r"[\p{L}\p{M}]+")
 _LETTER = regex.compile(r"\p{L}")
 _CACHE = 300_000
@@ -75,7 +76,8 @@ def _sampled(rows: DataFrame, counts: list, sample: int) -> DataFrame:
 
 def gram_counts(rows: DataFrame) -> DataFrame:
     """(lang, level, gram, n): word counts at level 0, n-gram counts at the levels 1 to 5."""
-    words = rows.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}\p{M}]+")).alias("gram")).where("gram != ''")
+    words = rows.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}\p{M}]+")).alias("gram"))
+    words = words.where((F.col("gram") != "") & (F.length("gram") <= LONGEST_WORD))
     words = words.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
     padded = F.concat(F.lit(" "), F.col("gram"), F.lit(" "))
     runs = words.select("lang", "n", padded.alias("padded"), F.explode(F.sequence(F.lit(1), F.lit(LONGEST))).alias("level"))

@@ -58,16 +58,21 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def with_shingles(rows: DataFrame, width: int) -> DataFrame:
-    """Add `hashes`, xxhash64 of each run of `width` of the `words`, by the hashes of the words.
+def with_shingles(rows: DataFrame, width: int, listed: list[int] | None = None) -> DataFrame:
+    """One row per run of `width` of the `words`: `at` and `hash`, built from the words' hashes.
 
-    Each step is a column of its own, so that it is worked out once per row and not once
-    per shingle.
+    With `listed`, only runs with these hashes. The word hashes are a column of their own and
+    the rows come from an outer generator, so that Spark neither works them out once per run
+    nor repeats the whole expression in a filter below; rows without a run are dropped after.
     """
-    rows = rows.withColumn("word_hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    rows = rows.withColumn("__hashes", F.transform("words", lambda w: F.xxhash64(w)))
     places = F.when(F.size("words") >= width, F.sequence(F.lit(0), F.size("words") - width)).otherwise(F.array().cast("array<int>"))
-    run = [lambda i, j=j: F.get("word_hashes", i + j) for j in range(width)]
-    return rows.withColumn("hashes", F.transform(places, lambda i: F.xxhash64(*[at(i) for at in run]))).drop("word_hashes")
+    run = [lambda i, j=j: F.get("__hashes", i + j) for j in range(width)]
+    found = F.transform(places, lambda i: F.struct(i.alias("at"), F.xxhash64(*[at(i) for at in run]).alias("hash")))
+    if listed is not None:
+        found = F.filter(found, lambda x: x["hash"].isin(listed)) if listed else F.filter(found, lambda x: F.lit(False))
+    rows = rows.withColumn("__run", F.explode_outer(found)).where("__run.hash IS NOT NULL")
+    return rows.select("*", F.col("__run.at").alias("at"), F.col("__run.hash").alias("hash")).drop("__hashes", "__run")
 
 
 def _bands(hashes: Column, bands: int) -> Column:
@@ -86,8 +91,7 @@ def template_shingles(spark: SparkSession, templates: Mapping[str, str], width:
     cut = rows.select("template", words_of(F.col("text")).alias("words"))
     if short := [r["template"] for r in cut.where(F.size("words") < width).collect()]:
         raise ValueError(f"templates of less than {width} words: {short}")
-    each = with_shingles(cut, width).select("template", "words", F.posexplode("hashes").alias("at", "hash"))
-    each = each.select("template", "hash", F.array_join(F.slice("words", F.col("at") + 1, F.lit(width)), " ").alias("shingle")).distinct()
+    each = with_shingles(cut, width).select("template", "hash", F.array_join(F.slice("words", F.col("at") + 1, F.lit(width)), " ").alias("shingle")).distinct()
     sizes = each.groupBy("template").agg(F.count(F.lit(1)).alias("shingles"))
     span = F.pow(F.lit(2), F.ceil(F.log2("shingles"))).cast("int")
     return each.join(sizes.withColumn("span", span), "template")
@@ -116,8 +120,7 @@ def scan(
 
     # shingles of the texts that some template has
     rows = docs.select(column(id_column).cast("long").alias("doc_id"), words_of(column(text_column)).alias("words"))
-    rows = with_shingles(rows, width).where(F.arrays_overlap("hashes", F.array(*[F.lit(h) for h in listed]).cast("array<long>")))
-    hits = rows.select("doc_id", "words", F.posexplode("hashes").alias("at", "hash")).where(F.col("hash").isin(listed) if listed else F.lit(False))
+    hits = with_shingles(rows, width, listed)
     hits = hits.select("doc_id", "at", "hash", F.array_join(F.slice("words", F.col("at") + 1, F.lit(width)), " ").alias("shingle"))
 
     # overlapping windows of each size class

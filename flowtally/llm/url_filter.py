@@ -69,10 +69,17 @@ def fitting(rules: Sequence[Rule], host: Column, path: Column) -> Column:
     return chosen
 
 
-def _windows(text: Column, order: int) -> Column:
-    """All runs of order + 1 characters of the text between boundary marks."""
-    marked = F.concat(F.lit("\x02" * order), text, F.lit("\x03"))
-    return F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substring(marked, i, F.lit(order + 1)))
+def with_windows(rows: DataFrame, order: int) -> DataFrame:
+    """A row per run of order + 1 characters of `text` between boundary marks, as `window`.
+
+    The characters are an array column of their own, so a long text costs no more per run;
+    an outer generator keeps Spark from repeating the expression in a filter.
+    """
+    marked = F.concat(F.lit("\x02" * order), F.col("text"), F.lit("\x03"))
+    rows = rows.withColumn("__chars", F.split(marked, ""))
+    starts = F.sequence(F.lit(0), F.size("__chars") - order - 1)
+    run = [lambda i, j=j: F.get("__chars", i + j) for j in range(order + 1)]
+    return rows.withColumn("window", F.explode_outer(F.transform(starts, lambda i: F.concat(*[at(i) for at in run])))).drop("__chars")
 
 
 def window_scores(windows: DataFrame, order: int) -> DataFrame:
@@ -133,7 +140,7 @@ def judged(
     texts = rows.groupBy("text").agg(F.max("fit.allow").alias("allow"), F.count(F.lit(1)).alias("n"))
     texts = staged(texts.withColumn("held", F.pmod(F.xxhash64("text"), F.lit(5)) == 0), "urls")
 
-    each = texts.select("n", "allow", "held", F.explode(_windows(F.col("text"), order)).alias("window"))
+    each = with_windows(texts, order).select("n", "allow", "held", "window")
     learn = F.col("allow").isNotNull() & ~F.col("held")
     counted = each.groupBy("window").agg(
         F.sum(F.when(learn & F.col("allow"), F.col("n")).otherwise(0)).alias("yes"),
@@ -141,8 +148,7 @@ def judged(
     )
     ratios = window_scores(staged(counted, "windows"), order)
     salted = ratios.select("window", "ratio", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    asked = texts.select("text", F.explode(_windows(F.col("text"), order)).alias("w"))
-    asked = asked.select("text", "w", F.pmod(F.xxhash64("text"), F.lit(salts)).cast("int").alias("s"))
+    asked = with_windows(texts.select("text"), order).select("text", F.col("window").alias("w"), F.pmod(F.xxhash64("text"), F.lit(salts)).cast("int").alias("s"))
     summed = asked.join(salted, (F.col("w") == F.col("window")) & (F.col("s") == F.col("salt"))).groupBy("text").agg(
         (F.sum("ratio") / F.count(F.lit(1))).alias("score")
     )
