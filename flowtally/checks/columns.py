@@ -89,7 +89,7 @@ def constant_columns(spark, folder):
 def row_keys(spark, folder):
     """Delivery year and row number in the delivery, numbered in chunks."""
     orders = T.table(spark, folder, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
-    numbered = number_rows(orders, "line", ["o_orderkey"], ["year"], chunk=1000)
+    numbered = number_rows(orders, "line", ["o_orderkey"], ["year"], chunks=20)
     return numbered.select("o_orderkey", F.concat_ws("_", "year", "line").alias("row_id"))
 
 

@@ -211,7 +211,7 @@ def fill_down_by_key(spark, folder):
     FROM e WINDOW w AS (ORDER BY event_id ROWS UNBOUNDED PRECEDING)""")
 def fill_down_whole_table(spark, folder):
     """One group holding every row, cut into chunks."""
-    return R.fill_down(_sparse_events(spark, folder), ["event_type", "value"], ["event_id"], chunk=1000)
+    return R.fill_down(_sparse_events(spark, folder), ["event_type", "value"], ["event_id"], chunks=20)
 
 
 @check("O43", sql=SPARSE + """ SELECT event_id, user_id % 2 AS half,
@@ -220,12 +220,12 @@ def fill_down_whole_table(spark, folder):
 def fill_down_large_groups(spark, folder):
     """Two groups, each far over the chunk size."""
     halves = _sparse_events(spark, folder).select("event_id", (F.col("user_id") % 2).alias("half"), "event_type")
-    return R.fill_down(halves, ["event_type"], ["event_id"], ["half"], chunk=500)
+    return R.fill_down(halves, ["event_type"], ["event_id"], ["half"], chunks=20)
 
 
 @check("O45", sql="SELECT event_id, row_number() OVER (ORDER BY event_id) AS line FROM events")
 def row_numbers(spark, folder):
-    return R.number_rows(T.table(spark, folder, "events").select("event_id"), "line", ["event_id"], chunk=1000)
+    return R.number_rows(T.table(spark, folder, "events").select("event_id"), "line", ["event_id"], chunks=20)
 
 
 @check("O63", sql="""SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2)))
@@ -234,10 +234,20 @@ def running_totals(spark, folder):
     priced = _orders(spark, folder).select(
         "o_orderkey", F.year("o_orderdate").alias("year"), F.col("o_totalprice").cast("decimal(18,2)").alias("price")
     )
-    out = R.running_total(priced, {"running": "price"}, ["o_orderkey"], ["year"], chunk=1000)
+    out = R.running_total(priced, {"running": "price"}, ["o_orderkey"], ["year"], chunks=20)
     return out.select("o_orderkey", "year", F.col("running").cast("double").alias("running"))
 
 
+@check("O43", "O63", sql="""SELECT event_id, user_id, last_value(v IGNORE NULLS) OVER w AS latest, CAST(sum(CAST(v AS DECIMAL(38,12))) OVER w AS DOUBLE) AS total
+    FROM (SELECT event_id, user_id, CASE WHEN event_id % 5 = 0 THEN value END AS v FROM events)
+    WINDOW w AS (PARTITION BY user_id % 3 ORDER BY event_id ROWS UNBOUNDED PRECEDING)""")
+def two_scans_of_one_column(spark, folder):
+    """The latest value and the running total of one column, in one pass."""
+    rows = _sparse_events(spark, folder).withColumn("third", F.col("user_id") % 3)
+    scans = {"latest": ("value", R.LAST_VALUE), "total": ("value", R.TOTAL)}
+    return R.scan_rows(rows, scans, ["event_id"], ["third"]).select("event_id", "user_id", "latest", "total")
+
+
 # --- aggregates and windows --------------------------------------------------------
 
 

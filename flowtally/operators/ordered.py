@@ -1,21 +1,19 @@
 """Fill-down, row numbers and running sums in row order, without one task per large group.
 
-A plain window over a file or a key puts that group into one task, however large it
-is. Here a group of more than `chunk` rows is cut into chunks by row position:
-
-1. the largest groups are found by a count, which combines on the map side;
-2. each of their chunks gives one small row by a partial aggregate, and a window over
-   those rows, which are `chunk` times fewer, gives the value carried into each chunk;
-3. the carried value enters its chunk as an extra first row, and one window runs over
-   all rows, by chunk in large groups and by group in the others.
-
-The list of groups to cut is limited to the `LARGEST` ones, so it may be broadcast; any
-other group then has at most 1/LARGEST of all rows and needs no cutting. When no group
-is large, step 2 is empty and drops out at run time.
-
-The last order column must be an integer, unique inside its group. The input is read up
-to three times, so it should be a file scan or a written table (`session.staged`), in
-particular when one scan follows another.
+A plain window over a file or a key puts that group into one task, however large it is.
+Here all rows are cut into chunks of about equal size along (group, row order), whatever
+the sizes of groups and the gaps between positions:
+
+1. rows are dealt by ranges of group and order, which samples them, and are written once
+   (`session.staged`), each with the number of its range;
+2. only a group at the edge of a chunk can run into the next one, so there are at most two
+   such groups per chunk; for these, a partial aggregate gives one small row per chunk, and
+   a window over those rows the value carried into the next;
+3. one window runs over each group within its chunk, and the carried value is added.
+
+There is one path for every group size. Sums of doubles are taken in decimals of 12 places,
+so results do not depend on where chunks end. The last order column must be unique inside
+its group.
 """
 
 from __future__ import annotations
@@ -26,40 +24,55 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import staged
 from .columns import quoted
 from .joins import join_on
 
-CHUNK = 1_000_000
-LARGEST = 20_000
+EXACT = "decimal(38,12)"
 
 
 @dataclass(frozen=True)
 class Scan:
-    """What to compute in row order: within a window frame, and once per chunk."""
+    """What to compute in row order: in a window frame, once per chunk, and from carried and own value."""
 
     framed: Callable[[Column], Column]
     per_chunk: Callable[[Column, Column], Column]
+    added: Callable[[Column, Column], Column]
+    exact: bool = False
 
 
 LAST_VALUE = Scan(
     framed=lambda c: F.last(c, ignorenulls=True),
     per_chunk=lambda c, position: F.max_by(c, F.when(c.isNotNull(), position)),
+    added=lambda carried, own: F.coalesce(own, carried),
+)
+TOTAL = Scan(
+    framed=F.sum,
+    per_chunk=lambda c, position: F.sum(c),
+    added=lambda carried, own: F.coalesce(carried + own, carried, own),
+    exact=True,
 )
-TOTAL = Scan(framed=F.sum, per_chunk=lambda c, position: F.sum(c))
 
 
-def _cut(df: DataFrame, position: str, by: Sequence[str], chunk: int) -> DataFrame:
-    """Add `__chunk`, NULL for groups that need no cutting."""
-    at = quoted(position)
-    if not by:
-        return df.withColumn("__chunk", F.expr(f"`{position}` div {chunk}"))
-    size = F.count(F.lit(1))
-    # positions a chunk spans so that it holds about `chunk` rows
-    width = F.ceil((F.max(at) - F.min(at) + 1) / F.ceil(size / chunk))
-    groups = df.groupBy(*by).agg(size.alias("__rows"), F.min(at).alias("__low"), width.alias("__width"))
-    large = groups.where(F.col("__rows") > chunk).orderBy(F.desc("__rows"), *by).limit(LARGEST).drop("__rows")
-    joined = join_on(df, F.broadcast(large), by)
-    return joined.withColumn("__chunk", F.expr(f"(`{position}` - __low) div __width")).drop("__low", "__width")
+def _carried(placed: DataFrame, scans: Mapping[str, tuple[str, Scan]], order: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """by, __chunk and `__from_<output>`: what earlier chunks of a group hand to this one."""
+    ends = placed
+    if by:
+        group = F.struct(*[quoted(b) for b in by])
+        edges = placed.groupBy("__chunk").agg(F.min(group).alias("low"), F.max(group).alias("high"))
+        edges = edges.select(F.explode(F.array("low", "high")).alias("edge")).select("edge.*").distinct()
+        ends = join_on(placed, edges, by, "left_semi")
+    position = F.struct(*[quoted(o) for o in order])
+    ends = ends.groupBy(*[quoted(b) for b in by], "__chunk").agg(
+        *[s.per_chunk(quoted(f"__in_{out}"), position).alias(f"__end_{out}") for out, (_, s) in scans.items()]
+    )
+    # a group has at most one row per chunk here
+    above = Window.partitionBy(*[quoted(b) for b in by]).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    return ends.select(
+        *[quoted(b) for b in by],
+        "__chunk",
+        *[s.framed(quoted(f"__end_{out}")).over(above).alias(f"__from_{out}") for out, (_, s) in scans.items()],
+    )
 
 
 def scan_rows(
@@ -67,54 +80,48 @@ def scan_rows(
     outputs: Mapping[str, tuple[str, Scan]],
     order: Sequence[str],
     by: Sequence[str] = (),
-    chunk: int = CHUNK,
+    chunks: int | None = None,
     before: bool = False,
 ) -> DataFrame:
     """Add `{new column: (column, scan)}`, each computed over the rows so far.
 
-    `before` leaves the current row out. `order` columns before the last come first in
-    the sort (part of a file, then line) and may be of any sortable type.
+    `before` leaves the current row out. `order` and `by` may be of any sortable type.
+    `chunks` is by default the number of shuffle partitions; it has no effect on results.
     """
-    *prefix, position = order
-    last_row = -1 if before else Window.currentRow
-    used = {c: s for c, s in outputs.values()}
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    double = {out: s.exact and kinds[c] in ("double", "float") for out, (c, s) in outputs.items()}
+    inputs = {f"__in_{out}": quoted(c).cast(EXACT) if double[out] else quoted(c) for out, (c, _) in outputs.items()}
+    keys = [quoted(c) for c in (*by, *order)]
+    parts = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumns(inputs).repartitionByRange(parts, *keys)
+    placed = staged(dealt.withColumn("__chunk", F.spark_partition_id()), "ordered-rows")
 
-    cut = _cut(df, position, by, chunk)
-    large = F.col("__chunk").isNotNull()
-    cut = cut.withColumns({f"__part_{p}": F.when(large, quoted(p)) for p in prefix})
-    parts = [*[f"__part_{p}" for p in prefix], "__chunk"]
-
-    ends = cut.where(large).groupBy(*by, *parts).agg(*[s.per_chunk(quoted(c), quoted(position)).alias(c) for c, s in used.items()])
-    above = Window.partitionBy(*by).orderBy(*parts).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(
-        *[quoted(b) for b in by],
-        *[quoted(p) for p in parts],
-        *[s.framed(quoted(c)).over(above).alias(c) for c, s in used.items()],
-        F.lit(True).alias("__carried"),
-    )
-
-    seeded = cut.withColumn("__carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    last_row = -1 if before else Window.currentRow
     so_far = (
-        Window.partitionBy(*by, *parts)
-        .orderBy(F.desc("__carried"), *order)
+        Window.partitionBy(*[quoted(b) for b in by], "__chunk")
+        .orderBy(*[quoted(o) for o in order])
         .rowsBetween(Window.unboundedPreceding, last_row)
     )
-    scanned = seeded.withColumns({f"__out_{out}": s.framed(quoted(c)).over(so_far) for out, (c, s) in outputs.items()})
-    columns = {c: quoted(c) for c in df.columns} | {out: quoted(f"__out_{out}") for out in outputs}
-    return scanned.where(~F.col("__carried")).select(*[c.alias(name) for name, c in columns.items()])
+    scanned = placed.withColumns({f"__own_{out}": s.framed(quoted(f"__in_{out}")).over(so_far) for out, (_, s) in outputs.items()})
+    joined = join_on(scanned, _carried(placed, outputs, order, by), [*by, "__chunk"])
+    columns = {c: quoted(c) for c in df.columns}
+    for out, (_, s) in outputs.items():
+        value = s.added(quoted(f"__from_{out}"), quoted(f"__own_{out}"))
+        columns[out] = value.cast("double") if double[out] else value
+    return joined.select(*[c.alias(name) for name, c in columns.items()])
 
 
 def fill_down(
-    df: DataFrame, columns: Sequence[str], order: Sequence[str], by: Sequence[str] = (), chunk: int = CHUNK
+    df: DataFrame, columns: Sequence[str], order: Sequence[str], by: Sequence[str] = (), chunks: int | None = None
 ) -> DataFrame:
     """Each NULL takes the nearest value above it; leading NULLs stay."""
-    return scan_rows(df, {c: (c, LAST_VALUE) for c in columns}, order, by, chunk)
+    return scan_rows(df, {c: (c, LAST_VALUE) for c in columns}, order, by, chunks)
 
 
-def number_rows(df: DataFrame, out: str, order: Sequence[str], by: Sequence[str] = (), chunk: int = CHUNK) -> DataFrame:
+def number_rows(df: DataFrame, out: str, order: Sequence[str], by: Sequence[str] = (), chunks: int | None = None) -> DataFrame:
     """Row number from 1 in row order, within each group of `by`."""
     one = df.withColumn("__one", F.lit(1).cast("long"))
-    return scan_rows(one, {out: ("__one", TOTAL)}, order, by, chunk).drop("__one")
+    return scan_rows(one, {out: ("__one", TOTAL)}, order, by, chunks).drop("__one")
 
 
 def running_total(
@@ -123,8 +130,8 @@ def running_total(
     order: Sequence[str],
     by: Sequence[str] = (),
     before: bool = False,
-    chunk: int = CHUNK,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Running sums {new column: column}; with `before`, the sum of the rows above, 0 at the top."""
-    out = scan_rows(df, {o: (c, TOTAL) for o, c in columns.items()}, order, by, chunk, before)
+    out = scan_rows(df, {o: (c, TOTAL) for o, c in columns.items()}, order, by, chunks, before)
     return out.withColumns({o: F.coalesce(quoted(o), F.lit(0)) for o in columns}) if before else out

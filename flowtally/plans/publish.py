@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.columns import rename
-from ..session import staged
+from ..session import staged, staging
 from ..sources.files import write_cube
 from . import costs as C
 from . import cubes as Q
@@ -56,6 +56,7 @@ def published(returnees: DataFrame, types: DataFrame, ledger: DataFrame, countri
 def publish(
     returnees: DataFrame, types: DataFrame, ledger: DataFrame, countries: DataFrame, folder: str, form: str = "parquet"
 ) -> dict[str, str]:
-    """Write all cubes below a folder; name -> path."""
-    cubes = published(returnees, types, ledger, countries)
-    return {name: write_cube(cube, f"{folder}/{name}", form) for name, cube in cubes.items()}
+    """Write all cubes below a folder; name -> path. Copies staged on the way are removed."""
+    with staging(returnees.sparkSession):
+        cubes = published(returnees, types, ledger, countries)
+        return {name: write_cube(cube, f"{folder}/{name}", form) for name, cube in cubes.items()}

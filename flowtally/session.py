@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,10 +30,16 @@ _fallback: dict[str, str] = {}
 
 
 def staging_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only where it is unset."""
+    """The folder named in spark.checkpoint.dir, which all executors must share.
+
+    Without that setting, a `local[...]` session takes a temporary folder, and any other
+    master is an error: each of its executors would write to a disk of its own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _fallback:
         _fallback[app] = tempfile.mkdtemp(prefix="flowtally-")
@@ -42,12 +50,34 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{staging_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_written: list[list[str]] = []
+
+
 def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write a table once and go on from the written copy.
 
     Used where several results are drawn from one expensive table, or where row
-    positions must not be worked out twice. The copy outlives lost executors.
+    positions must not be worked out twice. The copy outlives lost executors; inside
+    `staging` it is removed at the end.
     """
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
+    if _written:
+        _written[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Removes the copies that were staged inside, for jobs that have written their results."""
+    _written.append([])
+    try:
+        yield
+    finally:
+        for path in _written.pop():
+            remove_folder(spark, path)
