@@ -279,7 +279,7 @@ def published_cube_totals(spark, folder):
 GRAPH = TOP + """,
   links AS (
     SELECT 'from ' || origin AS source, 'to ' || dest AS target, n AS value,
-           CAST((rank_origin - 1) * 15 + rank_dest AS BIGINT) AS position FROM ranked),
+           CAST(rank_origin * 2147483648 + rank_dest AS BIGINT) AS position FROM ranked),
   ends AS (SELECT source AS name, position * 2 AS used FROM links UNION ALL SELECT target, position * 2 + 1 FROM links),
   nodes AS (SELECT name, row_number() OVER (ORDER BY min(used)) - 1 AS node FROM ends GROUP BY name),
   flows AS (
@@ -327,6 +327,13 @@ def flow_offsets(spark, folder):
     return G.link_offsets(G.indexed_links(links, G.nodes(links)))
 
 
+@check("A17", sql=GRAPH + """
+  SELECT nodes.name, nodes.node, greatest(o, i) AS value, CASE WHEN nodes.name LIKE 'to %' THEN 1 ELSE 0 END AS level
+  FROM nodes JOIN flows USING (name)""")
+def flow_graph_nodes(spark, folder):
+    return G.flow_graph(_links(spark, folder))[0]
+
+
 @check("A17", "O104", sql=GRAPH + """,
   sides AS (
     SELECT source_node AS node, 'out' AS side, position, target_node AS other, value FROM indexed

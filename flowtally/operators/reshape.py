@@ -9,22 +9,46 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import as_col
 from .columns import quoted
+from .joins import join_on
 
 
 def long_to_wide(
-    df: DataFrame, keys: Sequence[str], column: str, value: str, values: Sequence, fill=None, unique: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    value: str,
+    values: Sequence,
+    fill=None,
+    unique: bool = False,
+    other: str | None = None,
 ) -> DataFrame:
     """One row per key, one column per listed value of `column`.
 
     Two rows for the same cell are an error, raised by the plan itself. `unique`
     leaves that test out where a preceding aggregate already rules it out.
-    The value list is explicit, so no job has to look for it.
+    The value list is explicit, so no job has to look for it. A value outside the list,
+    NULL included, is an error too; with `other`, the sum of such cells goes to a column of
+    that name.
     """
     if not unique:
         one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"more than one row for a cell of {column}"))).otherwise(
             F.first(value)
         )
         df = df.groupBy(*keys, column).agg(one.alias(value))
+    is_listed = F.coalesce(quoted(column).isin(list(values)), F.lit(False)) if values else F.lit(False)
+    if other is None:
+        unlisted = F.raise_error(F.concat(F.lit(f"value of {column} without a column: "), quoted(column).cast("string")))
+        message = F.raise_error(F.lit(f"NULL in {column} has no column"))
+        kind = df.schema[column].dataType
+        checked = F.when(is_listed, quoted(column)).when(quoted(column).isNull(), message.cast(kind)).otherwise(unlisted.cast(kind))
+        df = df.withColumn(column, checked)
+    else:
+        df = df.withColumn("__other", F.when(~is_listed, quoted(value)))
+        rest = df.groupBy(*keys).agg(F.sum("__other").alias(other))
+        listed = df.where(is_listed).groupBy(*keys).pivot(column, list(values)).agg(F.first(value))
+        wide = join_on(rest, listed, list(keys))
+        wide = wide.select(*keys, *[quoted(str(v)) for v in values], quoted(other))
+        return wide if fill is None else fill_columns(wide, [*[str(v) for v in values], other], fill)
     wide = df.groupBy(*keys).pivot(column, list(values)).agg(F.first(value))
     return wide if fill is None else fill_columns(wide, [str(v) for v in values], fill)
 

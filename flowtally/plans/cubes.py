@@ -119,13 +119,13 @@ def type_order(cube: DataFrame, levels: Sequence[str] = TYPE_LEVELS) -> list[str
 
 def yearly_types(ops: DataFrame, levels: Sequence[str] | None = None) -> DataFrame:
     """year, key, one column per operation type; two rows per year: people and operations."""
-    cube = yearly_types_long(ops)
+    cube = yearly_types_long(ops).withColumn("op_type", F.coalesce("op_type", F.lit("unknown")))
     if levels is None:
         cube = staged(cube, "yearly-types")
         levels = type_order(cube)
     measures = cube.select(
         "year",
-        F.coalesce("op_type", F.lit("unknown")).alias("op_type"),
+        "op_type",
         F.col("people").cast("double").alias(PEOPLE),
         F.col("operations").cast("double").alias(OPERATIONS),
     )
@@ -155,6 +155,8 @@ def yearly_contributions(
     if payees is None:
         long = staged(long, "yearly-contributions")
         payees = ordered_values(long, "payee", lenient_sum("amount"))
+        # payees whose payments sum to nothing over all years have no column
+        long = long.where(F.col("payee").isin(payees))
     wide = long_to_wide(long, ["year"], "payee", "amount", payees, unique=True)
     wide = fill_columns(wide, payees, 0)
     names = F.explode(F.array(F.lit(label), *[F.lit(p) for p in payees])).alias("payee")

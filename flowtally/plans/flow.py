@@ -14,9 +14,9 @@ from ..operators.ordered import number_rows, running_total
 from ..session import staged
 
 
-def links_from_routes(ranked: DataFrame, k: int = 15) -> DataFrame:
-    """Links from ranked top routes (`rank_origin`, `rank_dest` up to k)."""
-    position = (F.col("rank_origin") - 1) * k + F.col("rank_dest")
+def links_from_routes(ranked: DataFrame) -> DataFrame:
+    """Links from ranked top routes, in the order of `rank_origin` and `rank_dest`."""
+    position = F.col("rank_origin").cast("long") * F.lit(1 << 31) + F.col("rank_dest")
     return ranked.select(
         F.col("origin").alias("source"),
         F.col("dest").alias("target"),
@@ -53,25 +53,27 @@ def throughput(links: DataFrame) -> DataFrame:
     return sums.select("name", F.greatest("out", "into").alias("value"))
 
 
-def node_levels(links: DataFrame, max_depth: int = 50) -> DataFrame:
+def node_levels(links: DataFrame) -> DataFrame:
     """name, level: longest path from a source; nodes without outgoing links on the last level.
 
     Each step follows the links from the nodes reached last. Steps are written to the
-    staging folder, so the plan stays short and a lost executor costs one step. A cycle
-    never ends and is an error after `max_depth` steps.
+    staging folder, so the plan stays short and a lost executor costs one step. The nodes
+    that a path of d + 1 links reaches are among those that one of d links reaches; where
+    a step loses none of them, it never will, and the links form a cycle: an error.
     """
     pairs = staged(links.select("source", "target").distinct(), "flow-pairs")
     everyone = pairs.select(F.col("source").alias("name")).union(pairs.select("target")).distinct()
     step, depth = staged(everyone.withColumn("level", F.lit(0)), "flow-step"), 0
-    reached = step
+    reached, size = step, step.count()
     while True:
         ahead = step.join(pairs, step["name"] == pairs["source"]).select(F.col("target").alias("name")).distinct()
         step = staged(ahead.withColumn("level", F.lit(depth + 1)), "flow-step")
-        if step.isEmpty():
+        before, size = size, step.count()
+        if size == 0:
             break
+        if size == before:
+            raise ValueError("the links form a cycle")
         depth += 1
-        if depth > max_depth:
-            raise ValueError(f"a path is longer than {max_depth} links, or the links form a cycle")
         reached = reached.unionByName(step)
     level = reached.groupBy("name").agg(F.max("level").alias("level"))
     sources = pairs.select(F.col("source").alias("name")).distinct().withColumn("leaves", F.lit(True))

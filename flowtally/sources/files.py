@@ -32,24 +32,30 @@ def read_rows(
     header: bool = True,
     overflow: str | None = None,
     clean: bool = True,
+    quarantine: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Scan CSV text under the given column names, by position.
 
     Only a line feed ends a row: carriage returns inside quoted header names stay in
     their field, and files can still be read in splits. `overflow` names an extra
     column for a field beyond the header. Blank fields become NULL.
+
+    Fields beyond these are lost without `quarantine`, which names a column that holds the
+    whole line of a row with more or fewer fields than expected, NULL for all other rows.
+    `multi_line` reads quoted fields that hold line feeds; such files are not split, and
+    `lineSep` no longer applies.
     """
     fields = [*names, *([overflow] if overflow else [])]
-    raw = (
-        spark.read.schema(text_schema(fields))
-        .option("header", header)
-        .option("lineSep", "\n")
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
+    reader = reader.option("multiLine", True) if multi_line else reader.option("lineSep", "\n")
+    if quarantine:
+        reader = reader.option("columnNameOfCorruptRecord", quarantine)
+    raw = reader.schema(text_schema([*fields, *([quarantine] if quarantine else [])])).csv(path)
     values = [blank_to_null(trimmed(quoted(c))).alias(c) if clean else quoted(c) for c in fields]
     return raw.select(
         *values,
+        *([quoted(quarantine)] if quarantine else []),
         F.col("_metadata.file_path").alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
         F.monotonically_increasing_id().alias("src_row"),

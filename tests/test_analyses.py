@@ -130,8 +130,14 @@ def test_stack_bounds(returnees):
 def test_flow_levels_of_a_chain_and_a_cycle(spark):
     links = spark.createDataFrame([("a", "b"), ("b", "c"), ("a", "c"), ("a", "d")], "source string, target string")
     assert {r.name: r.level for r in G.node_levels(links).collect()} == {"a": 0, "b": 1, "c": 2, "d": 2}
-    with pytest.raises(ValueError):
-        G.node_levels(spark.createDataFrame([("a", "b"), ("b", "a")], "source string, target string"), max_depth=3)
+    for ring in ([("a", "b"), ("b", "a")], [("x", "a"), ("a", "b"), ("b", "c"), ("c", "a"), ("c", "z")]):
+        with pytest.raises(ValueError, match="cycle"):
+            G.node_levels(spark.createDataFrame(ring, "source string, target string"))
+
+
+def test_flow_levels_of_a_long_chain(spark):
+    links = spark.createDataFrame([(f"n{i:02}", f"n{i + 1:02}") for i in range(60)], "source string, target string")
+    assert {r.name: r.level for r in G.node_levels(links).collect()} == {f"n{i:02}": i for i in range(61)}
 
 
 def test_adjacency_lists_are_cut_in_pieces(spark):

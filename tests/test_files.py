@@ -25,6 +25,20 @@ def test_fields_beyond_the_header(spark, tmp_path):
     assert [(r.a, r.b, r.more) for r in rows] == [("1", "2", None), ("1", "2", "3"), ("1", None, None)]
 
 
+def test_lines_of_another_length_are_kept_whole(spark, tmp_path):
+    path = write(tmp_path, "a.csv", "a,b\n1,2\n1,2,3,4\n1\n5,6\n")
+    rows = S.read_rows(spark, path, ["a", "b"], quarantine="line").orderBy(*S.ROW_ORDER).collect()
+    assert [(r.a, r.b, r.line) for r in rows] == [("1", "2", None), ("1", "2", "1,2,3,4"), ("1", None, "1"), ("5", "6", None)]
+    rows = S.read_rows(spark, path, ["a", "b"], overflow="more", quarantine="line").orderBy(*S.ROW_ORDER).collect()
+    assert [r.line for r in rows][1] == "1,2,3,4"
+
+
+def test_line_feeds_inside_quotes(spark, tmp_path):
+    path = write(tmp_path, "a.csv", 'a,b\n"x\ny",5\n"z",6\n')
+    rows = S.read_rows(spark, path, ["a", "b"], multi_line=True).orderBy(*S.ROW_ORDER).collect()
+    assert [(r.a, r.b) for r in rows] == [("x\ny", "5"), ("z", "6")]
+
+
 def test_row_order_survives_file_splits(spark, tmp_path):
     path = write(tmp_path, "big.csv", "n\n" + "".join(f"{i}\n" for i in range(5000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")

@@ -64,13 +64,22 @@ def test_duplicate_cells_are_an_error(spark):
 
 
 def test_wide_and_back(spark):
-    df = spark.createDataFrame([(1, "x", 1), (2, "y", 5), (2, "z", None)], "k int, c string, v int")
+    df = spark.createDataFrame([(1, "x", 1), (2, "y", 5)], "k int, c string, v int")
     wide = S.long_to_wide(df, ["k"], "c", "v", ["x", "y"])
     assert rows(wide) == [(1, 1, None), (2, None, 5)]
     assert len(rows(S.wide_to_long(wide, ["k"], ["x", "y"], "c", "v"))) == 4
     assert rows(S.long_to_wide(df, ["k"], "c", "v", ["x", "y"], fill=0)) == [(1, 1, 0), (2, 0, 5)]
 
 
+def test_values_without_a_column(spark):
+    df = spark.createDataFrame([(1, "x", 1), (1, "z", 9), (2, None, 3), (3, "y", 4)], "k int, c string, v int")
+    for values in (["x", "y"], ["x", "y", "z"]):
+        with pytest.raises(Exception, match="column"):
+            S.long_to_wide(df, ["k"], "c", "v", values).collect()
+    out = S.long_to_wide(df, ["k"], "c", "v", ["x", "y"], fill=0, other="rest")
+    assert out.columns == ["k", "x", "y", "rest"] and rows(out) == [(1, 1, 0, 9), (2, 0, 0, 3), (3, 0, 4, 0)]
+
+
 def test_densify_and_diagonal(spark):
     df = spark.createDataFrame([("a", 2001, 5)], "k string, y int, v int")
     assert rows(S.densify(df, ["k"], "y", [2000, 2001], "v")) == [("a", 2000, 0), ("a", 2001, 5)]

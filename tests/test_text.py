@@ -74,6 +74,15 @@ def test_dates(spark):
     assert apply(spark, lambda c: D.parse_date(c, D.DAY_FIRST), "2008-02-01", "01/02/2008") == [None, day]
 
 
+def test_dates_with_names_or_without_separators(spark):
+    day = datetime.date(2008, 3, 1)
+    texts = ["01/03/08", "1 March 2008", "1st of march 2008", "01032008", "20080301", "1-Mar-2008", "JRO 1.3.08"]
+    assert apply(spark, D.parse_date, *texts) == [day] * len(texts)
+    assert apply(spark, D.parse_date, "01/03/69", "31/02/08", "3 of 12 in 45", "1 Mai 2008") == [datetime.date(1969, 3, 1), None, None, None]
+    df = spark.createDataFrame([("01/03/08",), ("soon",), (None,)], "day string")
+    assert [r.day for r in D.unread_dates(df, "day").collect()] == ["soon"]
+
+
 def test_date_range_end(spark):
     out = apply(spark, D.range_end, "01-02/02/2008", "JRO Lagos 01-02/02/2008", "JRO 02/02/2008", None)
     first, second = datetime.date(2008, 2, 1), datetime.date(2008, 2, 2)
