@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language, licenses, minhash, packing, pitman_yor, records, simhash, url_filter
+from . import byte_bpe, exact_dedup, language, licenses, minhash, oracles, packing, pitman_yor, records, simhash, url_filter
 from .common import table
 
 RULES = [
@@ -18,7 +19,8 @@ END_ID = 1
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judged(table(spark, sf_dir, "pages"), RULES)
+    judged = url_filter.judged(table(spark, sf_dir, "pages"), RULES)
+    return judged.withColumn("score", F.round("score", 6))  # sums of doubles differ in their last digits
 
 
 def op2_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,8 +72,7 @@ LLM_QUERIES = {
 }
 
 LLM_SQL = {
-    "op8_exact_dedup": """
-        WITH hashed AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-        owned AS (SELECT *, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM hashed)
-        SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(t) AS text_sha256 FROM owned""",
+    "op1_url_filter": oracles.url_filter_sql(RULES),
+    "op8_exact_dedup": oracles.EXACT_DEDUP,
+    "op10_licenses": oracles.licenses_sql(),
 }

@@ -118,7 +118,7 @@ def threshold(scored: DataFrame) -> float:
     recall = (F.sum("yes").over(whole) - F.coalesce(F.sum("yes").over(below), F.lit(0))) / F.sum("yes").over(whole)
     reject = F.coalesce(F.sum("no").over(below), F.lit(0)) / F.sum("no").over(whole)
     complete = (F.sum("yes").over(whole) > 0) & (F.sum("no").over(whole) > 0)
-    rated = counts.select("step", F.when(complete, F.try_add(recall, reject)).alias("rate")).where("rate IS NOT NULL")
+    rated = counts.select("step", F.when(complete, F.round(recall + reject, 12)).alias("rate")).where("rate IS NOT NULL")
     best = rated.orderBy(F.desc("rate"), F.abs("step"), "step").limit(1).collect()
     return (best[0]["step"] - 0.5) * STEP if best else 0.0
 
@@ -138,7 +138,8 @@ def judged(
     rows = rows.withColumn("fit", fitting(rules, F.col("host"), F.col("path"))).withColumn("text", text)
     # equal texts are judged once; a fifth of the labelled ones calibrates
     texts = rows.groupBy("text").agg(F.max("fit.allow").alias("allow"), F.count(F.lit(1)).alias("n"))
-    texts = staged(texts.withColumn("held", F.pmod(F.xxhash64("text"), F.lit(5)) == 0), "urls")
+    drawn = F.conv(F.substring(F.md5("text"), 1, 7), 16, 10).cast("long")
+    texts = staged(texts.withColumn("held", drawn % 5 == 0), "urls")
 
     each = with_windows(texts, order).select("n", "allow", "held", "window")
     learn = F.col("allow").isNotNull() & ~F.col("held")
