@@ -49,7 +49,7 @@ FILE_BYTES = 64 << 20
 _HEAD = "<QI"
 _TAIL = "<I"
 _INDEX_HEAD = "<8sIQ"
-_CACHE = 400_000
+_CACHE = 1_000_000  # words a worker remembers
 _MOVED = 0xA282EAD8
 
 
