@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from ..operators.reshape import union_by_name
 from ..operators.totals import with_group_total
+from ..plans import cubes as Q
 from ..plans import deliveries as D
 from ..plans import ledger as L
-from ..session import staged
+from ..session import new_folder, staged
 from ..sources import tables as T
+from ..sources.files import read_rows
 from .registry import AMOUNT, MOVES, check
 
 ID_LENGTH = 15
@@ -115,8 +117,8 @@ def subtotal_differences(spark, folder):
 COUNTS = {c: (3 + 2 * i, 5 + i) for i, c in enumerate(D.STAFF_COLUMNS[4:])}
 
 
-def _raw_staff(spark, folder) -> DataFrame:
-    ops = T.operation_headers(spark, folder).where(F.col("op_id") % 3 != 0)
+def _raw_staff(spark, folder, ops: DataFrame | None = None) -> DataFrame:
+    ops = T.operation_headers(spark, folder) if ops is None else ops
     counts = {c: ((F.col("op_id") * a) % m).cast("string") for c, (a, m) in COUNTS.items()}
     counts["n_meds"] = F.when(F.col("op_id") % 2 == 0, counts["n_meds"])
     rows = ops.select(
@@ -127,9 +129,9 @@ def _raw_staff(spark, folder) -> DataFrame:
     return union_by_name(rows, headers)
 
 
-def _raw_costs(spark, folder) -> DataFrame:
+def _raw_costs(spark, folder, ops: DataFrame | None = None) -> DataFrame:
     paid = T.ledger_lines(spark, folder).groupBy("op_id").agg(F.sum("amount").alias("amount"))
-    ops = T.operation_headers(spark, folder).where(F.col("op_id") % 4 != 0).join(paid, "op_id")
+    ops = (T.operation_headers(spark, folder) if ops is None else ops).join(paid, "op_id")
     digits = F.format_number(F.col("amount").cast("decimal(18,4)"), 4)
     spaced = F.concat(F.lit("€       "), F.left(digits, F.lit(1)), F.lit(" "), F.substring(digits, 2, 40))
     rows = ops.select(
@@ -158,7 +160,7 @@ def _count_sql(c: str) -> str:
 
 
 STAFF_SQL = f"""staff AS (
-    SELECT {TIDY_ID} AS op_id, op_date, origin, nation, {", ".join(f"{_count_sql(c)} AS {c}" for c in COUNTS)} FROM heads WHERE op_id % 3 <> 0),
+    SELECT {TIDY_ID} AS op_id, op_date, origin, nation, {", ".join(f"{_count_sql(c)} AS {c}" for c in COUNTS)} FROM heads),
   totals AS (
     SELECT *, n_monitors_nat + n_monitors_pool_ms + n_monitors_fx AS n_monitors, n_obs_ms + n_obs_tc AS n_obs,
            n_esc_lead + n_esc + coalesce(n_meds, 0) + n_obs_ms + n_obs_tc AS n_esc_obs_med FROM staff)"""
@@ -173,7 +175,7 @@ COST_SQL = f"""paid AS (SELECT l_orderkey AS k, sum({AMOUNT}) AS amount FROM lin
   costs AS (
     SELECT {TIDY_ID} AS op_id, op_date, 'N' || lpad(CAST(nation AS VARCHAR), 2, '0') AS iso,
            CASE WHEN op_id % 5 <> 0 THEN CAST(amount AS DOUBLE) END AS amount, CASE WHEN nation <> 7 THEN origin END AS origin
-    FROM heads JOIN paid ON op_id = k WHERE op_id % 4 <> 0)"""
+    FROM heads JOIN paid ON op_id = k)"""
 
 
 @check("A12", "O91", "O26", sql=f"WITH {HEADS}, {COST_SQL} SELECT op_id, op_date, iso, amount FROM costs")
@@ -181,7 +183,11 @@ def cost_rows(spark, folder):
     return D.costs(_raw_costs(spark, folder)).withColumn("amount", F.col("amount").cast("double"))
 
 
-@check("A12", "O38", sql=f"""WITH {HEADS}, {STAFF_SQL}, {COST_SQL},
+# each of the two deliveries lacks some operations, which the other one has
+STAFFED, PAID = "op_id % 3 <> 0 OR op_id % 4 = 0", "op_id % 4 <> 0"
+
+
+@check("A12", "O38", sql=f"""WITH {HEADS}, {STAFF_SQL.replace("FROM heads)", f"FROM heads WHERE {STAFFED})")}, {COST_SQL[:-1]} WHERE {PAID}),
   present AS (SELECT *, CASE WHEN nation <> 7 THEN 'N' || lpad(CAST(nation AS VARCHAR), 2, '0') END AS iso FROM totals)
   SELECT coalesce(c.op_id, p.op_id) AS op_id, coalesce(c.op_date, p.op_date) AS op_date, coalesce(c.iso, p.iso) AS iso,
          coalesce(c.origin, p.origin) AS origin, amount, {", ".join([*COUNTS, "n_monitors", "n_obs", "n_esc_obs_med"])}
@@ -189,7 +195,9 @@ def cost_rows(spark, folder):
        AND c.iso IS NOT DISTINCT FROM p.iso AND c.origin IS NOT DISTINCT FROM p.origin""")
 def staff_and_costs(spark, folder):
     """Nation 7 is in no country list, so its costs and staff stay apart."""
-    out = D.staff_and_costs(_raw_costs(spark, folder), _raw_staff(spark, folder), _known_countries(spark, folder))
+    ops = T.operation_headers(spark, folder)
+    paid, staffed = _raw_costs(spark, folder, ops.where(PAID)), _raw_staff(spark, folder, ops.where(STAFFED))
+    out = D.staff_and_costs(paid, staffed, _known_countries(spark, folder))
     return out.withColumn("amount", F.col("amount").cast("double"))
 
 
@@ -346,16 +354,16 @@ def _parts(spark, folder):
     )
     # one operation per date, as the layout needs it
     first = T.operation_headers(spark, folder, origin=False).where(F.year("op_date") == 1995).groupBy("op_date").agg(_id(F.min("op_id")).alias("op_id"))
-    layout = F.when(year <= 1998, F.lit(L.NUMBERED)).when(year == 1999, F.lit(L.KEYED)).otherwise(F.lit(L.OWN_DATES))
-    merged = union_by_name(_with_totals(raw.where(year.between(1996, 1999))), raw.where(year == 2000)).withColumns(
+    layout = F.when(year <= 1997, F.lit(L.NUMBERED)).when(year == 1998, F.lit(L.KEYED)).otherwise(F.lit(L.OWN_DATES))
+    merged = union_by_name(_with_totals(raw.where(year.between(1996, 1998))), raw.where(year == 1999)).withColumns(
         {
             "layout": layout,
-            "number": F.when(head & (year <= 1998), F.concat(key, F.lit(" (JRO)"))).when(head & (year == 2000), key),
-            "op_id": F.when(head & (year == 1999), F.concat(F.lit("RO-1999-"), key)),
-            "op_date": F.when(year == 2000, _day("op_date", "yyyy-MM-dd")),
+            "number": F.when(head & (year <= 1997), F.concat(key, F.lit(" (JRO)"))).when(head & (year == 1999), key),
+            "op_id": F.when(head & (year == 1998), F.concat(F.lit("RO-1998-"), key)),
+            "op_date": F.when(year == 1999, _day("op_date", "yyyy-MM-dd")),
         }
     )
-    later = raw.where(year >= 2001).withColumns({"op_date": _day("op_date"), "op_id": F.concat(F.lit("RO-"), key)})
+    later = raw.where(year >= 2000).withColumns({"op_date": _day("op_date"), "op_id": F.concat(F.lit("RO-"), key)})
     code = F.when(F.col("nation") == 4, F.lit("FX")).otherwise(F.concat(F.lit("N"), F.lpad(F.col("nation").cast("string"), 2, "0")))
     drop = ["op_date", "op_id"]
 
@@ -367,11 +375,17 @@ def _parts(spark, folder):
     return {
         "dated": lambda: L.dated_ledger(dated.drop(*drop), first, lands, order, known()),
         "merged": lambda: L.merged_ledger(merged, lands, order, known()),
-        "named": lambda: L.named_ledger(later.where(F.col("src_row") % 2 == 0).withColumn("payee", F.initcap("payee")), lands),
-        "coded": lambda: L.coded_ledger(later.where(F.col("src_row") % 2 == 1).drop("payee").withColumn("iso", code), lands),
+        "named": lambda: L.named_ledger(later.where(year == 2000).withColumn("payee", F.initcap("payee")), lands),
+        "coded": lambda: L.coded_ledger(later.where(year >= 2001).drop("payee").withColumn("iso", code), lands),
     }
 
 
+DELIVERED = """SELECT 'RO-' || CAST(op_id AS VARCHAR) AS op_id, op_date, year,
+      CASE k WHEN 4 THEN 'Fx Missions' WHEN 5 THEN 'The Netherlands_cancelled' WHEN 6 THEN 'Uk_observers' WHEN 8 THEN 'Be, Ro,si'
+        ELSE CASE WHEN k % 3 = 0 THEN '(nation_' || CAST(k AS VARCHAR) || ') Observer' ELSE 'Nation_' || CAST(k AS VARCHAR) END END AS payee,
+      CASE WHEN k NOT IN (4, 5, 8) AND k % 3 <> 0 THEN 'N' || lpad(CAST(k AS VARCHAR), 2, '0') END AS iso,
+      CASE k WHEN 9 THEN NULL WHEN 10 THEN -5.5 ELSE amount END AS amount
+    FROM pay WHERE year = 2000"""
 LEDGER = f"""WITH {MOVES},
   pay AS (
     SELECT op_id, op_date, year, CAST(substr(dest, 8) AS INTEGER) AS k, CAST(sum(amount) AS DOUBLE) AS amount
@@ -385,29 +399,81 @@ LEDGER = f"""WITH {MOVES},
     SELECT 'RO-' || lpad(CAST(first_id AS VARCHAR), 12, '0') AS op_id, op_date, year, payee, iso, amount
     FROM named JOIN firsts USING (op_date) WHERE year = 1995 AND k <> 8
     UNION ALL SELECT 'RO-' || CAST(year AS VARCHAR) || '-' || CASE WHEN op_id < 100 THEN lpad(CAST(op_id AS VARCHAR), 3, '0') ELSE CAST(op_id AS VARCHAR) END,
-           NULL, year, payee, iso, amount FROM named WHERE year BETWEEN 1996 AND 1998 AND k <> 8
-    UNION ALL SELECT 'RO-1999-' || CAST(op_id AS VARCHAR), NULL, year, payee, iso, amount FROM named WHERE year = 1999 AND k <> 8
-    UNION ALL SELECT 'RO-2000-' || CASE WHEN op_id < 100 THEN lpad(CAST(op_id AS VARCHAR), 3, '0') ELSE CAST(op_id AS VARCHAR) END,
-           op_date, year, CASE WHEN k = 8 THEN 'Be, Ro,Si' ELSE payee END, CASE WHEN k <> 8 THEN iso END, amount FROM named WHERE year = 2000
-    UNION ALL SELECT 'RO-' || CAST(op_id AS VARCHAR), op_date, year, payee, iso, amount FROM named WHERE year >= 2001 AND k % 2 = 1)"""
+           NULL, year, payee, iso, amount FROM named WHERE year BETWEEN 1996 AND 1997 AND k <> 8
+    UNION ALL SELECT 'RO-1998-' || CAST(op_id AS VARCHAR), NULL, year, payee, iso, amount FROM named WHERE year = 1998 AND k <> 8
+    UNION ALL SELECT 'RO-1999-' || CASE WHEN op_id < 100 THEN lpad(CAST(op_id AS VARCHAR), 3, '0') ELSE CAST(op_id AS VARCHAR) END,
+           op_date, year, CASE WHEN k = 8 THEN 'Be, Ro,Si' ELSE payee END, CASE WHEN k <> 8 THEN iso END, amount FROM named WHERE year = 1999
+    UNION ALL {DELIVERED}
+    UNION ALL SELECT 'RO-' || CAST(op_id AS VARCHAR), op_date, year, payee, iso, amount FROM named WHERE year >= 2001)"""
 
 
 @check("A5", "O3", "O4", "O5", "O29", "O31", "O37", "O42", "O43", "O71", "O88", "O90", sql=LEDGER + " SELECT * FROM whole")
 def whole_ledger(spark, folder):
-    """All layouts that end in one ledger but the one that keeps names as delivered, see below."""
-    parts = _parts(spark, folder)
-    out = L.whole_ledger(*[part() for name, part in parts.items() if name != "named"])
-    return out.withColumn("amount", F.col("amount").cast("double"))
+    """All five branches under one another, over all payments."""
+    return _whole(spark, folder).withColumn("amount", F.col("amount").cast("double"))
+
+
+def _whole(spark, folder) -> DataFrame:
+    return L.whole_ledger(*[part() for part in _parts(spark, folder).values()])
 
 
 @check("A5", "O35", sql=f"""WITH {MOVES}, pay AS (
-    SELECT op_id, op_date, year, CAST(substr(dest, 8) AS INTEGER) AS k, CAST(sum(amount) AS DOUBLE) AS amount FROM lines WHERE year >= 2001 GROUP BY ALL)
-    SELECT 'RO-' || CAST(op_id AS VARCHAR) AS op_id, op_date, year,
-      CASE k WHEN 4 THEN 'Fx Missions' WHEN 6 THEN 'Uk_observers' WHEN 8 THEN 'Be, Ro,si' ELSE CASE WHEN k % 3 = 0 THEN '(nation_' || CAST(k AS VARCHAR) || ') Observer'
-        ELSE 'Nation_' || CAST(k AS VARCHAR) END END AS payee,
-      CASE WHEN k NOT IN (4, 8) AND k % 3 <> 0 THEN 'N' || lpad(CAST(k AS VARCHAR), 2, '0') END AS iso,
-      CASE k WHEN 10 THEN -5.5 ELSE amount END AS amount
-    FROM pay WHERE k % 2 = 0""")
+    SELECT op_id, op_date, year, CAST(substr(dest, 8) AS INTEGER) AS k, CAST(sum(amount) AS DOUBLE) AS amount FROM lines GROUP BY ALL) {DELIVERED}""")
 def named_ledger(spark, folder):
     """Names and amounts are kept as delivered, codes found where the name is a country's."""
     return _parts(spark, folder)["named"]().withColumn("amount", F.col("amount").cast("double"))
+
+
+@check("A5", "A6", sql=LEDGER + """ SELECT year, payee, coalesce(sum(CAST(amount AS DECIMAL(18,4))), 0)::DOUBLE AS amount FROM whole GROUP BY year, payee""")
+def whole_ledger_by_year_and_payee(spark, folder):
+    """The contribution cube from the ledger as it was read."""
+    long = Q.yearly_contributions_long(_whole(spark, folder))
+    return long.withColumn("amount", F.col("amount").cast("double"))
+
+
+# --- newer deliveries: returns and types ---------------------------------------------
+
+
+def _newer_files(spark, folder, rows: DataFrame, label: str) -> str:
+    """One delivery per year, as CSV with a header."""
+    path = new_folder(spark, label)
+    rows.write.partitionBy("year").option("header", True).csv(path)
+    return path
+
+
+def _newer_returns(spark, folder) -> DataFrame:
+    moves = T.movements(spark, folder)
+    starred = F.when(_number("dest") % 2 == 0, F.concat("dest", F.lit("*"))).otherwise(F.col("dest"))
+    rows = moves.select(
+        F.year("op_date").alias("year"), "op_id", _day("op_date", "yyyy-MM-dd").alias("op_date"), "origin",
+        starred.alias("dest"), F.col("n").cast("string").alias("n"),
+    )
+    path = _newer_files(spark, folder, rows, "newer-returns")
+    return D.newer_returns(read_rows(spark, path, D.NEWER_RETURN_COLUMNS))
+
+
+def _newer_types(spark, folder) -> DataFrame:
+    rows = T.operation_headers(spark, folder, origin=False).select(
+        F.year("op_date").alias("year"), _day("op_date").alias("op_date"), F.concat(F.lit(" "), "op_type").alias("op_type"), "op_id"
+    )
+    return D.newer_types(read_rows(spark, _newer_files(spark, folder, rows, "newer-types"), D.NEWER_TYPE_COLUMNS))
+
+
+TITLED = "'Nation_' || substr({0}, 8)"
+
+
+@check("A1", "O12", "O79", "O84", sql=f"""WITH {MOVES} SELECT {TITLED.format('dest')} AS dest, {TITLED.format('origin')} AS origin, sum(n) AS n
+    FROM moves GROUP BY dest, origin""")
+def newer_route_matrix(spark, folder):
+    """Route matrix from yearly deliveries taken by position, with names cleaned."""
+    return Q.route_matrix(_newer_returns(spark, folder))
+
+
+@check("A4", "O12", "O39", sql=f"""WITH {MOVES}, per_op AS (SELECT op_id, op_date, op_type, sum(n) AS n FROM moves GROUP BY ALL),
+    known AS (SELECT CAST(o_orderkey AS BIGINT) AS op_id, o_orderpriority AS op_type FROM orders)
+    SELECT CAST(year(op_date) AS INTEGER) AS year, known.op_type, coalesce(sum(n), 0) AS people, count(*) AS operations
+    FROM known LEFT JOIN per_op USING (op_id) GROUP BY ALL""")
+def newer_yearly_types(spark, folder):
+    """Types from their own deliveries, joined in full to the returns."""
+    totals = Q.operation_totals(_newer_returns(spark, folder))
+    return Q.yearly_types_long(Q.operations(_newer_types(spark, folder), totals)).drop("known_people")

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..functions.dates import DAY_FIRST, or_year_end, parse_date
+from ..functions.dates import DAY_FIRST, YEAR_FIRST, or_year_end, parse_date
 from ..functions.nulls import matches, strict_if
-from ..functions.text import between_positions, money_value, number_value, replace_patterns
+from ..functions.text import between_positions, money_value, number_value, replace_patterns, title_case
 from ..operators.columns import add_row_sum, columns_like, map_columns, quoted
 from ..operators.joins import join_on
 from ..operators.ordered import fill_down, number_rows
@@ -29,6 +29,8 @@ STAFF_COLUMNS = [
 ]
 COST_COLUMNS = ["op_id", "op_date", "iso", "amount"]
 REPRESENTATIVE_COLUMNS = ["op_id", "op_date", "n_staff"]
+NEWER_RETURN_COLUMNS = ["op_id", "op_date", "origin", "dest", "n"]
+NEWER_TYPE_COLUMNS = ["op_date", "op_type", "op_id"]
 ID_HEADER, STATE_HEADER, SUBTOTAL = "RO-ID", "MSSAC", "Total"
 
 # Column groups of the 2006-18 sheets.
@@ -40,6 +42,25 @@ SLOTS = {
 }
 
 
+def newer_returns(rows: DataFrame) -> DataFrame:
+    """op_id, op_date, origin, dest, n from the newer deliveries, whose columns go by position.
+
+    Several deliveries are read together; names are in title case, destinations by their rules.
+    """
+    return rows.select(
+        "op_id",
+        parse_date("op_date", YEAR_FIRST + DAY_FIRST).alias("op_date"),
+        title_case("origin").alias("origin"),
+        names.destination("dest").alias("dest"),
+        number_value("n").alias("n"),
+    )
+
+
+def newer_types(rows: DataFrame) -> DataFrame:
+    """op_id, op_type for `cubes.operations`; the types' own dates differ and are left out."""
+    return rows.select("op_id", "op_type")
+
+
 def data_rows(rows: DataFrame) -> DataFrame:
     """Rows that carry a count: no subtotals, repeated headers, footnotes or blank counts."""
     return rows.where(
