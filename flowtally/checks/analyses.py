@@ -19,7 +19,8 @@ from .registry import AMOUNT, COSTS, LINES, MOVES, NATIONS, PRIORITIES, check, p
 
 @check("A1", "O47", sql=f"WITH {LINES} SELECT dest, origin, sum(n) AS n FROM lines GROUP BY dest, origin")
 def route_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return Q.route_matrix(T.movement_lines(spark, folder))
+    """Summed by nation keys; names join the few routes afterwards."""
+    return T.with_names(spark, folder, Q.route_matrix(T.keyed_lines(spark, folder)))
 
 
 @check("A1", sql=f"WITH {LINES} SELECT dest, origin, sum(n) AS n FROM lines GROUP BY dest, origin HAVING sum(n) <> 0")

@@ -44,7 +44,7 @@ def _raw_returns(spark, folder) -> DataFrame:
     """Id and date only on an operation's first row, subtotals after it, headers between pages."""
     moves = T.movements(spark, folder).withColumn("k", _number("dest") + 1)
     # at most one row per place in each of these windows
-    moves = staged(with_group_total(moves, ["op_id"], {"first": lambda w: F.min("k").over(w)}), "moves")
+    moves = staged(with_group_total(moves, ["op_id"], {"first": F.min("k")}), "moves")
     head = F.col("k") == F.col("first")
     shifted, merged = F.col("op_id") % 40 == 7, F.col("op_id") % 9 == 0
     tail = F.concat(_day("op_date"), F.lit(" "), F.left("op_type", F.lit(3)))
@@ -307,7 +307,7 @@ def _payments(spark, folder) -> DataFrame:
     """Ledger rows with the payee written in several ways, plus what must be dropped."""
     rows = T.ledger(spark, folder).join(T.operation_headers(spark, folder, origin=False).select("op_id", "op_date"), "op_id")
     rows = rows.withColumn("k", _number("payee"))
-    rows = with_group_total(rows, ["op_id"], {"first": lambda w: F.min("k").over(w)})  # one row per place
+    rows = with_group_total(rows, ["op_id"], {"first": F.min("k")})
     written = (
         F.when(F.col("k") == 4, F.lit("FX MISSIONS"))
         .when(F.col("k") == 5, F.lit("THE NETHERLANDS_CANCELLED"))

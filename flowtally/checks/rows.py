@@ -329,15 +329,15 @@ def largest_group_total(spark, folder):
 def partition_totals(spark, folder):
     """Totals of both sides on every route; the routes are aggregated first."""
     routes = Q.route_matrix(T.movement_lines(spark, folder))
-    by_origin = A.with_group_total(routes, ["origin"], {"n_origin": lambda w: strict_sum("n", w)})
-    return A.with_group_total(by_origin, ["dest"], {"n_dest": lambda w: strict_sum("n", w)})
+    by_origin = A.with_group_total(routes, ["origin"], {"n_origin": strict_sum("n")})
+    return A.with_group_total(by_origin, ["dest"], {"n_dest": strict_sum("n")})
 
 
 @check("O61", sql=f"WITH {MOVES} SELECT op_id, dest, n, count(*) OVER (PARTITION BY op_id, op_date) AS n_dest FROM moves")
 def partition_sizes(spark, folder):
     """Number of destinations on each row of an operation, at most one row per place."""
     moves = T.movements(spark, folder, origin=False)
-    return A.with_group_total(moves, ["op_id", "op_date"], {"n_dest": lambda w: F.count(F.lit(1)).over(w)}).select("op_id", "dest", "n", "n_dest")
+    return A.with_group_total(moves, ["op_id", "op_date"], {"n_dest": F.count(F.lit(1))}).select("op_id", "dest", "n", "n_dest")
 
 
 @check("O62", sql="""SELECT l_orderkey, min(l_partkey) AS l_partkey, min(l_quantity) AS l_quantity FROM lineitem
@@ -365,11 +365,10 @@ def sorted_head(spark, folder):
       FROM lines GROUP BY GROUPING SETS ((origin, dest), (origin)))
     SELECT dest, origin, n, row_number() OVER (ORDER BY dest = 'all destinations' DESC, n DESC, origin, dest) AS place FROM c""")
 def pinned_sort(spark, folder):
-    """Total rows first, then by size; a cube of routes, so one window may number it."""
+    """Total rows first, then by size."""
     cube = A.with_subtotal(T.movement_lines(spark, folder), ["origin", "dest"], "dest", Q.ALL_DESTINATIONS, ["n"])
-    first = (F.col("dest") == Q.ALL_DESTINATIONS).desc()
-    order = Window.orderBy(first, descending("n"), ascending("origin"), ascending("dest"))
-    return cube.withColumn("place", F.row_number().over(order).cast("long"))
+    ranked = cube.withColumns({"behind": F.col("dest") != Q.ALL_DESTINATIONS, "below": -F.col("n")})
+    return R.number_rows(ranked, "place", ["behind", "below", "origin", "dest"]).drop("behind", "below")
 
 
 @check("O68", sql="SELECT l_partkey, sum(l_quantity) AS total FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
 
 from ..functions.nulls import ascending, descending, lenient_sum
 from .columns import numeric_columns, quoted
+from .joins import join_on
 
 
 def sum_numeric(df: DataFrame, *keys: str | Column) -> DataFrame:
@@ -40,13 +40,14 @@ def with_grand_total(df: DataFrame, key: str, label: str) -> DataFrame:
     return both.withColumn(key, named).drop("__total")
 
 
-def with_group_total(df: DataFrame, by: Sequence[str], totals: Mapping[str, Callable[[WindowSpec], Column]]) -> DataFrame:
-    """Put group aggregates, {new column: aggregate over a window}, on each row.
+def with_group_total(df: DataFrame, by: Sequence[str], totals: Mapping[str, Column]) -> DataFrame:
+    """Put group aggregates, {new column: aggregate}, on each row.
 
-    For tables already aggregated to few rows per group.
+    Aggregated first, with partial sums ahead of the shuffle, and joined back, so that no
+    group has to fit into one task; a window would gather it there.
     """
-    w = Window.partitionBy(*by)
-    return df.withColumns({out: agg(w) for out, agg in totals.items()})
+    sums = df.groupBy(*[quoted(b) for b in by]).agg(*[agg.alias(out) for out, agg in totals.items()])
+    return join_on(df, sums, by)
 
 
 def single_rows(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -66,16 +67,17 @@ def top_by(df: DataFrame, key: str, metric: Column, k: int, out: str = "total")
     return totals.orderBy(descending(out), ascending(key)).limit(k)
 
 
-def ordered_values(df: DataFrame, key: str, metric: Column, positive_only: bool = True) -> list:
+def ordered_values(df: DataFrame, key: str, metric: Column, positive_only: bool = True, most: int = 5000) -> list:
     """Values of `key` by falling aggregate, as a list for column orders.
 
-    For keys that become columns, so there are few of them; more than 5000 is an error.
+    For keys that become columns; more than `most` of them is an error. The long forms of
+    the cubes do without columns and so without this bound.
     """
     sums = df.groupBy(key).agg(metric.alias("__total"))
     if positive_only:
         sums = sums.where(F.col("__total") > 0)
-    rows = sums.orderBy(descending("__total"), ascending(key)).limit(5001).collect()
-    if len(rows) > 5000:
+    rows = sums.orderBy(descending("__total"), ascending(key)).limit(most + 1).collect()
+    if len(rows) > most:
         raise ValueError(f"too many values of {key} for columns")
     return [r[0] for r in rows]
 

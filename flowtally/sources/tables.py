@@ -78,6 +78,25 @@ def movement_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def keyed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """dest, origin, n per line, with nation keys in place of names."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", F.col("l_quantity").alias("n"))
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
+    customers = table(spark, folder, "customer").select("c_custkey", F.col("c_nationkey").alias("origin"))
+    return (
+        lines.join(_suppliers(spark, folder), "l_suppkey")
+        .join(orders.join(customers, "c_custkey"), "l_orderkey")
+        .select(F.col("s_nationkey").alias("dest"), "origin", "n")
+    )
+
+
+def with_names(spark: SparkSession, folder: str, routes: DataFrame) -> DataFrame:
+    """Nation names for the keys in dest and origin of an aggregated table."""
+    for side in ("dest", "origin"):
+        routes = routes.withColumnRenamed(side, "__key").join(_places(spark, folder, "__key", side), "__key").drop("__key")
+    return routes.select("dest", "origin", *[c for c in routes.columns if c not in ("dest", "origin")])
+
+
 def _by_destination(spark: SparkSession, folder: str, *sums: Column) -> DataFrame:
     return (
         table(spark, folder, "lineitem")
