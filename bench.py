@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 BENCH_SF_DIR names the table folder, BENCH_CPUS the number of local cores. Each query
-runs once untimed, then its best of BENCH_RUNS (default 1) runs counts.
+runs once untimed, which also writes the raw deliveries that some queries read, then its best of BENCH_RUNS (default 1) runs counts.
 """
 
 from __future__ import annotations
@@ -33,6 +33,9 @@ HEADLINE = [
     "sheet_operations",
     "sheet_destinations",
     "whole_ledger",
+    "newer_route_matrix",
+    "newer_yearly_types",
+    "combined_yearly_returns",
     "fill_down_by_key",
     "fill_down_whole_table",
     "row_keys",

@@ -17,10 +17,11 @@ from ..operators.totals import with_group_total
 from ..plans import cubes as Q
 from ..plans import deliveries as D
 from ..plans import ledger as L
+from ..plans.older import combined_movements
 from ..session import new_folder, staged
 from ..sources import tables as T
 from ..sources.files import read_rows
-from .registry import AMOUNT, MOVES, check
+from .registry import AMOUNT, MOVES, check, delivered
 
 ID_LENGTH = 15
 
@@ -40,6 +41,7 @@ def _number(c: str) -> Column:
 
 # --- returns with continuation rows -------------------------------------------------
 
+@delivered
 def _raw_returns(spark, folder) -> DataFrame:
     """Id and date only on an operation's first row, subtotals after it, headers between pages."""
     moves = T.movements(spark, folder).withColumn("k", _number("dest") + 1)
@@ -217,6 +219,7 @@ def representatives(spark, folder):
 # --- sheets with repeated column groups -----------------------------------------------
 
 
+@delivered
 def _raw_sheets(spark, folder) -> DataFrame:
     """Three destinations side by side; an operation with more takes several lines."""
     places = Window.partitionBy("op_id").orderBy("dest")  # at most one row per place
@@ -300,9 +303,38 @@ def sheet_destinations(spark, folder):
     return D.sheet_destinations(_headers(spark, folder))
 
 
+COMBINED = SHEETS + """,
+  combined AS (
+    SELECT id AS op_id, heads.op_date, upper(heads.op_type) AS op_type, heads.origin, cells.dest, n FROM cells JOIN heads USING (op_id, line)
+    UNION ALL SELECT 'RO-' || lpad(CAST(op_id AS VARCHAR), 12, '0'), op_date, substr(op_type, 1, 3), origin,
+      CASE dest WHEN 'NATION_1' THEN 'Kosovo' WHEN 'NATION_2' THEN 'Gambia' ELSE dest END, n
+    FROM moves WHERE op_id % 40 <> 7)"""
+
+
+def _combined(spark, folder) -> DataFrame:
+    headers = _headers(spark, folder)
+    return combined_movements(D.sheet_operations(headers), D.sheet_destinations(headers), D.tidy_returns(_raw_returns(spark, folder), ["src_row"], ID_LENGTH))
+
+
+@check("A3", "A15", "O71", sql=COMBINED + """
+  SELECT CAST(year(op_date) AS INTEGER) AS year, CASE WHEN grouping(dest) = 1 THEN 'all destinations' ELSE dest END AS dest, origin, sum(n) AS n
+  FROM combined GROUP BY GROUPING SETS ((year(op_date), origin, dest), (year(op_date), origin)) HAVING sum(n) > 0""")
+def combined_yearly_returns(spark, folder):
+    """Sheets joined to their lines, stacked on the later returns, by year, state and destination."""
+    return Q.yearly_returns_long(_combined(spark, folder))
+
+
+@check("A4", "A18", sql=COMBINED + """, per_op AS (SELECT op_id, op_date, op_type, sum(n) AS n FROM combined GROUP BY ALL)
+  SELECT CAST(year(op_date) AS INTEGER) AS year, op_type, sum(n) AS people, count(*) AS operations FROM per_op GROUP BY ALL""")
+def combined_yearly_types(spark, folder):
+    """The same table by year and type."""
+    return Q.yearly_types_long(_combined(spark, folder)).drop("known_people")
+
+
 # --- ledger in five layouts -----------------------------------------------------------
 
 
+@delivered
 def _payments(spark, folder) -> DataFrame:
     """Ledger rows with the payee written in several ways, plus what must be dropped."""
     rows = T.ledger(spark, folder).join(T.operation_headers(spark, folder, origin=False).select("op_id", "op_date"), "op_id")
@@ -434,29 +466,38 @@ def whole_ledger_by_year_and_payee(spark, folder):
 # --- newer deliveries: returns and types ---------------------------------------------
 
 
-def _newer_files(spark, folder, rows: DataFrame, label: str) -> str:
+def _newer_files(spark, rows: DataFrame, label: str) -> str:
     """One delivery per year, as CSV with a header."""
     path = new_folder(spark, label)
     rows.write.partitionBy("year").option("header", True).csv(path)
     return path
 
 
-def _newer_returns(spark, folder) -> DataFrame:
+@delivered
+def _returns_path(spark, folder) -> str:
     moves = T.movements(spark, folder)
     starred = F.when(_number("dest") % 2 == 0, F.concat("dest", F.lit("*"))).otherwise(F.col("dest"))
     rows = moves.select(
         F.year("op_date").alias("year"), "op_id", _day("op_date", "yyyy-MM-dd").alias("op_date"), "origin",
         starred.alias("dest"), F.col("n").cast("string").alias("n"),
     )
-    path = _newer_files(spark, folder, rows, "newer-returns")
-    return D.newer_returns(read_rows(spark, path, D.NEWER_RETURN_COLUMNS))
+    return _newer_files(spark, rows, "newer-returns")
 
 
-def _newer_types(spark, folder) -> DataFrame:
+def _newer_returns(spark, folder) -> DataFrame:
+    return D.newer_returns(read_rows(spark, _returns_path(spark, folder), D.NEWER_RETURN_COLUMNS))
+
+
+@delivered
+def _types_path(spark, folder) -> str:
     rows = T.operation_headers(spark, folder, origin=False).select(
         F.year("op_date").alias("year"), _day("op_date").alias("op_date"), F.concat(F.lit(" "), "op_type").alias("op_type"), "op_id"
     )
-    return D.newer_types(read_rows(spark, _newer_files(spark, folder, rows, "newer-types"), D.NEWER_TYPE_COLUMNS))
+    return _newer_files(spark, rows, "newer-types")
+
+
+def _newer_types(spark, folder) -> DataFrame:
+    return D.newer_types(read_rows(spark, _types_path(spark, folder), D.NEWER_TYPE_COLUMNS))
 
 
 TITLED = "'Nation_' || substr({0}, 8)"
