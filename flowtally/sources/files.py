@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import blank_to_null, trimmed
 from ..operators.columns import quoted
+from ..operators.reshape import union_by_name
 
 ROW_ORDER = ["src_block", "src_row"]
 SOURCE = ["src_file", *ROW_ORDER]
@@ -91,20 +92,38 @@ def sheet_for_year(years: Mapping[int, int]) -> Column:
     return table[F.col("year")]
 
 
-def read_sheets(spark: SparkSession, folder: str, names: Sequence[str], sheets: Mapping[int, int]) -> DataFrame:
-    """Multi-sheet workbook stored as `sheet=<k>/` folders; only listed sheets are read.
+def read_sheets(
+    spark: SparkSession,
+    source: str | Sequence[tuple[str, int, int]],
+    names: Sequence[str],
+    sheets: Mapping[int, int] | None = None,
+    clean: bool = True,
+) -> DataFrame:
+    """Multi-sheet workbooks stored as `sheet=<k>/` folders; only listed sheets are read.
 
-    `sheets` is {year: sheet}. The year column comes from that table.
+    Either one workbook with `sheets`, {year: sheet}, or a list of (workbook, sheet, year).
+    The year column comes from that list. Fields are cleaned as in `read_rows`, and rows
+    carry `src_file`, `src_block`, `src_row` for keys and fill-down.
     """
-    schema = text_schema(names).add("sheet", T.IntegerType())
-    years = F.create_map(*[F.lit(v).cast("int") for y, s in sheets.items() for v in (s, y)])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .csv(folder)
-        .where(F.col("sheet").isin(list(sheets.values())))
-        .withColumn("year", years[F.col("sheet")])
-    )
+    listed = [(source, sheet, year) for year, sheet in (sheets or {}).items()] if isinstance(source, str) else list(source)
+    tables = []
+    for folder in dict.fromkeys(f for f, _, _ in listed):
+        years = {sheet: year for f, sheet, year in listed if f == folder}
+        lookup = F.create_map(*[F.lit(v).cast("int") for pair in years.items() for v in pair])
+        raw = spark.read.schema(text_schema(names).add("sheet", T.IntegerType())).option("header", True).csv(folder)
+        raw = raw.where(F.col("sheet").isin(list(years)))
+        values = [blank_to_null(trimmed(quoted(c))).alias(c) if clean else quoted(c) for c in names]
+        tables.append(
+            raw.select(
+                *values,
+                "sheet",
+                lookup[F.col("sheet")].alias("year"),
+                F.col("_metadata.file_path").alias("src_file"),
+                F.col("_metadata.file_block_start").alias("src_block"),
+                F.monotonically_increasing_id().alias("src_row"),
+            )
+        )
+    return union_by_name(*tables)
 
 
 def load_catalog(spark: SparkSession, folder: str, ending: str = ".csv", exclude: str = "_new") -> dict[str, DataFrame]:

@@ -2,6 +2,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from flowtally.operators.ordered import fill_down
 from flowtally.session import new_folder, staged, staging_folder
 from flowtally.sources import files as S
 
@@ -62,6 +63,14 @@ def test_yearly_files_and_sheets(spark, tmp_path):
     assert "PartitionFilters: [sheet" in sheets._jdf.queryExecution().executedPlan().toString()
 
 
+def test_sheets_of_several_workbooks_keep_their_row_order(spark, tmp_path):
+    write(tmp_path, "a/sheet=2/part.csv", "id,n\nR1,1\n ,2\n,3\n")
+    write(tmp_path, "b/sheet=5/part.csv", "id,n\n,4\nR2, 5\n")
+    rows = staged(S.read_sheets(spark, [(str(tmp_path / "a"), 2, 2019), (str(tmp_path / "b"), 5, 2020)], ["id", "n"]))
+    filled = fill_down(rows, ["id"], S.ROW_ORDER, ["src_file"]).orderBy("n").collect()
+    assert [(r.id, r.n, r.year) for r in filled] == [("R1", "1", 2019), ("R1", "2", 2019), ("R1", "3", 2019), (None, "4", 2020), ("R2", "5", 2020)]
+
+
 def test_typed_scan_and_quarantine(spark, tmp_path):
     path = write(tmp_path, "t.csv", "n,day\n1,2020-01-02\nx,2020-01-03\n")
     text = S.read_rows(spark, path, ["n", "day"])
