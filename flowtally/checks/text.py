@@ -9,7 +9,9 @@ from ..functions import names as N
 from ..functions import text as X
 from ..functions.nulls import half_even, lenient_sum, strict_if
 from ..plans.deliveries import checked_staff
+from ..session import new_folder
 from ..sources import tables as T
+from ..sources.files import read_rows
 from .registry import check
 
 
@@ -183,6 +185,34 @@ def currency_text(spark, folder):
     return T.table(spark, folder, "orders").select("o_orderkey", X.money_value(raw).cast("double").alias("price"))
 
 
+@check("O91", sql="SELECT o_orderkey, o_orderkey % 9 AS kind FROM orders WHERE o_orderkey % 9 IN (1, 2, 3)")
+def amount_quarantine(spark, folder):
+    """Amounts too large, with digits beyond the fourth decimal, or with other signs among them."""
+    price = F.col("o_totalprice").cast("decimal(14,2)").cast("string")
+    kind = F.col("o_orderkey") % 9
+    raw = (
+        F.when(kind == 1, F.concat(F.lit("9" * 25), price))
+        .when(kind == 2, F.concat(price, F.lit("001")))
+        .when(kind == 3, F.concat(price, F.lit(" approx.")))
+        .when(kind == 4, F.lit("€ -"))
+        .when(kind == 5, F.concat(F.lit("12345678901"), price))
+        .otherwise(F.concat(F.lit("€ "), price))
+    )
+    return T.table(spark, folder, "orders").where(X.unfit_amount(raw)).select("o_orderkey", kind.alias("kind"))
+
+
+@check("O2", sql="SELECT c_custkey, CAST(c_custkey AS VARCHAR) || ',' || c_name || ',x,y' AS line FROM customer WHERE c_custkey % 13 = 0")
+def field_quarantine(spark, folder):
+    """Lines with fields beyond the header, kept whole."""
+    path = new_folder(spark, "long-lines")
+    rows = T.table(spark, folder, "customer").select(
+        F.concat_ws(",", "c_custkey", "c_name", *[F.when(F.col("c_custkey") % 13 == 0, F.lit(x)) for x in "xy"]).alias("value")
+    )
+    rows.write.text(path)
+    lines = read_rows(spark, path, ["c_custkey", "c_name"], header=False, quarantine="line")
+    return lines.where("line IS NOT NULL").select(F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "line")
+
+
 @check("O92", "O99", sql="SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 1 THEN o_totalprice END AS price FROM orders")
 def number_text(spark, folder):
     text = F.element_at(

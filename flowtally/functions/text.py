@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .nulls import as_col, matches
 
 MONEY = "decimal(18,4)"
+WRITTEN_MONEY = "decimal(28,4)"  # amounts read from text, which may be larger than any computed here
 
 # Positions where a word starts: a letter that follows neither a letter, a digit,
 # an underscore nor an apostrophe.
@@ -97,12 +98,25 @@ def number_value(c: Column | str) -> Column:
 
 def amount_value(c: Column | str) -> Column:
     """Text to an exact amount of money; anything that is not a number becomes NULL."""
-    return as_col(c).try_cast(MONEY)
+    return as_col(c).try_cast(WRITTEN_MONEY)
 
 
 def money_value(c: Column | str) -> Column:
     """Currency text such as '€ 4 9,883.90' to an exact amount; '€ -' becomes NULL."""
-    return F.regexp_replace(as_col(c), r"[,\s €]", "").try_cast(MONEY)
+    return _bare_amount(c).try_cast(WRITTEN_MONEY)
+
+
+def _bare_amount(c: Column | str) -> Column:
+    return F.regexp_replace(as_col(c), r"[,\s €]", "")
+
+
+def unfit_amount(c: Column | str) -> Column:
+    """Whether a text with digits is read as no amount, or only rounded to four decimals."""
+    bare = _bare_amount(c)
+    value = bare.try_cast(WRITTEN_MONEY)
+    exact = bare.try_cast("decimal(38,10)")
+    inexact = value.isNull() | exact.isNull() | (value != exact) | bare.rlike(r"\.\d{11,}")
+    return F.coalesce(bare.rlike(r"\d") & inexact, F.lit(False))
 
 
 def display_amount(c: Column | str, digits: int = 0, currency: str = "€") -> Column:

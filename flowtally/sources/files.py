@@ -51,7 +51,8 @@ def read_rows(
     reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
     reader = reader.option("multiLine", True) if multi_line else reader.option("lineSep", "\n")
     if quarantine:
-        reader = reader.option("columnNameOfCorruptRecord", quarantine)
+        # a line is only seen to be too long where all its fields are parsed
+        reader = reader.option("columnNameOfCorruptRecord", quarantine).option("columnPruning", False)
     raw = reader.schema(text_schema([*fields, *([quarantine] if quarantine else [])])).csv(path)
     values = [blank_to_null(trimmed(quoted(c))).alias(c) if clean else quoted(c) for c in fields]
     return raw.select(

@@ -138,7 +138,7 @@ def payments(spark: SparkSession, folder: str) -> DataFrame:
 
 def ledger(spark: SparkSession, folder: str) -> DataFrame:
     """op_id, year, payee, amount: one row per operation and payee."""
-    per_place = _by_destination(spark, folder, F.sum(amount()).cast(MONEY).alias("amount"))
+    per_place = _by_destination(spark, folder, F.sum(amount()).alias("amount"))
     return (
         per_place.join(_years(spark, folder), "op_id")
         .join(_places(spark, folder, "s_nationkey", "payee"), "s_nationkey")

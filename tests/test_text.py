@@ -52,6 +52,13 @@ def test_currency_text(spark):
     assert out == [Decimal("49883.9000"), None, Decimal("140.7100"), None, Decimal("1234.5679")]
 
 
+def test_amounts_that_do_not_fit(spark):
+    big = "1" * 20
+    assert apply(spark, X.money_value, big, "1" * 30) == [Decimal(big), None]
+    texts = ["1.23456", "€ 5.10", "1" * 30, "n/a", "€ -", None, "3 EUR", "7.1200000"]
+    assert apply(spark, X.unfit_amount, *texts) == [True, False, True, False, False, False, True, False]
+
+
 def test_number_text(spark):
     assert apply(spark, X.number_value, " 12.5\r", "-", "12f", "1e3", None, "") == [12.5, None, None, 1000.0, None, None]
 
