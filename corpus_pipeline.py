@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from flowtally.llm import exact_dedup, language, packing, simhash
 from flowtally.session import staged
 
-#: Documents whose language is this uncertain are rejected, as are those without a letter.
-LEAST_SCORE = 0.35
+#: A language must have this many times the likelihood share of chance; texts without a letter have none.
+LEAST_LIFT = 1.1
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose language is identified."""
-    return language.keep_identified(docs, language.fit(docs), least=LEAST_SCORE)
+    return language.keep_identified(docs, language.fit(docs), lift=LEAST_LIFT)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

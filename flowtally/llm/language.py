@@ -242,10 +242,15 @@ def identified(
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model, text_column: str = "text", least: float = 0.0) -> DataFrame:
-    """The rows whose language is found with a score of at least `least`, with all columns."""
+def keep_identified(docs: DataFrame, model: Model, text_column: str = "text", lift: float = 1.0) -> DataFrame:
+    """The rows whose language is found, with all columns.
+
+    The score must reach `lift` times the share that chance would give, one over the number
+    of languages; a model of one language finds it wherever there is a letter.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_column)
+    least = lift / len(model.languages) if len(model.languages) > 1 else 0.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, names, shares in _predicted(batches, shared.value, at):
