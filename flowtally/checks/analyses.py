@@ -381,6 +381,7 @@ def published_cubes(spark, folder):
         T.ledger(spark, folder),
         T.countries(spark, folder),
         new_folder(spark, "published"),
+        null_safe=False,
     )
     counts = [read_cube(spark, p).agg(F.lit(name).alias("cube"), F.count(F.lit(1)).alias("n_rows")) for name, p in paths.items()]
     return union_by_name(*counts)

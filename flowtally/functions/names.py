@@ -37,16 +37,8 @@ DESTINATIONS_2006_EXACT = {"x": None}
 
 # Words in the payee column of the ledgers that are no part of the name.
 PAYEE_AGENCY = {"Fx Missions|Fx Mission": "Frontex"}
-PAYEE_NOISE = [
-    "Observers", "Observer", "Obs", r"\(", r"\)",
-    "_observers", "_cancelled", "_ombudsman", "_stopover", "Cancelled", "_no Costs",
-    "_jcc With At", "Cancellation", "_cancellation", "_observer", "_monitor", "_rf",
-]
-PAYEE_NOISE_2016 = [
-    "Observers", "Observer", "Obs", r"\(", r"\)",
-    "_observers", "_cancelled", "_ombudsman", "_stopover", "Cancelled", "_no Costs",
-    "_jcc With At", "Cancellation", "_cancellation", "_observer", "_monitors", "_monitor", "_rf",
-]
+PAYEE_NOISE = r"Observers|Observer|Obs|\(|\)|_observers|_cancelled|_ombudsman|_stopover|Cancelled|_no Costs|_jcc With At|Cancellation|_cancellation|_observer|_monitor|_rf"
+PAYEE_NOISE_2016 = r"Observers|Observer|Obs|\(|\)|_observers|_cancelled|_ombudsman|_stopover|Cancelled|_no Costs|_jcc With At|Cancellation|_cancellation|_observer|_monitors|_monitor|_rf"
 PAYEES = [("Netherland", "Netherlands"), ("Frontex", "Frontex")]
 PAYEES_EXACT = {"Uk": "United Kingdom", "Geramny": "Germany"}
 PAYEES_2016 = [
@@ -90,8 +82,6 @@ RANKING_RELABELS = {"Congo, The Democratic Republic Of The": "Congo DR"}
 # Operation types in display order.
 TYPE_LEVELS = ["JRO", "JRO (FRONTEX-RO)", "FRONTEX-RO", "NRO", "CRO", "VRD", "Humanitarian VR", "VDO"]
 
-TYPE_LEVELS_2022 = ["JRO", "CRO", "NRO", "VDO", "VRD", "FRONTEX-RO", "Humanitarian VR", "unknown"]
-
 # State spellings in the 2006-18 sheets (case-insensitive but for UK and N/A).
 STATES_2006 = [("(?i)fronte", "Frontex"), ("UK", "United Kingdom"), ("(?i)taly", "Italy"), ("(?i)embourg", "Luxembourg")]
 STATE_SUFFIXES_2006 = [("(?i)observer", r" \(observer\)"), ("(?i)ombudsman", r" \(Ombudsman\)")]
@@ -135,7 +125,7 @@ def payee_2016(c: Column | str) -> Column:
 
 def _payee(c, noise, rules, exact) -> Column:
     text = replace_patterns(title_case(c), PAYEE_AGENCY)
-    return apply_rules(trimmed(remove_all(text, "|".join(noise))), rules, exact)
+    return apply_rules(trimmed(remove_all(text, noise)), rules, exact)
 
 
 def operation_type(op_type: Column | str, op_id: Column | str) -> Column:

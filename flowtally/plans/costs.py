@@ -12,7 +12,6 @@ from ..functions.names import RANKING_RELABELS, RANKING_SYNONYMS
 from ..functions.nulls import ascending, descending, half_even, lenient_sum, ratio, strict_sum
 from ..functions.text import apply_rules, replace_patterns
 from ..operators.joins import join_on, with_lookup
-from ..operators.reshape import union_by_name
 from ..operators.totals import single_rows, with_grand_total
 
 AVERAGE = "average"
@@ -50,11 +49,6 @@ def operation_costs_by_record(records: DataFrame, payments: DataFrame, key: str
     return joined.withColumns({"n": F.col("n") * times, "amount": F.coalesce("amount", F.lit(0)), "payments": times})
 
 
-def combined_costs(*parts: DataFrame) -> DataFrame:
-    """Costs of several deliveries under one another."""
-    return union_by_name(*parts)
-
-
 def cost_per_person(
     costs: DataFrame,
     countries: DataFrame,

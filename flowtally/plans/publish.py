@@ -28,17 +28,19 @@ PER_PERSON_NAMES = {
 }
 
 
-def published(returnees: DataFrame, types: DataFrame, ledger: DataFrame, countries: DataFrame) -> dict[str, DataFrame]:
-    """Name -> cube.
+def published(
+    returnees: DataFrame, types: DataFrame, ledger: DataFrame, countries: DataFrame, null_safe: bool = True
+) -> dict[str, DataFrame]:
+    """Name -> cube. Where no id is NULL, plain keys (`null_safe` off) spare shuffles.
 
     Movements, ledger and operation costs feed several cubes, so each is written once
     to the staging folder and read from there.
     """
     returnees = staged(returnees, "returnees")
     ledger = staged(ledger, "ledger")
-    costs = staged(C.operation_costs(returnees, ledger), "operation-costs")
+    costs = staged(C.operation_costs(returnees, ledger, null_safe=null_safe), "operation-costs")
     matrix = staged(Q.route_matrix(returnees), "routes")
-    ops = Q.operations(types, Q.operation_totals(returnees))
+    ops = Q.operations(types, Q.operation_totals(returnees), null_safe)
     ranking = C.cost_per_person(costs, countries).withColumn("amount", F.col("amount").cast("double"))
     return {
         ROUTES: rename(matrix.orderBy("dest", "origin"), ROUTE_NAMES),
@@ -54,9 +56,15 @@ def published(returnees: DataFrame, types: DataFrame, ledger: DataFrame, countri
 
 
 def publish(
-    returnees: DataFrame, types: DataFrame, ledger: DataFrame, countries: DataFrame, folder: str, form: str = "parquet"
+    returnees: DataFrame,
+    types: DataFrame,
+    ledger: DataFrame,
+    countries: DataFrame,
+    folder: str,
+    form: str = "parquet",
+    null_safe: bool = True,
 ) -> dict[str, str]:
     """Write all cubes below a folder; name -> path. Copies staged on the way are removed."""
     with staging(returnees.sparkSession):
-        cubes = published(returnees, types, ledger, countries)
+        cubes = published(returnees, types, ledger, countries, null_safe)
         return {name: write_cube(cube, f"{folder}/{name}", form) for name, cube in cubes.items()}
