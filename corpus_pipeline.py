@@ -1,4 +1,4 @@
-"""A corpus from raw documents: language, exact copies, near copies, packing.
+"""A corpus from raw documents: language, exact copies, alike texts, near copies, packing.
 
 Each stage takes (spark, docs, sf_dir), works on every row and returns a DataFrame, which
 is written as Parquet and read again as the next stage's documents. All but the last return
@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowtally.llm import exact_dedup, language, packing, simhash
+from flowtally.llm import exact_dedup, language, minhash, packing, simhash
 from flowtally.session import staged
 
 #: A language must have this many times the likelihood share of chance; texts without a letter have none.
@@ -28,8 +28,13 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.without_copies(docs)
 
 
+def alike_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of texts alike: Jaccard of five-word shingles of 0.8 or more."""
+    return minhash.without_near_copies(docs)
+
+
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies."""
+    """Keeps the document with the smallest id of each group of near fingerprints."""
     return simhash.without_near_copies(docs)
 
 
@@ -42,6 +47,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("language", language_stage),
     ("exact_dedup", exact_stage),
+    ("alike_dedup", alike_stage),
     ("near_dedup", near_stage),
     ("packing", packing_stage),
 ]

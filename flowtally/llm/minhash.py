@@ -7,9 +7,9 @@ is numpy. The share of equal places in two signatures estimates the Jaccard like
 the shingle sets.
 
 Near duplicates: signatures are cut into bands, equal bands are joined in Spark, and the
-Jaccard likeness of the shingle sets themselves is verified. Equal signatures are grouped
-first. A band that many signatures share is not expanded into pairs: a member is compared
-with each cluster of the band until one of its members fits, and gives one link per cluster.
+Jaccard likeness of the shingle sets themselves is verified. Equal sets are grouped first.
+A band that many sets share is not expanded into all pairs: each member is verified against
+one of them, and then only pairs of members that are not yet connected are.
 
 Defined results: NULL counts as empty; texts without words have one common signature and
 are like one another only; fewer than five words form one shingle; repeated rows each
@@ -38,6 +38,7 @@ PERMUTATIONS = 64
 _ODD = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _BLOCK = 2048
 _BYTES = 1 << 18
+_PAIRS = 512
 
 
 @lru_cache(maxsize=None)
@@ -213,6 +214,35 @@ def _hex(values: np.ndarray) -> str:
     return values.astype(">u4").tobytes().hex()
 
 
+def _node(hashes: np.ndarray) -> int:
+    """Signed digest of a set of shingle hashes, the same for equal sets."""
+    return int(np.bitwise_xor.reduce(_mixed(np.unique(hashes))).astype(np.uint64).view(np.int64))
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The distinct pairs (a, b) whose shingle sets have a Jaccard likeness of `least`.
+
+    A set that many pairs name as b is repeated once per `_PAIRS` of them, so that no task
+    gets all pairs of one set.
+    """
+    copies = pairs.groupBy(F.col("b").alias("of")).agg(F.ceil(F.count(F.lit(1)) / _PAIRS).cast("int").alias("copies"))
+    copies = staged(copies, "copies")
+    salted = pairs.join(copies, F.col("b") == F.col("of")).select("a", "b", F.pmod(F.xxhash64("a"), F.col("copies")).cast("int").alias("salt"))
+    right = copies.join(sets, F.col("of") == F.col("node")).select(
+        "of", F.col("set").alias("right"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("s")
+    )
+    left = salted.join(sets, F.col("a") == F.col("node")).select("a", "b", "salt", F.col("set").alias("left"))
+    both = left.join(right, (F.col("b") == F.col("of")) & (F.col("salt") == F.col("s"))).select("a", "b", "left", "right")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            views = [[np.frombuffer(x, np.uint64) for x in batch.column(i).to_pylist()] for i in (2, 3)]
+            near = [jaccard(x, y) >= least for x, y in zip(*views)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return staged(both.mapInArrow(verify, "a long, b long"), "alike")
+
+
 def near_groups(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -226,8 +256,8 @@ def near_groups(
 
     Texts whose shingle sets have a Jaccard likeness of `least` are linked, if they share a
     band of signatures: with 16 bands of 4 values this misses a pair at 0.8 with a chance
-    below 2e-4. Texts of one signature count as equal. Shingles travel only for texts that
-    share a band with another signature.
+    of 2e-4. Texts of equal shingle sets count as one. Shingles travel only for texts that
+    share a band with another set.
     """
     rows = docs.select(column(id_column).cast("long").alias("doc_id"), F.coalesce(column(text_column), F.lit("")).cast("binary").alias("text"))
 
@@ -235,42 +265,49 @@ def near_groups(
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                made = [signature(t, count, width) for t in part.column(1).to_pylist()]
-                nodes = [int(np.bitwise_xor.reduce(_mixed(m.astype(np.uint64) + np.arange(count, dtype=np.uint64) * np.uint64(_ODD))).view(np.int64)) for m in made]
-                arrays = [part.column(0), pa.array(nodes, pa.int64()), pa.array([m.tobytes() for m in made], pa.binary()), part.column(1)]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "node", "signature", "text"])
+                hashes = [shingles(t, width) for t in part.column(1).to_pylist()]
+                made = [signature_of(h, count).tobytes() for h in hashes]
+                arrays = [part.column(0), pa.array([_node(h) for h in hashes], pa.int64()), pa.array(made, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "node", "signature"])
 
-    signed = rows.mapInArrow(sign, "doc_id long, node long, signature binary, text binary")
-    placed = staged(signed.select("doc_id", "node", "signature"), "signatures")
-    nodes = staged(placed.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("signature").alias("signature")), "nodes")
-    rows_per_band = 4 * (count // bands)
-    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("signature", 1 + b * rows_per_band, rows_per_band)) for b in range(bands)])
-    banded = nodes.select("node", F.explode(keys).alias("key"))
-    shared = banded.groupBy("key").count().where("count > 1").select(F.col("key").alias("k"))
-    banded = staged(banded.join(shared, F.col("key") == F.col("k"), "left_semi"), "bands")
-    wanted = banded.select("node").distinct()
-    texts = signed.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")).select(F.col("node").alias("n"), "text")
-    dealt = banded.join(texts, F.col("node") == F.col("n")).select("key", "node", "text")
-    dealt = dealt.repartition(shuffle_partitions(docs.sparkSession), "key").sortWithinPartitions("key", "node")
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                nodes = [_node(shingles(t, width)) for t in part.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), part.column(0)], ["node", "text"])
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, groups = None, []  # groups: linked members of the current band, (node, shingles) each
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            links = []
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                for k, node, text in zip(*[c.to_pylist() for c in part.columns]):
-                    if k != key:
-                        key, groups = k, []
-                    own = (node, np.unique(shingles(text, width)))
-                    fitting = [g for g in groups if any(jaccard(own[1], other[1]) >= least for other in g)]
-                    links.extend((node, g[0][0]) for g in fitting)
-                    merged = [own, *[m for g in fitting for m in g]]
-                    groups = [g for g in groups if not any(g is f for f in fitting)] + [merged]
-            if links:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links)], ["a", "b"])
-
-    roots = components(dealt.mapInArrow(verify, "a long, b long"))
+                made = [np.unique(shingles(t, width)).tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.binary())], ["node", "set"])
+
+    placed = staged(rows.mapInArrow(sign, "doc_id long, node long, signature binary"), "signatures")
+    nodes = staged(placed.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("signature").alias("signature")), "nodes")
+    rows_per_band = 4 * (count // bands)
+    keys = F.array(*[F.xxhash64(F.lit(b), F.substring("signature", 1 + b * rows_per_band, rows_per_band)) for b in range(bands)])
+    banded = nodes.select("node", F.explode(keys).alias("key"))
+    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("centre")).where("n > 1")
+    banded = staged(banded.join(shared.select(F.col("key").alias("k"), "centre"), F.col("key") == F.col("k")).select("key", "node", "centre"), "bands")
+    wanted = banded.select(F.col("node").alias("w")).distinct()
+    texts = rows.select("text").mapInArrow(name, "node long, text binary").join(wanted, F.col("node") == F.col("w"), "left_semi")
+    sets = staged(texts.groupBy("node").agg(F.min("text").alias("text")).mapInArrow(cut, "node long, set binary"), "sets")
+
+    # every member of a band beside one of them; then, between what is not yet linked, all pairs
+    stars = staged(banded.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
+    links = _alike(stars, sets, least)
+    roots = staged(components(links), "roots").withColumnRenamed("node", "linked")
+    parted = banded.join(roots, F.col("node") == F.col("linked"), "left").select("key", "node", F.coalesce("root", "node").alias("part"))
+    parted = staged(parted, "parted")
+    mixed = parted.groupBy(F.col("key").alias("k")).agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    parted = parted.join(mixed, F.col("key") == F.col("k"), "left_semi")
+    others = parted.select(F.col("key").alias("k"), F.col("node").alias("b"), F.col("part").alias("p"))
+    pairs = parted.join(others, (F.col("key") == F.col("k")) & (F.col("part") < F.col("p"))).select(F.col("node").alias("a"), "b").distinct()
+    links = links.union(_alike(staged(pairs, "pairs"), sets, least))
+
+    roots = components(links)
     named = nodes.select("node", "first").join(roots.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left")
     named = named.select("node", "first", F.coalesce("root", "node").alias("root"))
     least_ids = named.groupBy("root").agg(F.min("first").alias("component_id")).select(F.col("root").alias("r"), "component_id")
@@ -278,6 +315,13 @@ def near_groups(
     return placed.join(final, F.col("node") == F.col("n")).select("doc_id", "component_id")
 
 
+def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
+    """The rows of `docs` that stay: those with the smallest id of their group, and those without id."""
+    groups = near_groups(docs, id_column, text_column, **settings)
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, column(id_column) == F.col("__gone"), "left_anti")
+
+
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Likeness of two sorted sets; two empty ones are alike."""
     if not len(a) and not len(b):

@@ -91,3 +91,13 @@ def test_near_groups_of_odd_rows(odd):
     found = {(r.doc_id, r.component_id) for r in minhash.near_groups(odd).collect()}
     assert {(1, 1), (2, 1), (3, 1), (5, 5), (6, 6), (None, None)} <= found
     assert (7, 6) in found
+
+
+def test_a_hot_band_is_linked_whole(spark):
+    """One large group of near copies, and a chain that only neighbours link."""
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join([*words[: i % 290], f"x{i}", *words[i % 290 + 1 :]])) for i in range(1, 1200)]
+    rows += [(5000 + i, " ".join(f"c{j}" for j in range(3 * i, 3 * i + 60))) for i in range(40)]
+    found = {r.doc_id: r.component_id for r in minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {found[i] for i in range(1, 1200)} == {1}
+    assert {found[5000 + i] for i in range(40)} == {5000}

@@ -33,3 +33,23 @@ def test_odd_and_empty_tables(spark, folder, odd, empty):
         assert rows.count() > 0, name
         if name != "packing":
             assert rows.schema.names == odd.schema.names
+
+
+def test_texts_alike_in_word_shingles_are_one_document(spark, folder):
+    """Copies with replaced words, of which the SimHash stage alone keeps several."""
+    rows, want = [], []
+    for k in range(20):
+        words = [f"w{k}x{i}" for i in range(200)]
+        rows.append((10 * k, " ".join(words)))
+        want.append(10 * k)
+        for c in range(1, 4):  # one to three places changed: Jaccard above 0.85
+            changed = [f"new{k}x{c}x{i}" if i % 60 == 10 * c and i < 60 * c else w for i, w in enumerate(words)]
+            rows.append((10 * k + c, " ".join(changed)))
+        # half of the words are others: stays
+        rows.append((10 * k + 5, " ".join(words[:100] + [f"other{k}x{i}" for i in range(100)])))
+        want.append(10 * k + 5)
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        if name in ("alike_dedup", "near_dedup"):
+            docs = stage(spark, docs, folder)
+    assert sorted(r.doc_id for r in docs.collect()) == want
