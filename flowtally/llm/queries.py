@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language, licenses, minhash, oracles, packing, pitman_yor, records, simhash, url_filter
+from . import byte_bpe, exact_dedup, language, licenses, minhash, oracles, packing, pitman_yor, records, simhash, url_filter, whitening
 from .common import table
 
 RULES = [
@@ -63,11 +63,16 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_pitman_yor, op3_byte_bpe, op4_minhash, op5_simhash,
         op6_language, op7_packing, op8_exact_dedup, op9_records, op10_licenses,
+        op11_whitening,
     )
 }
 
