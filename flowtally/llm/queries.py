@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language, licenses, minhash, oracles, packing, pitman_yor, records, simhash, url_filter, whitening
+from . import alignment, byte_bpe, exact_dedup, language, licenses, minhash, oracles, packing, pitman_yor, records, simhash, url_filter, whitening
 from .common import table
 
 RULES = [
@@ -67,12 +67,21 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        byte_bpe_file = file.read()
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        pieces = file.read()
+    definitions = alignment.Definitions(byte_bpe_file, public_tokenizers.PATTERN, pieces)
+    return alignment.scores(table(spark, sf_dir, "documents"), definitions)
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_pitman_yor, op3_byte_bpe, op4_minhash, op5_simhash,
         op6_language, op7_packing, op8_exact_dedup, op9_records, op10_licenses,
-        op11_whitening,
+        op11_whitening, op12_alignment,
     )
 }
 
