@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, byte_bpe, exact_dedup, language, licenses, minhash, oracles, packing, pitman_yor, records, simhash, url_filter, whitening
+from . import alignment, byte_bpe, exact_dedup, language, licenses, minhash, mixing, oracles, packing, pitman_yor, records, simhash, url_filter, whitening
 from .common import table
 
 RULES = [
@@ -76,12 +76,16 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.scores(table(spark, sf_dir, "documents"), definitions)
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.document_shares(mixing.mix(table(spark, sf_dir, "documents")))
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_pitman_yor, op3_byte_bpe, op4_minhash, op5_simhash,
         op6_language, op7_packing, op8_exact_dedup, op9_records, op10_licenses,
-        op11_whitening, op12_alignment,
+        op11_whitening, op12_alignment, op13_mixing,
     )
 }
 

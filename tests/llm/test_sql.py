@@ -24,5 +24,5 @@ def test_query_equals_sql(spark, folder, name):
 def test_all_are_registered():
     names = set(entry_module.queries())
     assert {*LLM_QUERIES, "pipeline"} <= names
-    assert {n.split("_")[0] for n in LLM_QUERIES} == {f"op{i}" for i in range(1, 13)}
+    assert {n.split("_")[0] for n in LLM_QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(entry_module.oracle_sql()) <= names
