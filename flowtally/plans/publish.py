@@ -1,4 +1,7 @@
-"""One job that writes every published cube under its published name and columns."""
+"""One job that writes every published cube under its published name and columns.
+
+Each run adds a version (see `sources.snapshots`): readers see all cubes of a run or none.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.columns import rename
 from ..session import staged, staging
-from ..sources.files import write_cube
+from ..sources import snapshots
 from . import costs as C
 from . import cubes as Q
 
@@ -64,7 +67,11 @@ def publish(
     form: str = "parquet",
     null_safe: bool = True,
 ) -> dict[str, str]:
-    """Write all cubes below a folder; name -> path. Copies staged on the way are removed."""
-    with staging(returnees.sparkSession):
-        cubes = published(returnees, types, ledger, countries, null_safe)
-        return {name: write_cube(cube, f"{folder}/{name}", form) for name, cube in cubes.items()}
+    """Write all cubes below a folder as its next version; name -> path. Copies staged on the way are removed.
+
+    `snapshots.read_table` reads a cube of the current version, or of an earlier one.
+    """
+    spark = returnees.sparkSession
+    with staging(spark):
+        done = snapshots.publish_tables(spark, folder, published(returnees, types, ledger, countries, null_safe), form)
+    return {name: f"{folder}/{entry['folder']}" for name, entry in done.tables.items()}
