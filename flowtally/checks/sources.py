@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.joins import join_on
+from ..operators.matching import unmatched_names
 from ..plans import cubes as Q
 from ..session import new_folder
 from ..sources import files as S
+from ..sources import headers as H
+from ..sources import infer as I
 from ..sources import tables as T
-from .registry import LINES, check
+from .registry import LINES, check, delivered
 
 def _csv(df, spark, label, header=True):
     path = new_folder(spark, label)
@@ -128,3 +131,101 @@ def country_dimension(spark, folder):
     dimension = nations.join(T.countries(spark, folder), "name").withColumnRenamed("name", "country")
     customers = T.table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     return join_on(customers, dimension, {"c_nationkey": "n_nationkey"}).select("c_custkey", "iso", "country")
+
+
+ORDER_HEADERS = {"op_id": ["Order Key"], "total": ["Total Price"], "status": [], "priority": ["Order Priority"]}
+ORDER_TYPES = {"op_id": "bigint", "total": "double"}
+
+
+@delivered
+def _deliveries_by_header(spark, folder):
+    """Three layouts in one folder: another order of columns, and one with a column nobody knows."""
+    base = new_folder(spark, "deliveries")
+    orders = T.table(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))
+    key, total, status, priority = (F.col(c) for c in ("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority"))
+    early = orders.where("year < 1994").select(key.alias("Order Key"), total.alias("Total Price"), status.alias("Status"), priority.alias("Order Priority"))
+    middle = orders.where("year IN (1994, 1995)").select(priority.alias("PRIORITY "), status.alias("status"), key.alias("order key"), total.alias("total"))
+    late = orders.where("year > 1995").select(key.alias("Order Key"), status.alias("Status"), F.lit("none").alias("Clerk remark"))
+    for name, delivery in (("early", early), ("middle", middle), ("late", late)):
+        delivery.write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(f"{base}/{name}")
+    return base
+
+
+def _by_header(spark, folder):
+    return H.scan_by_header(spark, f"{_deliveries_by_header(spark, folder)}/*", ORDER_HEADERS)
+
+
+@check("O5", "O11", "O2", sql="""SELECT o_orderkey AS op_id, o_totalprice AS total, o_orderstatus AS status, o_orderpriority AS priority
+    FROM orders WHERE year(o_orderdate) < 1996""")
+def scan_by_header(spark, folder):
+    """Two orders of columns, found by name."""
+    return S.typed(_by_header(spark, folder).rows, ORDER_TYPES).select(*ORDER_HEADERS)
+
+
+@check("O5", "O2", sql="""SELECT 'unknown columns: Clerk remark' AS reason, o_orderkey || ',' || o_orderstatus || ',none' AS line
+    FROM orders WHERE year(o_orderdate) > 1995""")
+def scan_by_header_quarantine(spark, folder):
+    """Lines of deliveries whose header does not fit, their headers left aside."""
+    lines = _by_header(spark, folder).quarantine
+    return lines.where(~F.startswith("line", F.lit("Order Key"))).select("reason", "line")
+
+
+@delivered
+def _order_text(spark, folder):
+    orders = T.table(spark, folder, "orders").withColumns(
+        {
+            "o_totalprice": F.col("o_totalprice").cast("decimal(14,2)"),
+            "o_orderdate": F.date_format("o_orderdate", "dd/MM/yyyy"),
+            "o_open": F.col("o_orderstatus") == "O",
+            "o_code": F.lpad(F.col("o_custkey").cast("string"), 9, "0"),
+        }
+    )
+    return _csv(orders.select(*ORDER_TEXT), spark, "orders-text")
+
+
+ORDER_TEXT = ["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_open", "o_code"]
+
+
+@check("O1", "O92", "O93", sql="""SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority, o_orderstatus = 'O' AS o_open,
+    lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS o_code FROM orders""")
+def scan_inferred(spark, folder):
+    """Types found in the rows: a key, an amount, a date, a flag, text, and a code that stays text."""
+    rows = S.read_rows(spark, _order_text(spark, folder), ORDER_TEXT)
+    return I.with_inferred_types(rows, ORDER_TEXT).select(*ORDER_TEXT).withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+
+
+@check("O1", sql="""SELECT * FROM (VALUES (0, 'o_orderkey', 'bigint', NULL), (2, 'o_orderdate', 'date', 'dd/MM/yyyy'), (3, 'o_orderpriority', 'string', NULL),
+    (4, 'o_open', 'boolean', NULL), (5, 'o_code', 'string', NULL)) t(position, "column", type, notation)
+  UNION ALL SELECT 1, 'o_totalprice', 'decimal(' || (max(length(CAST(CAST(trunc(abs(o_totalprice)) AS BIGINT) AS VARCHAR))) + 2) || ',2)', NULL FROM orders""")
+def inferred_schema(spark, folder):
+    rows = S.read_rows(spark, _order_text(spark, folder), ORDER_TEXT)
+    return I.inferred_schema(rows, ORDER_TEXT)
+
+
+# every second customer's country is misspelt: accents and blanks, letters swapped, or no country at all
+PLACE = """CASE c_custkey % 8 WHEN 1 THEN 'Nâtión ' || c_nationkey WHEN 3 THEN 'NATOIN_' || c_nationkey
+  WHEN 5 THEN 'XY ' || (c_custkey % 5) WHEN 7 THEN NULL ELSE n_name END"""
+
+
+@check("O37", "O31", sql=f"""
+  WITH places AS (SELECT {PLACE} AS name FROM customer JOIN nation ON c_nationkey = n_nationkey),
+  missing AS (SELECT name, count(*) AS n_rows FROM places WHERE name IS NOT NULL AND name NOT IN (SELECT n_name FROM nation) GROUP BY name),
+  plain AS (
+    SELECT name, proposal, trim(regexp_replace(lower(strip_accents(name)), '[^a-z0-9]+', ' ', 'g')) AS a,
+           trim(regexp_replace(lower(strip_accents(proposal)), '[^a-z0-9]+', ' ', 'g')) AS b
+    FROM missing CROSS JOIN (SELECT n_name AS proposal FROM nation)),
+  sets AS (
+    SELECT *, list_distinct([substr(' ' || a || ' ', k, 3) FOR k IN range(1, length(a) + 1)]) AS g,
+           list_distinct([substr(' ' || b || ' ', k, 3) FOR k IN range(1, length(b) + 1)]) AS h FROM plain),
+  pairs AS (
+    SELECT name, proposal, 2.0 * len(list_intersect(g, h)) / (len(g) + len(h)) AS likeness, CAST(levenshtein(a, b) AS INTEGER) AS distance
+    FROM sets),
+  ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY name ORDER BY likeness DESC, distance, proposal) AS INTEGER) AS rank FROM pairs WHERE likeness >= 0.5)
+  SELECT m.name, n_rows, rank, proposal, CAST(likeness AS DOUBLE) AS likeness, distance
+  FROM missing m LEFT JOIN (SELECT * FROM ranked WHERE rank <= 3) r ON m.name = r.name""")
+def unmatched_places(spark, folder):
+    """Countries that the dimension lacks, with proposals; the SQL compares all pairs."""
+    nations = T.table(spark, folder, "nation")
+    customers = T.table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    return unmatched_names(customers.select(F.expr(PLACE).alias("name")), "name", nations, "n_name")
