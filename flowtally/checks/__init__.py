@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import CHECKS, Check
 
-MODULES = ["analyses", "sources", "columns", "rows", "text", "deliveries"]
+MODULES = ["analyses", "sources", "columns", "rows", "text", "deliveries", "publishing", "layout"]
 
 
 def all_checks() -> dict[str, Check]:
