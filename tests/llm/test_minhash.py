@@ -101,3 +101,20 @@ def test_a_hot_band_is_linked_whole(spark):
     found = {r.doc_id: r.component_id for r in minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {found[i] for i in range(1, 1200)} == {1}
     assert {found[5000 + i] for i in range(40)} == {5000}
+
+
+def test_texts_alike_in_word_shingles_are_one_document(spark):
+    """Copies with replaced words beside texts that share half of their words."""
+    rows, want = [], []
+    for k in range(20):
+        words = [f"w{k}x{i}" for i in range(200)]
+        rows.append((10 * k, " ".join(words)))
+        want.append(10 * k)
+        for c in range(1, 4):  # one to three places changed: Jaccard above 0.85
+            changed = [f"new{k}x{c}x{i}" if i % 60 == 10 * c and i < 60 * c else w for i, w in enumerate(words)]
+            rows.append((10 * k + c, " ".join(changed)))
+        # half of the words are others: stays
+        rows.append((10 * k + 5, " ".join(words[:100] + [f"other{k}x{i}" for i in range(100)])))
+        want.append(10 * k + 5)
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in minhash.without_near_copies(docs).collect()) == want

@@ -1,3 +1,7 @@
+import re
+
+import xxhash
+
 import corpus_pipeline
 from flowtally.llm import exact_dedup, language, packing, simhash
 
@@ -35,21 +39,53 @@ def test_odd_and_empty_tables(spark, folder, odd, empty):
             assert rows.schema.names == odd.schema.names
 
 
-def test_texts_alike_in_word_shingles_are_one_document(spark, folder):
-    """Copies with replaced words, of which the SimHash stage alone keeps several."""
-    rows, want = [], []
-    for k in range(20):
-        words = [f"w{k}x{i}" for i in range(200)]
-        rows.append((10 * k, " ".join(words)))
-        want.append(10 * k)
-        for c in range(1, 4):  # one to three places changed: Jaccard above 0.85
-            changed = [f"new{k}x{c}x{i}" if i % 60 == 10 * c and i < 60 * c else w for i, w in enumerate(words)]
-            rows.append((10 * k + c, " ".join(changed)))
-        # half of the words are others: stays
-        rows.append((10 * k + 5, " ".join(words[:100] + [f"other{k}x{i}" for i in range(100)])))
-        want.append(10 * k + 5)
-    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    for name, stage in corpus_pipeline.STAGES:
-        if name in ("alike_dedup", "near_dedup"):
-            docs = stage(spark, docs, folder)
-    assert sorted(r.doc_id for r in docs.collect()) == want
+def test_stages_are_those_of_the_contract():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "exact_dedup", "near_dedup", "packing"]
+
+
+def plain_components(docs):
+    """Smallest id reachable over fingerprints of at most 4 differing bits, by comparing all pairs."""
+    prints = [(i, fingerprint(t)) for i, t in docs]
+    root = {i: i for i, _ in prints}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, x in prints:
+        for j, y in prints:
+            if i < j and (x ^ y).bit_count() <= 4:
+                low, high = sorted((top(i), top(j)))
+                root[high] = low
+    return {i: top(i) for i in root}
+
+
+def fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    shingles = [" ".join(words[k : k + 4]) for k in range(len(words) - 3)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_whole_run_against_plain_loops(spark, folder, documents):
+    """Which documents reach the bins: letters, then the first of equal texts, then the first of near ones."""
+    docs = sorted((r.doc_id, r.text) for r in documents.collect())
+    docs = [(i, t) for i, t in docs if any(c.isalpha() for c in t or "")]
+    first = {}
+    for i, t in docs:
+        first.setdefault(t, i)
+    docs = [(i, t) for i, t in docs if first[t] == i]
+    near = plain_components(docs)
+    want = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) + 1 for i, t in docs if near[i] == i}
+    packed = corpus_pipeline.run(spark, folder).collect()
+    found = {}
+    for r in packed:
+        found[r.doc_id] = found.get(r.doc_id, 0) + r.n_tokens
+    assert found == want
+    bins = {}
+    for r in packed:
+        bins.setdefault(r.bin_id, []).append(r)
+    for rows in bins.values():
+        assert sum(r.n_tokens for r in rows) == rows[0].bin_tokens <= packing.CAPACITY
+        assert len({r.source for r in rows if r.source is not None}) == sum(r.source is not None for r in rows)
