@@ -1,8 +1,14 @@
-"""A corpus from raw documents: language, exact copies, alike texts, near copies, packing.
+"""A corpus from raw documents: language, exact copies, near copies, packing.
 
 Each stage takes (spark, docs, sf_dir), works on every row and returns a DataFrame, which
 is written as Parquet and read again as the next stage's documents. All but the last return
-the columns of the documents; the last returns one row per packed piece.
+the columns of the documents, extra ones included; the last returns one row per packed piece.
+
+Defined results, stage by stage: a NULL text, an empty one and one without letters has no
+language and goes in the first stage. Long texts are read whole everywhere. Of equal texts,
+repeated rows included, and of texts with near fingerprints the smallest id stays, a NULL id
+being below all others among equal texts; near copies without id all stay. Ties in length go
+by id when packing. NULL in any other column changes nothing. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -11,7 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowtally.llm import exact_dedup, language, minhash, packing, simhash
+from flowtally.llm import exact_dedup, language, packing, simhash
 from flowtally.session import staged
 
 #: A language must have this many times the likelihood share of chance; texts without a letter have none.
@@ -28,11 +34,6 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.without_copies(docs)
 
 
-def alike_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of texts alike: Jaccard of five-word shingles of 0.8 or more."""
-    return minhash.without_near_copies(docs)
-
-
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of near fingerprints."""
     return simhash.without_near_copies(docs)
@@ -47,7 +48,6 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("language", language_stage),
     ("exact_dedup", exact_stage),
-    ("alike_dedup", alike_stage),
     ("near_dedup", near_stage),
     ("packing", packing_stage),
 ]
