@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from flowtally.session import staged
 
-from .common import column
+from .common import byte_signs, column
 
 BLOCK_DOCS = 1 << 16
 BLOCK_ENTRIES = 2_000_000
@@ -64,20 +64,12 @@ class Definitions:
     pieces: bytes
 
 
-def _byte_signs() -> dict[str, int]:
-    """The sign that stands for each byte in a byte-level vocabulary: printable ones for themselves."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    signs = {chr(b): b for b in plain}
-    others = [b for b in range(256) if b not in plain]
-    return signs | {chr(256 + k): b for k, b in enumerate(others)}
-
-
 class Coders:
     """Both tokenizers, with the bytes and lengths of their tokens."""
 
     def __init__(self, definitions: Definitions):
         model = json.loads(definitions.byte_bpe)["model"]
-        signs = _byte_signs()
+        signs = byte_signs()
         ranks = {bytes(signs[s] for s in token): i for token, i in model["vocab"].items() if all(s in signs for s in token)}
         specials = {t["content"] for t in json.loads(definitions.byte_bpe).get("added_tokens", [])}
         ranks = {token: i for token, i in ranks.items() if token.decode(errors="replace") not in specials}

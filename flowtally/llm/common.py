@@ -51,3 +51,10 @@ def above(bounds: Sequence[int], value: Column) -> Column:
             (at + step <= len(bounds)) & (F.try_element_at(listed, at + step) < value), at + step
         ).otherwise(at),
     )
+
+
+def byte_signs() -> dict[str, int]:
+    """The sign that stands for each byte in a byte-level vocabulary: printable ones for themselves."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}

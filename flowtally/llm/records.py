@@ -19,7 +19,8 @@ ascending id order, those without id first, equal ids by text. A task closes a f
 name for the same part, so a task that runs twice leaves one copy. Files go through
 pyarrow's file systems, so the folder may be any that all executors share.
 
-Defined results: a NULL text counts as empty and gives the end id alone; repeated rows are
+Defined results: a NULL text counts as empty and gives the end id alone; a string of a
+special token inside a text gives that token's id, as the library has it; repeated rows are
 written once each; an empty table gives no files and an empty result; other columns are
 left out.
 """
@@ -27,13 +28,16 @@ left out.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -41,7 +45,7 @@ from pyspark.sql import functions as F
 
 from flowtally.session import new_folder
 
-from .common import column, shuffle_partitions
+from .common import byte_signs, column, shuffle_partitions
 
 MAGIC = b"FTIDX001"
 NO_ID = -(1 << 63)
@@ -50,6 +54,13 @@ _HEAD = "<QI"
 _TAIL = "<I"
 _INDEX_HEAD = "<8sIQ"
 _CACHE = 1_000_000  # words a worker remembers
+_ROWS, _BYTES = 2048, 8 << 20
+_BLANKS = " \t\n\v\f\r"
+#: Texts on both sides of a blank that a tokenizer might join or read otherwise.
+_PROBES = ["a", "the", "Ab1", "'s", "it's", "'", "!?", "é", "e\u0301", "\u0301x", "１2", "ﬁ", "日本", "_", "Σ", "ς", "\u200d", "\x85", "😀", "##x"]
+#: Words of ASCII letters, digits and signs but the apostrophe, and of the Latin letters up to U+00FF.
+_PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
+_RUNS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 _MOVED = 0xA282EAD8
 
 
@@ -83,10 +94,14 @@ def read_frame(stream) -> bytes | None:
 
 
 class WordCoder:
-    """Token ids of whole texts by a tokenizer that never joins text across white space.
-
-    Each word between ASCII white space is encoded once and remembered up to a bound; a
-    text's ids are those of its words in turn.
+    """Token ids of whole texts, as the tokenizer gives them, worked out for distinct words.
+
+    Where a tokenizer never joins text across ASCII white space, a text's ids are those of
+    its words in turn; each word is encoded once and remembered up to a bound. A word of
+    plain letters, digits and punctuation goes to the tokenizer's model run by run, which
+    spares the steps ahead of it. Both are tried out on probes when a definition is loaded,
+    and left where the tokenizer decides otherwise. Texts that hold a string of an added
+    token are encoded whole.
     """
 
     def __init__(self, definition: str):
@@ -94,34 +109,96 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]
+        self.signs = {b: s for s, b in byte_signs().items()}
+        self._reset()
+        self.by_word = not any(t.normalized for t in added) and self._stops_at_blanks()
+        self.by_run = self.by_word and self._runs_agree()
         self._reset()
 
     def _reset(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index: dict[str, int] = {}
+        self.runs: dict[str, list[int]] = {}
         self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _stops_at_blanks(self) -> bool:
+        alone = {p: self.whole(p) for p in _PROBES}
+        return all(
+            self.whole(a + blank + b) == alone[a] + alone[b] for a in _PROBES for b in _PROBES for blank in (*_BLANKS, " " + _BLANKS)
+        )
+
+    def _runs_agree(self) -> bool:
+        letters = [chr(c) for c in range(0x21, 0x100) if _PLAIN.fullmatch(chr(c))]
+        words = [w for c in letters for w in (c, c + c, "a" + c, c + "e", c + "1", "." + c, c + "Ab-12", "the" + c + "ing")]
+        return [self._by_run(w) for w in words] == [self.whole(w) for w in words]
+
+    def _by_run(self, word: str) -> list[int]:
+        out = []
+        for run in _RUNS.findall(word.lower()):
+            ids = self.runs.get(run)
+            if ids is None:
+                signs = "".join([self.signs[b] for b in run.encode()])
+                ids = self.runs[run] = [t.id for t in self.tokenizer.model.tokenize(signs)]
+            out += ids
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        if self.by_run:
+            ids = [self._by_run(w) if _PLAIN.fullmatch(w) else None for w in words]
+            rest = [k for k, i in enumerate(ids) if i is None]
+        else:
+            ids, rest = [None] * len(words), list(range(len(words)))
+        for k, e in zip(rest, self.tokenizer.encode_batch_fast([words[k] for k in rest], add_special_tokens=False)):
+            ids[k] = e.ids
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))])
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text; none is NULL."""
+        special = np.zeros(len(texts), bool)
+        for content in self.added:
+            special |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        if not self.by_word:
+            special[:] = True
+        alone = {int(k): np.array(self.whole(texts[int(k)].as_py()), np.uint32) for k in np.flatnonzero(special)}
+        if len(alone) == len(texts):
+            return [alone[k] for k in range(len(texts))]
         if len(self.index) > _CACHE:
             self._reset()
+        # an encoded text takes no part in the words
+        texts = pc.if_else(pa.array(special), "", texts) if alone else texts
+        split = pc.ascii_split_whitespace(texts)
+        words = pc.dictionary_encode(split.flatten())
         index, place = self.index, self.index.setdefault
-        found = [np.array([place(w, len(index)) for w in t.encode().split()], np.int64) for t in texts]
+        distinct = words.dictionary.to_numpy(zero_copy_only=False)
+        places = np.array([place(w, len(index)) for w in distinct.tolist()], np.int64)
         if len(index) >= len(self.starts):
-            fresh = [w.decode() for w in list(index)[len(self.starts) - 1 :]]
-            coded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-            ids = [e.ids for e in coded]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-            self.ids = np.concatenate([self.ids, *[np.array(sum(ids[i : i + 64], []), np.uint32) for i in range(0, len(ids), 64)]])
-        out = []
-        for words in found:
-            first = self.starts[words]
-            sizes = self.starts[words + 1] - first
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            out.append(self.ids[np.repeat(first - (ends - sizes), sizes) + np.arange(total)])
-        return out
+            self._learn(distinct[places >= len(self.starts) - 1].tolist())
+        words = places[words.indices.to_numpy()]
+        first = self.starts[words]
+        sizes = self.starts[words + 1] - first
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids[np.repeat(first - (ends - sizes), sizes) + np.arange(total)]
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
+        return [alone[k] if k in alone else ids[bounds[k] : bounds[k + 1]] for k in range(len(texts))]
+
+
+def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Some thousand rows at a time, fewer where texts are long."""
+    at = 0
+    while at < batch.num_rows:
+        rows = _ROWS
+        while rows > 1 and batch.slice(at, rows).nbytes > _BYTES:
+            rows //= 2
+        yield batch.slice(at, rows)
+        at += rows
 
 
 @lru_cache(maxsize=2)
@@ -193,9 +270,8 @@ def write_records(
         writer = Writer(folder, task.partitionId(), coder.width, file_bytes, task.taskAttemptId())
         closed = []
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                for doc_id, ids in zip(part.column(0).to_pylist(), coder.encode(part.column(1).to_pylist())):
+            for part in sliced(batch):
+                for doc_id, ids in zip(part.column(0).to_pylist(), coder.encode(part.column(1))):
                     closed.append(writer.add(doc_id, np.append(ids, np.uint32(end_id))))
         closed.append(writer.close())
         entries = [c for c in closed if c]

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -17,9 +18,7 @@ with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file
 
 @pytest.fixture(scope="module")
 def plain():
-    tokenizer = Tokenizer.from_str(DEFINITION)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_str(DEFINITION)
 
 
 def brute(rows, plain):
@@ -76,11 +75,38 @@ def test_damage_is_found():
         records.read_frame(io.BytesIO(frame[:-1]))
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(alphabet=st.sampled_from("aB 'śéÅ1２\n\t\x1c\x85 !。Σσ<|endoftext|>"), max_size=30), max_size=4))
+ALPHABET = "aB 'śéÅ1２\n\t\x1c\x85 !。Σσ\u0301e.-ÿß×ª"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*ALPHABET, "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "the", "'ll"]), max_size=30).map("".join), max_size=4))
 def test_words_one_by_one_give_the_ids_of_the_text(texts):
     plain = Tokenizer.from_str(DEFINITION)
-    plain.encode_special_tokens = True
     coder = records._coder(DEFINITION)
-    found = [ids.tolist() for ids in coder.encode(texts)]
+    assert coder.by_word and coder.by_run
+    found = [ids.tolist() for ids in coder.encode(pa.array(texts, pa.string()))]
     assert found == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_special_strings_are_the_librarys(spark, plain):
+    rows = [(1, "hello <|endoftext|> world"), (2, "<|startoftext|>x<|endoftext|>"), (3, "<|ENDOFTEXT|> no"), (4, "a b")]
+    assert plain.encode(rows[0][1], add_special_tokens=False).ids == [3306, 49407, 1002]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(records.round_trip(df, DEFINITION, 1)) == brute(rows, plain)
+
+
+@pytest.mark.parametrize("name, by_word", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_a_tokenizer_that_joins_across_blanks_gets_whole_texts(name, by_word):
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        definition = file.read()
+    coder, plain = records.WordCoder(definition), Tokenizer.from_str(definition)
+    assert coder.by_word == by_word
+    texts = ["two  words\nand more", "", "It's <|endoftext|> x"]
+    assert [i.tolist() for i in coder.encode(pa.array(texts))] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_forgetting_words_changes_nothing(texts, plain, monkeypatch):
+    monkeypatch.setattr(records, "_CACHE", 50)
+    coder, some = records.WordCoder(DEFINITION), list(texts.values())[:30]
+    found = [i.tolist() for at in range(0, 30, 4) for i in coder.encode(pa.array(some[at : at + 4]))]
+    assert found == [plain.encode(t, add_special_tokens=False).ids for t in some]
