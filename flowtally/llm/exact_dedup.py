@@ -68,14 +68,17 @@ def _combined(keyed: DataFrame, largest: bool, budget: int, whole: bool) -> Data
             if rows:
                 yield _batch(rows, types)
 
-        for batch in batches:
-            types = types or list(batch.schema)
-            for at in range(0, batch.num_rows, 256):
-                for row in zip(*[c.to_pylist() for c in batch.slice(at, 256).columns]):
-                    trie.add(row[2], (row[3], row[4], row[5], row[:2] + row[6:]))
-                if not whole and trie.size > budget:
-                    yield from flush()
-        yield from flush()
+        try:
+            for batch in batches:
+                types = types or list(batch.schema)
+                for at in range(0, batch.num_rows, 256):
+                    for row in zip(*[c.to_pylist() for c in batch.slice(at, 256).columns]):
+                        trie.add(row[2], (row[3], row[4], row[5], row[:2] + row[6:]))
+                    if not whole and trie.size > budget:
+                        yield from flush()
+            yield from flush()
+        finally:
+            trie.close()
 
     return keyed.mapInArrow(run, schema)
 

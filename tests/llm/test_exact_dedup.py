@@ -1,8 +1,10 @@
 import hashlib
 import os
+import random
 import tempfile
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -71,3 +73,49 @@ def test_trie_counts_keys(keys, budget):
     assert len(found) == len(dict(found))
     assert dict(found) == {k: keys.count(k) for k in set(keys)}
     assert len(os.listdir(tempfile.gettempdir())) <= before
+
+
+def held(trie):
+    """Bytes of a tree in memory, measured by walking over it."""
+    total, stack = 0, [trie.root]
+    while stack:
+        node = stack.pop()
+        if hasattr(node, "waiting"):
+            total += sum(len(k) + 300 for k, _ in node.waiting)
+        else:
+            total += 300 + len(node.label)
+            stack.extend((node.children or {}).values())
+    return total
+
+
+@pytest.mark.parametrize("kind", ["one first byte", "long shared start", "prefixes of one another", "many first bytes"])
+def test_memory_stays_near_the_budget(kind):
+    rng, budget = random.Random(3), 100_000
+    start = {"one first byte": b"<", "long shared start": b"{" * 5000}.get(kind, b"")
+    if kind == "prefixes of one another":
+        keys = [b"a" * rng.randrange(1, 3000) for _ in range(6000)]
+    else:
+        keys = [start + rng.randbytes(6) for _ in range(9000)]
+    keys += keys[::3]
+    trie, most = PatriciaTrie(lambda a, b: a + b, budget), 0
+    for n, key in enumerate(keys):
+        trie.add(key, 1)
+        if n % 200 == 0:
+            most = max(most, held(trie))
+    assert most < 2 * budget and trie.spilled
+    files = [c.path for c in trie.spilled]
+    found = dict(trie.items())
+    assert found == Counter(keys) and not any(map(os.path.exists, files))
+
+
+def test_scratch_files_go_when_reading_stops_early():
+    before = set(os.listdir(tempfile.gettempdir()))
+    trie = PatriciaTrie(lambda a, b: a + b, 2000)
+    for k in range(500):
+        trie.add(b"<%d" % (k * 7919), 1)
+    items = trie.items()
+    for _ in range(10):
+        next(items)
+    items.close()
+    left = set(os.listdir(tempfile.gettempdir())) - before
+    assert not [n for n in left if n.startswith("subtree-")]
