@@ -40,10 +40,10 @@ def url_filter_sql(rules: Sequence[url_filter.Rule]) -> str:
     joins = " ".join(f"JOIN parts g{k} ON g{k}.k = {k} AND g{k}.gram = substr(w, {order + 2 - k})" for k in range(1, order + 2))
     step, reach = url_filter.STEP, url_filter.REACH
     return f"""
-  WITH rests AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
-  urls AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{upper}', '{lower}') AS host,
+  WITH rests AS (SELECT page_id, coalesce(url, '') AS url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+  urls AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), '{upper}', '{lower}') AS host,
                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
-  ruled AS (SELECT *, CASE {rule} END AS rule, CASE {allow} END AS allow, translate(host || path, '123456789', '000000000') AS text FROM urls),
+  ruled AS (SELECT *, CASE {rule} END AS rule, CASE {allow} END AS allow, translate(url, '123456789', '000000000') AS text FROM urls),
   texts AS (SELECT text, max(allow) AS allow, count(*) AS n, CAST('0x' || substr(md5(text), 1, 7) AS BIGINT) % 5 = 0 AS held FROM ruled GROUP BY text),
   runs AS (SELECT *, substr(repeat(chr(2), {order}) || text || chr(3), i, {order + 1}) AS w
            FROM (SELECT *, unnest(range(1, length(text) + 2)) AS i FROM texts)),

@@ -2,7 +2,8 @@
 
 Rules name a host (and all below it) and a path prefix; the longest fitting rule decides.
 Other URLs are judged by two smoothed variable-order Markov models over their characters,
-one for accepted and one for rejected URLs. Both learn from the URLs that the rules decide.
+one for accepted and one for rejected URLs. Models read whole URLs, with scheme, query and
+fragment. Both learn from the URLs that the rules decide.
 A model interpolates all contexts of up to `order` characters: each has the weight that
 its continuations earn (n over n + distinct continuations), and hands the rest to the
 context without its first character, down to a uniform base; contexts it has not met hand
@@ -16,8 +17,8 @@ models is by distinct windows. Back at the URLs, windows are dealt with a salt,
 windows that every URL has do not meet in one task.
 
 Defined results: a NULL URL or one without `://` has an empty host and path and fits no
-rule; its model score is that of an empty text; repeated rows each give a row; an empty
-table gives an empty one; other columns are left out.
+rule; a NULL one has the model score of an empty text; repeated rows each give a row; an
+empty table gives an empty one; other columns are left out.
 """
 
 from __future__ import annotations
@@ -133,9 +134,9 @@ def judged(
 ) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, score (log ratio per character)."""
     host, path = host_and_path(column(url_column))
-    rows = pages.select(column(id_column).cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
-    text = F.translate(F.concat("host", "path"), "123456789", "000000000")
-    rows = rows.withColumn("fit", fitting(rules, F.col("host"), F.col("path"))).withColumn("text", text)
+    text = F.translate(F.coalesce(column(url_column), F.lit("")), "123456789", "000000000")
+    rows = pages.select(column(id_column).cast("long").alias("page_id"), host.alias("host"), path.alias("path"), text.alias("text"))
+    rows = rows.withColumn("fit", fitting(rules, F.col("host"), F.col("path")))
     # equal texts are judged once; a fifth of the labelled ones calibrates
     texts = rows.groupBy("text").agg(F.max("fit.allow").alias("allow"), F.count(F.lit(1)).alias("n"))
     drawn = F.conv(F.substring(F.md5("text"), 1, 7), 16, 10).cast("long")

@@ -25,14 +25,14 @@ def rule_of(host, path):
 
 def brute(rows, order=url_filter.ORDER):
     parsed = [(i, *parse(u)) for i, u in rows]
-    text = {(h, p): re.sub("[1-9]", "0", h + p) for _, h, p in parsed}
+    text = [re.sub("[1-9]", "0", u or "") for _, u in rows]
     labels = {}
-    for _, h, p in parsed:
+    for t, (_, h, p) in zip(text, parsed):
         if (r := rule_of(h, p)) is not None:
-            labels[text[h, p]] = labels.get(text[h, p], False) or r.allow
-    names = sorted(set(text.values()))
+            labels[t] = labels.get(t, False) or r.allow
+    names = sorted(set(text))
     held = {t: int(hashlib.md5(t.encode()).hexdigest()[:7], 16) % 5 == 0 for t in names}
-    times = Counter(text[h, p] for _, h, p in parsed)
+    times = Counter(text)
     grams = {side: Counter() for side in (True, False)}
     for t, allow in labels.items():
         if not held[t]:
@@ -61,7 +61,9 @@ def brute(rows, order=url_filter.ORDER):
         marked = "\x02" * order + t + "\x03"
         windows = [marked[i : i + order + 1] for i in range(len(t) + 1)]
         scores[t] = sum(log_p(True, w) - log_p(False, w) for w in windows) / len(windows)
-    return {i: (h, p, getattr(rule_of(h, p), "text", None), scores[text[h, p]], getattr(rule_of(h, p), "allow", None)) for i, h, p in parsed}
+    return {
+        i: (h, p, getattr(rule_of(h, p), "text", None), scores[t], getattr(rule_of(h, p), "allow", None)) for t, (i, h, p) in zip(text, parsed)
+    }
 
 
 def test_equals_brute_force(spark, folder):
@@ -104,6 +106,16 @@ def test_odd_urls(spark):
     assert (found[12].host, found[12].path) == ("b:", "//c/d")
 
 
+def test_what_stands_behind_the_path_counts(spark):
+    """URLs that differ in query, fragment or scheme alone are learned and judged apart."""
+    pages = [(k, f"https://a.org/fr/p{k % 3}?lang=good&v={'x' * (k % 7)}") for k in range(40)]
+    pages += [(100 + k, f"http://b.net/p{k % 3}?track=spam&v={'x' * (k % 7)}#ad") for k in range(40)]
+    pages += [(200, "https://c.com/p1?lang=good"), (201, "https://c.com/p1?track=spam#ad"), (202, "no scheme good"), (203, "no scheme track=spam#ad")]
+    found = {r.page_id: r for r in url_filter.judged(spark.createDataFrame(pages, "page_id long, url string"), RULES).collect()}
+    assert found[200].score > 0 > found[201].score and (found[200].verdict, found[201].verdict) == ("allow", "block")
+    assert found[202].score != found[203].score
+
+
 def test_empty_table(spark):
     assert url_filter.judged(spark.createDataFrame([], "page_id long, url string"), RULES).collect() == []
 
