@@ -1,30 +1,34 @@
 """License notices in texts: MinHash bands retrieve templates, shingle containment verifies.
 
 Texts and templates are lower-cased and cut into words of letters and digits; each run of
-five words is a shingle. Of a text, the shingles that occur in no template are dropped
-first: they cannot help any match, and without them the Jaccard likeness of a window and
-a template is the template's containment in the window. Windows overlap by half: for
-templates of n shingles (n rounded up to a power of two) they are 2n shingles long and
-start every n, so any passage as long as the template lies whole inside a window.
+five words is a shingle. Windows overlap by half: for templates of n shingles (n rounded
+up to a power of two, their size class) they are 2n shingles long and start every n, so any
+passage as long as the template lies whole inside a window. A window keeps only shingles
+that some template of its size class has: no others can help a match, and without them the
+Jaccard likeness of a window and a template is the template's containment in the window,
+also where a short notice is part of a long text.
 
 A window's MinHash signature has bands of one value. A window that contains the share s of a
-template's shingles, and nothing of other templates, agrees in one band with probability s;
-with 16 bands the chance to miss it at s = 0.8 is 0.2**16, below 1e-11. Where it also holds
-as many shingles of other templates, the chance at likeness 0.4 is 0.6**16, below 3e-4.
+template's shingles, and nothing of other templates of the class, agrees in one band with
+probability s; with 32 bands the chance to miss it at s = 0.8 is 0.2**32. Where it also
+holds as many shingles of others, the chance at likeness 0.4 is 0.6**32, below 1e-7; in a
+window that is full of them (likeness 0.19 at least) it is 0.81**32, about 1e-3.
 A retrieved template is verified on the shingle texts themselves.
 
 All of it is native: no Python runs in the tasks. Templates are a parameter and small by
 nature; of a text only runs of words and hashes leave the scan, and only where it holds a
-template's shingle.
+template's shingle. Rows are kept apart by a number of their own, not by their ids.
 
 Defined results: a NULL or empty text, or one of less than five words, matches nothing;
-repeated rows with one id count as one document; a template of less than five words is
-refused; an empty table, or no template, gives an empty result; other columns are left out.
+rows with the same id, or without one, are documents of their own, and repeated rows give
+repeated results; a template of less than five words is refused; an empty table, or no
+template, gives an empty result; other columns are left out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,26 +36,25 @@ from pyspark.sql import functions as F
 from .common import column
 
 WORDS = 5
-BANDS = 16
+BANDS = 32
 LEAST = 0.8
 
-# Usual short notices of public licenses, and sentences of their texts.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "Apache-2.0 notice": "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
-    "BSD notice": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "GPL notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-    "LGPL notice": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
-    "MIT": "Released under the MIT License",
-    "MIT notice": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-    "proprietary": "All rights reserved. No part of this publication may be reproduced",
-    "public domain": "This is free and unencumbered software released into the public domain",
-}
+
+
+def read_templates(path: str) -> dict[str, str]:
+    """Templates of a text file: a line "== name" starts one, a line of "#" ahead of them is a remark."""
+    out: dict[str, list[str]] = {}
+    with open(path, encoding="utf-8") as file:
+        for line in file.read().splitlines():
+            if line.startswith("== "):
+                lines = out.setdefault(line[3:].strip(), [])
+            elif out:
+                lines.append(line)
+    return {name: " ".join(lines).strip() for name, lines in out.items()}
+
+
+#: Texts of public licenses, their notices for files, and usual short notices.
+TEMPLATES = read_templates(str(Path(__file__).with_name("license_texts.txt")))
 
 
 def words_of(text: Column) -> Column:
@@ -119,23 +122,30 @@ def scan(
     fixed = spark.createDataFrame([(r["template"], r["hash"], r["shingle"], r["shingles"], r["span"]) for r in known], schema)
 
     # shingles of the texts that some template has
-    rows = docs.select(column(id_column).cast("long").alias("doc_id"), words_of(column(text_column)).alias("words"))
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), column(id_column).cast("long").alias("doc_id"), words_of(column(text_column)).alias("words")
+    )
     hits = with_shingles(rows, width, listed)
-    hits = hits.select("doc_id", "at", "hash", F.array_join(F.slice("words", F.col("at") + 1, F.lit(width)), " ").alias("shingle"))
+    hits = hits.select("row", "doc_id", "at", "hash", F.array_join(F.slice("words", F.col("at") + 1, F.lit(width)), " ").alias("shingle"))
 
     # overlapping windows of each size class
     spans = sorted({r["span"] for r in known})
-    places = [F.struct(F.lit(s).alias("span"), (F.floor(F.col("at") / s) - back).cast("long").alias("window")) for s in spans for back in (0, 1)]
+    of_span = {s: sorted({r["hash"] for r in known if r["span"] == s}) for s in spans}
+    places = [
+        F.when(F.col("hash").isin(of_span[s]), F.struct(F.lit(s).alias("span"), (F.floor(F.col("at") / s) - back).cast("long").alias("window")))
+        for s in spans
+        for back in (0, 1)
+    ]
     empty = F.array().cast("array<struct<span:int,window:bigint>>")
-    inside = hits.select("doc_id", "at", "hash", "shingle", F.explode(F.array(*places) if places else empty).alias("w")).select(
-        "doc_id", "w.span", "w.window", "at", "hash", "shingle"
+    inside = hits.select("row", "doc_id", "at", "hash", "shingle", F.explode(F.array_compact(F.array(*places)) if places else empty).alias("w")).select(
+        "row", "doc_id", "w.span", "w.window", "at", "hash", "shingle"
     )
     inside = inside.where("window >= 0 OR at < span")
-    windows = inside.groupBy("doc_id", "span", "window").agg(F.collect_set("hash").alias("hashes"), F.collect_set(F.struct("at", "shingle")).alias("found"))
+    windows = inside.groupBy("row", "doc_id", "span", "window").agg(F.collect_set("hash").alias("hashes"), F.collect_set(F.struct("at", "shingle")).alias("found"))
 
     # bands of windows against bands of templates
-    signed = windows.select("doc_id", "span", "window", "found", F.explode(_bands(F.col("hashes"), bands)).alias("b"))
-    signed = signed.select("doc_id", "span", "window", "found", "b.band", "b.least")
+    signed = windows.select("row", "doc_id", "span", "window", "found", F.explode(_bands(F.col("hashes"), bands)).alias("b"))
+    signed = signed.select("row", "doc_id", "span", "window", "found", "b.band", "b.least")
     sets = fixed.groupBy("template", "span", "shingles").agg(F.collect_set("hash").alias("hashes"), F.collect_set("shingle").alias("texts"))
     bands_of = sets.select("template", F.col("span").alias("t_span"), "shingles", "texts", F.explode(_bands(F.col("hashes"), bands)).alias("b"))
     bands_of = bands_of.select("template", "t_span", "shingles", "texts", F.col("b.band").alias("t_band"), F.col("b.least").alias("t_least"))
@@ -145,8 +155,9 @@ def scan(
 
     # exact containment; a window is retrieved by several bands
     matching = F.filter("found", lambda x: F.array_contains(F.col("texts"), x["shingle"]))
-    checked = retrieved.select("doc_id", "span", "window", "template", "shingles", matching.alias("m"))
+    checked = retrieved.select("row", "doc_id", "span", "window", "template", "shingles", matching.alias("m"))
     checked = checked.select(
+        "row",
         "doc_id",
         "span",
         "window",
@@ -157,7 +168,7 @@ def scan(
     ).where(F.col("containment") >= least)
     best = F.struct(-F.col("containment"), F.col("first_word"), F.col("last_word"))
     return (
-        checked.groupBy("doc_id", "template")
+        checked.groupBy("row", "doc_id", "template")
         .agg(F.min(best).alias("best"), F.count_distinct("window").alias("windows"))
         .select(
             "doc_id",

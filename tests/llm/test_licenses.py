@@ -57,6 +57,30 @@ def test_odd_rows(odd, spark):
     assert set(found(licenses.scan(more))) == {(None, "MIT"), (7, "MIT")}
 
 
+def test_rows_without_an_id_and_with_the_same_are_kept_apart(spark):
+    """Two halves of a notice in two rows make no match, whatever their ids."""
+    notice = licenses.TEMPLATES["Apache-2.0 notice"].split()
+    halves = [" ".join(notice[:11]), " ".join(notice[11:])]
+    rows = [(None, halves[0]), (None, halves[1]), (7, halves[0]), (7, halves[1]), (8, halves[0]), (9, halves[1])]
+    assert licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect() == []
+    whole = spark.createDataFrame([(None, " ".join(notice))] * 2 + [(7, " ".join(notice)), (7, "other text of five words")], "doc_id long, text string")
+    assert sorted((r.doc_id is None, r.template) for r in licenses.scan(whole).collect()) == [(False, "Apache-2.0 notice")] + [(True, "Apache-2.0 notice")] * 2
+
+
+def test_full_texts_with_changes(spark):
+    """Long texts with names filled in and lines lost are found; short notices inside them too."""
+    rows, want = [], set()
+    for i, name in enumerate(["BSD-3-Clause", "MIT full text", "Unlicense", "GPL-3.0 file header", "Zlib", "ISC"]):
+        words_ = licenses.TEMPLATES[name].split()
+        changed = [w for k, w in enumerate(words_) if not 40 <= k < 44]
+        changed[10:10] = ["(c)", "2020", "Somebody"]
+        rows.append((i, "intro words here " * 50 + " ".join(changed) + " and the code follows" * 30))
+        want.add((i, name))
+    got = found(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == brute(rows) and want <= set(got)
+    assert (1, "Unlicense") not in got and (2, "MIT full text") not in got
+
+
 def test_empty_tables_and_short_templates(empty, odd):
     assert licenses.scan(empty).collect() == []
     assert licenses.scan(odd, {}).collect() == []
