@@ -28,7 +28,6 @@ left out.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -53,14 +52,14 @@ FILE_BYTES = 64 << 20
 _HEAD = "<QI"
 _TAIL = "<I"
 _INDEX_HEAD = "<8sIQ"
-_CACHE = 1_000_000  # words a worker remembers
+_CACHE = 400_000  # words a worker remembers
 _ROWS, _BYTES = 2048, 8 << 20
 _BLANKS = " \t\n\v\f\r"
 #: Texts on both sides of a blank that a tokenizer might join or read otherwise.
 _PROBES = ["a", "the", "Ab1", "'s", "it's", "'", "!?", "é", "e\u0301", "\u0301x", "１2", "ﬁ", "日本", "_", "Σ", "ς", "\u200d", "\x85", "😀", "##x"]
 #: Words of ASCII letters, digits and signs but the apostrophe, and of the Latin letters up to U+00FF.
-_PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
-_RUNS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+_PLAIN = r"^[!-&(-~À-ÖØ-öø-ÿ]+$"
+_RUN = r"([a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+)"
 _MOVED = 0xA282EAD8
 
 
@@ -93,6 +92,44 @@ def read_frame(stream) -> bytes | None:
     return data
 
 
+class Known:
+    """Texts met before, with their ids; `places` gives new ones the next places, `learn` their ids."""
+
+    def __init__(self) -> None:
+        self.index: dict[str, int] = {}
+        self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.used = np.zeros(0, np.int64)
+
+    def places(self, distinct: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, list[str]]:
+        """Place of each of some distinct texts, and those of them that are new, in the order of their places."""
+        index, place, before = self.index, self.index.setdefault, len(self.index)
+        found = np.array([place(t, len(index)) for t in distinct.tolist()], np.int64)
+        self.used = np.concatenate([self.used, np.zeros(len(index) - before, np.int64)])
+        self.used[found] += times
+        return found, distinct[found >= before].tolist()
+
+    def learn(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
+
+    def of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts at some places, one after the other, and how many each has."""
+        first = self.starts[places]
+        sizes = self.starts[places + 1] - first
+        ends = np.cumsum(sizes)
+        return self.ids[np.repeat(first - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)], sizes
+
+    def forget(self, most: int) -> None:
+        """Keep those met most often, `most` of them; the others hardly ever come again."""
+        often = np.flatnonzero(self.used > 1)
+        if len(often) > most:
+            often = np.sort(often[np.argpartition(-self.used[often], most)[:most]])
+        texts = list(self.index)
+        ids, sizes = self.of(often)
+        self.index = {texts[k]: n for n, k in enumerate(often.tolist())}
+        self.starts, self.ids, self.used = np.concatenate([[0], np.cumsum(sizes)]), ids, self.used[often] // 2
+
+
 class WordCoder:
     """Token ids of whole texts, as the tokenizer gives them, worked out for distinct words.
 
@@ -113,15 +150,9 @@ class WordCoder:
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = [t.content for t in added]
         self.signs = {b: s for s, b in byte_signs().items()}
-        self._reset()
+        self.words, self.runs = Known(), Known()
         self.by_word = not any(t.normalized for t in added) and self._stops_at_blanks()
         self.by_run = self.by_word and self._runs_agree()
-        self._reset()
-
-    def _reset(self) -> None:
-        self.index: dict[str, int] = {}
-        self.runs: dict[str, list[int]] = {}
-        self.starts, self.ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -133,31 +164,45 @@ class WordCoder:
         )
 
     def _runs_agree(self) -> bool:
-        letters = [chr(c) for c in range(0x21, 0x100) if _PLAIN.fullmatch(chr(c))]
+        letters = [chr(c) for c in range(0x21, 0x100)]
         words = [w for c in letters for w in (c, c + c, "a" + c, c + "e", c + "1", "." + c, c + "Ab-12", "the" + c + "ing")]
-        return [self._by_run(w) for w in words] == [self.whole(w) for w in words]
-
-    def _by_run(self, word: str) -> list[int]:
-        out = []
-        for run in _RUNS.findall(word.lower()):
-            ids = self.runs.get(run)
-            if ids is None:
-                signs = "".join([self.signs[b] for b in run.encode()])
-                ids = self.runs[run] = [t.id for t in self.tokenizer.model.tokenize(signs)]
-            out += ids
-        return out
+        words = pa.array(words).filter(pc.match_substring_regex(pa.array(words), _PLAIN)).to_pylist()
+        ids, sizes = self._by_runs(pa.array(words))
+        return [i.tolist() for i in np.split(ids, np.cumsum(sizes)[:-1])] == [self.whole(w) for w in words]
+
+    def _by_runs(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words, one after the other, and how many each has."""
+        split = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(words), _RUN, r"\1 "))
+        runs = pc.dictionary_encode(split.flatten())
+        at = runs.indices.to_numpy()
+        distinct = runs.dictionary.to_numpy(zero_copy_only=False)
+        places, fresh = self.runs.places(distinct, np.bincount(at, minlength=len(distinct)))
+        if fresh:
+            tokenize, signs = self.tokenizer.model.tokenize, self.signs
+            spelled = [r if r.isascii() else "".join([signs[b] for b in r.encode()]) for r in fresh]
+            self._add(self.runs, [[t.id for t in tokenize(r)] if r else [] for r in spelled])
+        ids, sizes = self.runs.of(places[at])
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])])
+
+    @staticmethod
+    def _add(known: Known, ids: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        known.learn(np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes)
 
     def _learn(self, words: list[str]) -> None:
-        if self.by_run:
-            ids = [self._by_run(w) if _PLAIN.fullmatch(w) else None for w in words]
-            rest = [k for k, i in enumerate(ids) if i is None]
-        else:
-            ids, rest = [None] * len(words), list(range(len(words)))
-        for k, e in zip(rest, self.tokenizer.encode_batch_fast([words[k] for k in rest], add_special_tokens=False)):
-            ids[k] = e.ids
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))])
+        """Words at the next places."""
+        listed = pa.array(words, pa.string())
+        plain = pc.match_substring_regex(listed, _PLAIN) if self.by_run else pa.array(np.zeros(len(words), bool))
+        rest = [e.ids for e in self.tokenizer.encode_batch_fast(listed.filter(pc.invert(plain)).to_pylist(), add_special_tokens=False)]
+        plain_ids, plain_sizes = self._by_runs(listed.filter(plain))
+        plain = plain.to_numpy(zero_copy_only=False)
+        sizes = np.zeros(len(words), np.int64)
+        sizes[plain], sizes[~plain] = plain_sizes, np.fromiter(map(len, rest), np.int64, len(rest))
+        ids, of_plain = np.zeros(int(sizes.sum()), np.uint32), np.repeat(plain, sizes)
+        ids[of_plain] = plain_ids
+        ids[~of_plain] = np.fromiter(chain.from_iterable(rest), np.uint32, len(ids) - len(plain_ids))
+        self.words.learn(ids, sizes)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text; none is NULL."""
@@ -169,24 +214,20 @@ class WordCoder:
         alone = {int(k): np.array(self.whole(texts[int(k)].as_py()), np.uint32) for k in np.flatnonzero(special)}
         if len(alone) == len(texts):
             return [alone[k] for k in range(len(texts))]
-        if len(self.index) > _CACHE:
-            self._reset()
-        # an encoded text takes no part in the words
+        for known in (self.words, self.runs):
+            if len(known.index) > _CACHE:
+                known.forget(_CACHE // 2)
+        # a text encoded whole takes no part in the words
         texts = pc.if_else(pa.array(special), "", texts) if alone else texts
         split = pc.ascii_split_whitespace(texts)
         words = pc.dictionary_encode(split.flatten())
-        index, place = self.index, self.index.setdefault
-        distinct = words.dictionary.to_numpy(zero_copy_only=False)
-        places = np.array([place(w, len(index)) for w in distinct.tolist()], np.int64)
-        if len(index) >= len(self.starts):
-            self._learn(distinct[places >= len(self.starts) - 1].tolist())
-        words = places[words.indices.to_numpy()]
-        first = self.starts[words]
-        sizes = self.starts[words + 1] - first
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(first - (ends - sizes), sizes) + np.arange(total)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
+        at, distinct = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False)
+        places, fresh = self.words.places(distinct, np.bincount(at, minlength=len(distinct)))
+        if fresh:
+            self._learn(fresh)
+        ids, sizes = self.words.of(places[at])
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        bounds = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])]
         return [alone[k] if k in alone else ids[bounds[k] : bounds[k + 1]] for k in range(len(texts))]
 
 

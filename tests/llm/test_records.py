@@ -106,7 +106,7 @@ def test_a_tokenizer_that_joins_across_blanks_gets_whole_texts(name, by_word):
 
 
 def test_forgetting_words_changes_nothing(texts, plain, monkeypatch):
-    monkeypatch.setattr(records, "_CACHE", 50)
+    monkeypatch.setattr(records, "_CACHE", 50)  # words are met again after they were forgotten, and while some are kept
     coder, some = records.WordCoder(DEFINITION), list(texts.values())[:30]
     found = [i.tolist() for at in range(0, 30, 4) for i in coder.encode(pa.array(some[at : at + 4]))]
     assert found == [plain.encode(t, add_special_tokens=False).ids for t in some]
