@@ -29,12 +29,17 @@ def brute_counts(rows):
     return counts
 
 
-def brute_score(text, counts, names, levels, totals):
-    """Per language: words by log frequency, unseen ones by their longest known n-grams."""
+def brute_score(text, counts, names, levels, totals, kinds):
+    """Per language: words by interpolated log frequency, unseen ones by their longest known n-grams."""
     words = regex.findall(r"[\p{L}\p{M}]+", (text or "").lower())
     if not regex.search(r"\p{L}", text or ""):
         return "und", 0.0
-    log = lambda lang, level, gram: np.log((counts.get((lang, level, gram), 0) + 0.5) / (totals[lang, level] + 0.5 * (len(levels[level]) + 1)))
+
+    def log(lang, level, gram):
+        over_all = sum(counts.get((x, level, gram), 0) for x in names) / sum(totals[x, level] for x in names)
+        n, t = counts.get((lang, level, gram), 0), kinds[lang, level]
+        return np.log((n + t * over_all) / (totals[lang, level] + t))
+
     rows = []
     for word in words:
         if word in levels[0]:
@@ -46,7 +51,7 @@ def brute_score(text, counts, names, levels, totals):
                 rows.append([np.mean([log(lang, n, g) for g in known]) for lang in names])
                 break
         else:
-            rows.append([min(log(lang, 1, g) for g in levels[1]) for lang in names])
+            rows.append([0.0 for _ in names])
     mean = np.mean(rows, axis=0)
     return names[int(mean.argmax())], float(1 / np.exp(mean - mean.max()).sum())
 
@@ -57,10 +62,11 @@ def test_equals_brute_force(documents, model):
     names = sorted({r.lang for r in rows if fold(r.doc_id) != 2})
     levels = [{g for (_, n, g) in counts if n == level} for level in range(6)]
     totals = {(lang, level): sum(c for (a, n, _), c in counts.items() if (a, n) == (lang, level)) for lang in names for level in range(6)}
+    kinds = {(lang, level): sum((a, n) == (lang, level) for (a, n, _) in counts) for lang in names for level in range(6)}
     found = {r.doc_id: r for r in language.identified(documents, model).collect()}
     assert len(found) == len(rows)
     for r in rows[::7]:
-        name, score = brute_score(r.text, counts, names, levels, totals)
+        name, score = brute_score(r.text, counts, names, levels, totals, kinds)
         assert (found[r.doc_id].lang_pred, found[r.doc_id].held_out) == (name, fold(r.doc_id) == 2)
         assert found[r.doc_id].score == pytest.approx(score, abs=1e-9)
 
@@ -72,10 +78,34 @@ def test_held_out_accuracy(documents, model):
 
 
 def test_bounds_cut_rare_entries(documents):
-    small = language.fit(documents, sample=20, words=100, grams=50, languages=2)
-    assert len(small.languages) == 2
-    assert 0 < len(small.words) <= 200
-    assert all(len(k) <= 100 for k in small.gram_keys)
+    small = language.fit(documents, sample=20, words=100, grams=50)
+    size = len(small.languages)
+    assert 0 < len(small.words) <= 100 * size
+    assert all(len(k) <= 50 * size for k in small.gram_keys)
+    assert all(len(level.gains) <= (50 if n else 100) * size for n, level in enumerate(small.levels))
+
+
+def test_every_labelled_language_can_be_found(spark):
+    """More languages than the model has rows of any one; each has words of its own."""
+    signs = "abcdefghij"
+    words = {n: [f"{signs[n % 10]}{signs[n // 10 % 10]}{signs[n // 100]}{w}" for w in ("ka", "lomi", "taru", "sen")] for n in range(130)}
+    rows = [(4 * n + k, " ".join(words[n] * 3), f"l{n:03d}") for n in range(130) for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert len(model.languages) == 130
+    found = {(r.doc_id, r.lang_pred) for r in language.identified(docs, model).collect()}
+    assert sum((i, lang) in found for i, _, lang in rows) > 0.95 * len(rows)
+
+
+def test_a_language_with_few_labels_does_not_win_by_knowing_little(spark, documents):
+    english = [(r.doc_id, r.text, "en") for r in documents.where("lang = 'en'").limit(100).collect()]
+    few = [(10_000 + k, t, "sw") for k, t in enumerate(["habari ya asubuhi rafiki yangu", "karibu nyumbani kwetu leo jioni", "asante sana kwa chakula kizuri"])]
+    model = language.fit(spark.createDataFrame(english + few, "doc_id long, text string, lang string"))
+    assert model.languages == ["en", "sw"]
+    probes = [t for _, t, _ in english] + ["Quantum chromodynamics explains hadronization", "habari yangu rafiki"]
+    names = language.Scorer(model).predict(probes)[0]
+    assert names[:-1] == ["en"] * (len(probes) - 1) and names[-1] == "sw"
+    assert language.Scorer(model).predict(["ΩΨΞ"])[1][0] < 0.55  # known nowhere but for the blanks around it
 
 
 def test_odd_rows(odd, odd_rows, model):
