@@ -4,12 +4,14 @@ A plain window over a file or a key puts that group into one task, however large
 Here all rows are cut into chunks of about equal size along (group, row order), whatever
 the sizes of groups and the gaps between positions:
 
-1. rows are dealt by ranges of group and order, which samples them, and are written once
-   (`session.staged`), each with the number of its range;
+1. a sample of rows, one for each of a fixed number of hash buckets, gives the edges of the
+   chunks; rows are written once (`session.staged`), each with the number of its chunk, which
+   follows from its own values alone, so nothing is shuffled yet;
 2. only a group at the edge of a chunk can run into the next one, so there are at most two
    such groups per chunk; for these, a partial aggregate gives one small row per chunk, and
    a window over those rows the value carried into the next;
-3. one window runs over each group within its chunk, and the carried value is added.
+3. one window runs over each group within its chunk, the only shuffle of all rows, and the
+   carried value is added.
 
 There is one path for every group size. Sums of doubles are taken in decimals of 12 places,
 so results do not depend on where chunks end. The last order column must be unique inside
@@ -29,6 +31,7 @@ from .columns import quoted
 from .joins import join_on
 
 EXACT = "decimal(38,12)"
+_PER_CHUNK = 20  # sampled rows
 
 
 @dataclass(frozen=True)
@@ -54,6 +57,39 @@ TOTAL = Scan(
 )
 
 
+def _edges(df: DataFrame, keys: Sequence[str], chunks: int) -> list:
+    """Upper ends of all chunks but the last, in ascending order: at most `chunks` - 1 rows."""
+    key = F.struct(*[quoted(k) for k in keys])
+    hashed = [F.hash(quoted(k)) for k in keys]  # of any type; NULL is one value
+    bucket = F.pmod(F.xxhash64(*hashed), F.lit(chunks * _PER_CHUNK))
+    picked = df.groupBy(bucket.alias("bucket")).agg(F.min_by(key, F.xxhash64(F.lit(1), *hashed)).alias("key"))
+    rows = [r["key"] for r in picked.orderBy("key").collect()]
+    at = dict.fromkeys(len(rows) * k // chunks for k in range(1, chunks))
+    return [rows[k] for k in at if 0 < k < len(rows)]
+
+
+def _chunk(df: DataFrame, keys: Sequence[str], edges: Sequence) -> Column:
+    """How many edges lie at or below a row, found by halving."""
+    if not edges:
+        return F.lit(0)
+    types = [df.schema[k].dataType for k in keys]
+    row = F.struct(*[quoted(k) for k in keys])
+    listed = F.array(*[F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(e, types, keys)]) for e in edges])
+    steps = [1 << k for k in reversed(range(len(edges).bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda at, step: F.when((at + step <= len(edges)) & (F.get(listed, at + step - 1) <= row), at + step).otherwise(at),
+    )
+
+
+def chunked(df: DataFrame, keys: Sequence[str], out: str = "__chunk", chunks: int | None = None) -> DataFrame:
+    """Rows with the number of their chunk, in the order of `keys`; written once."""
+    parts = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    edges = _edges(df, keys, parts) if parts > 1 else []
+    return staged(df.withColumn(out, _chunk(df, keys, edges)), "ordered-rows")
+
+
 def _carried(placed: DataFrame, scans: Mapping[str, tuple[str, Scan]], order: Sequence[str], by: Sequence[str]) -> DataFrame:
     """by, __chunk and `__from_<output>`: what earlier chunks of a group hand to this one."""
     ends = placed
@@ -91,10 +127,7 @@ def scan_rows(
     kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
     double = {out: s.exact and kinds[c] in ("double", "float") for out, (c, s) in outputs.items()}
     inputs = {f"__in_{out}": quoted(c).cast(EXACT) if double[out] else quoted(c) for out, (c, _) in outputs.items()}
-    keys = [quoted(c) for c in (*by, *order)]
-    parts = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.withColumns(inputs).repartitionByRange(parts, *keys)
-    placed = staged(dealt.withColumn("__chunk", F.spark_partition_id()), "ordered-rows")
+    placed = chunked(df.withColumns(inputs), [*by, *order], chunks=chunks)
 
     last_row = -1 if before else Window.currentRow
     so_far = (

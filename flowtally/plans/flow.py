@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import lenient_sum
 from ..operators.joins import join_on
-from ..operators.ordered import EXACT, number_rows, running_total
+from ..operators.ordered import EXACT, chunked, number_rows, running_total
 from ..session import staged
 
 SWEEPS = 32
@@ -132,14 +132,11 @@ def _without_overlap(state: DataFrame, height: float, padding: float) -> DataFra
 
     In the order of (y, node), let d be the room that all nodes above take. Pushing down
     gives d + max(0, running maximum of y - d), and what stands out below is bounded by the
-    place of the last node minus its own d. Both are prefix scans: rows are dealt by ranges
-    of (level, y), windows run inside a chunk, and one row per chunk carries the rest, so a
+    place of the last node minus its own d. Both are prefix scans: rows are cut into chunks of
+    (level, y), windows run inside a chunk, and one row per chunk carries the rest, so a
     level of any size is spread over tasks.
     """
-    parts = int(state.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    room = (F.col("dy") + padding).cast(EXACT)
-    dealt = state.repartitionByRange(parts, "level", "y", "node").withColumn("chunk", F.spark_partition_id())
-    dealt = staged(dealt.withColumn("room", room), "flow-chunks")
+    dealt = chunked(state.withColumn("room", (F.col("dy") + padding).cast(EXACT)), ["level", "y", "node"], "chunk")
     own = Window.partitionBy("level", "chunk").orderBy("y", "node")
     earlier, so_far = own.rowsBetween(Window.unboundedPreceding, -1), own.rowsBetween(Window.unboundedPreceding, 0)
     inside = dealt.withColumn("d", F.coalesce(F.sum("room").over(earlier), F.lit(0)).cast("double"))
