@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..plans import increments as N
 from ..plans import publish as P
-from ..session import new_folder
+from ..session import new_folder, staged
 from ..sources import snapshots as S
 from ..sources import tables as T
+from ..sources.files import read_typed
 from .analyses import CONTRIBUTIONS, LEFT_OUT, RANKING, SIZES, TOP, TYPES, YEARLY
 from .registry import COSTS, LINES, PRIORITIES, check, delivered, pivot_sql
 
@@ -43,6 +45,13 @@ def published_routes(spark, folder):
     return _cube(spark, folder, P.ROUTES)
 
 
+@check("O7", "O9", "A1", sql=_routes(""))
+def exported_routes(spark, folder):
+    """One file per cube, as a chart reads it."""
+    paths = P.export(spark, _published(spark, folder), new_folder(spark, "exported"))
+    return read_typed(spark, paths[P.ROUTES], "DEST string, MSNAME string, N_RETURNEES double")
+
+
 @check("O7", "O10", "A1", sql=_routes("WHERE op_id % 2 = 0"))
 def published_routes_before(spark, folder):
     """The version before is still there, with the values of its own run."""
@@ -103,3 +112,42 @@ def published_averages_by_destination(spark, folder):
 @check("O7", "O9", "A11", sql=LEFT_OUT % ("= 2", "= 2"))
 def published_share_left_out(spark, folder):
     return _cube(spark, folder, P.LEFT_OUT)
+
+
+INCREMENTS = {
+    "routes": lambda s: N.cube_of(s, ["dest", "origin"], strict={"n": "n"}, lenient={"n_known": "n"}),
+    "years": lambda s: N.cube_of(s, ["year", "dest"], strict={"n": "n"}, lenient={"n_known": "n"}),
+}
+
+
+@delivered
+def _incremental(spark, folder):
+    """Yearly deliveries one after the other; one comes short at first, one is taken back. Some counts are missing."""
+    out = new_folder(spark, "incremental")
+    lines = T.movement_lines(spark, folder).withColumn("year", F.year("op_date"))
+    lines = staged(lines.withColumn("n", F.when(F.col("op_id") % 97 != 0, F.col("n"))).select("year", "dest", "origin", "op_id", "n"), "lines")
+    put = lambda name, rows: N.add_delivery(spark, out, name, rows, ["year", "dest", "origin"], ["n"], INCREMENTS)
+    put("to 1994", lines.where("year < 1995"))
+    put("1995", lines.where("year = 1995 AND op_id % 3 = 0"))
+    put("twice", lines.where("year = 1992"))
+    put("1995", lines.where("year = 1995"))
+    put("from 1996", lines.where("year > 1995"))
+    N.remove_delivery(spark, out, "twice", INCREMENTS)
+    return out
+
+
+def _from_scratch(keys):
+    n = "CASE WHEN op_id % 97 <> 0 THEN n END"
+    return f"""WITH {LINES} SELECT {keys}, CASE WHEN count({n}) = count(*) THEN sum({n}) END AS n, coalesce(sum({n}), 0) AS n_known
+      FROM lines GROUP BY {keys}"""
+
+
+@check("O5", "O46", "O47", "A1", sql=_from_scratch("dest, origin"))
+def routes_after_increments(spark, folder):
+    """The cube after five more versions equals the one from all rows."""
+    return S.read_table(spark, _incremental(spark, folder), "routes")
+
+
+@check("O5", "O47", "A3", sql=_from_scratch("year, dest"))
+def years_after_increments(spark, folder):
+    return S.read_table(spark, _incremental(spark, folder), "years")

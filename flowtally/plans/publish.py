@@ -5,7 +5,7 @@ Each run adds a version (see `sources.snapshots`): readers see all cubes of a ru
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.columns import rename
@@ -75,3 +75,9 @@ def publish(
     with staging(spark):
         done = snapshots.publish_tables(spark, folder, published(returnees, types, ledger, countries, null_safe), form)
     return {name: f"{folder}/{entry['folder']}" for name, entry in done.tables.items()}
+
+
+def export(spark: SparkSession, folder: str, target: str) -> dict[str, str]:
+    """Each cube of the current version as one CSV file `<target>/<name>.csv`, as charts read them; name -> path."""
+    names = snapshots.manifest(spark, folder).tables
+    return {name: snapshots.export_file(spark, folder, name, f"{target}/{name}.csv") for name in names}

@@ -21,6 +21,7 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from ..session import remove_folder
 CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 #: NULL is written as nothing and an empty text as two quotes; a mark that no text holds tells them apart.
 CSV_READ = CSV | {"multiLine": True, "nullValue": "\0", "emptyValue": ""}
+FILE_BYTES = 1 << 28
 
 
 @dataclass(frozen=True)
@@ -57,17 +59,17 @@ def _names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(f.getPath().getName() for f in store.listStatus(path)) if store.exists(path) else []
 
 
-def _move(spark: SparkSession, source: str, target: str) -> bool:
-    """Rename in one step; False where the target is there already."""
-    options = spark._jvm.org.apache.hadoop.fs.Options
-    none = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    none[0] = options.Rename.NONE
+def _move(spark: SparkSession, source: str, target: str, replace: bool = False) -> bool:
+    """Rename in one step; False where the target is there already and shall not be replaced."""
+    kinds = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark._sc._gateway.new_array(kinds, 1)
+    how[0] = kinds.OVERWRITE if replace else kinds.NONE
     path = _path(spark, target)
     context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), spark._jsc.hadoopConfiguration())
-    if _store(spark, target).exists(path):
+    if not replace and _store(spark, target).exists(path):
         return False
     try:
-        context.rename(_path(spark, source), path, none)
+        context.rename(_path(spark, source), path, how)
     except Exception as error:  # another run was faster
         if "FileAlreadyExists" in str(error):
             return False
@@ -109,7 +111,8 @@ def _described(df: DataFrame) -> list[dict]:
     """Rows and checksum of every file that a table is read from."""
     names = df.columns
     by_file = df.withColumn("__file", F.col("_metadata.file_path")).groupBy("__file")
-    return [r.asDict() for r in by_file.agg(F.count(F.lit(1)).alias("rows"), _checksum(names).alias("checksum")).collect()]
+    found = by_file.agg(F.count(F.lit(1)).alias("rows"), _checksum(names).alias("checksum")).collect()
+    return [r.asDict() | {"__file": unquote(r["__file"])} for r in found]
 
 
 def _files(spark: SparkSession, base: str) -> list[str]:
@@ -140,19 +143,28 @@ def _entry(spark: SparkSession, df: DataFrame, folder: str, place: str, form: st
 
 
 def publish_tables(
-    spark: SparkSession, folder: str, tables: Mapping[str, DataFrame], form: str = "parquet", by: Mapping[str, Sequence[str]] | None = None
+    spark: SparkSession,
+    folder: str,
+    tables: Mapping[str, DataFrame],
+    form: str = "parquet",
+    by: Mapping[str, Sequence[str]] | None = None,
+    carried: Mapping[str, dict] | None = None,
 ) -> Manifest:
     """Write all tables as the next version. Readers see all of them or none.
 
-    `by` lays single tables out in folders. Where the run fails, what it wrote is removed
-    if that is still possible, and the version before stays current.
+    `by` lays single tables out in folders. `carried` holds entries of an earlier manifest:
+    the new version lists their files again, and nothing is copied. Where the run fails,
+    what it wrote is removed if that is still possible, and the version before stays current.
     """
+    odd = [n for n in tables if not n or n[0] in "_." or set(n) & set("/:=")]
+    if odd:
+        raise ValueError(f"names of tables become names of folders: {odd}")
     run = uuid.uuid4().hex
     try:
         entries = {
             name: _entry(spark, df, folder, f"data/{run}/{name}", form, (by or {}).get(name, ())) for name, df in tables.items()
         }
-        return _switched(spark, folder, run, entries)
+        return _switched(spark, folder, run, dict(carried or {}) | entries)
     except BaseException:
         remove_folder(spark, f"{folder}/data/{run}")
         raise
@@ -184,6 +196,14 @@ def read_table(spark: SparkSession, folder: str, name: str, version: int | None
     return _loaded(spark, entry, f"{folder}/{entry['folder']}", [f["file"] for f in entry["files"]])
 
 
+def read_tables(spark: SparkSession, folder: str, names: Sequence[str], version: int | None = None) -> DataFrame:
+    """Tables of one schema and form under one another, in a single scan of all their files."""
+    entries = [manifest(spark, folder, version).tables[n] for n in names]
+    if len({json.dumps([e["form"], e["schema"], e["by"]]) for e in entries}) != 1:
+        raise ValueError("the tables differ in schema, form or layout")
+    return _loaded(spark, entries[0], folder, [f"{e['folder']}/{f['file']}" for e in entries for f in e["files"]])
+
+
 def damaged(spark: SparkSession, folder: str, name: str, version: int | None = None) -> DataFrame:
     """file, listed_rows, found_rows: files whose rows or values are not those of the manifest, or that are gone."""
     entry = manifest(spark, folder, version).tables[name]
@@ -199,6 +219,39 @@ def damaged(spark: SparkSession, folder: str, name: str, version: int | None = N
     return spark.createDataFrame(rows, "file string, listed_rows long, found_rows long")
 
 
+def export_file(spark: SparkSession, folder: str, name: str, target: str, version: int | None = None, most_bytes: int = FILE_BYTES) -> str:
+    """One CSV file of a small published table, for readers that take no folders; its rows in the order of the table.
+
+    One task puts the files together and no row passes the driver; a table with more than
+    `most_bytes` in its files is an error. The file appears, or replaces the one before, in
+    one step.
+    """
+    found = manifest(spark, folder, version)
+    entry, store = found.tables[name], _store(spark, folder)
+    base = f"{folder}/{entry['folder']}"
+    size = sum(store.getFileStatus(_path(spark, f"{base}/{f['file']}")).getLen() for f in entry["files"])
+    if size > most_bytes:
+        raise ValueError(f"{name} has {size} bytes, too many for one file")
+    rows = read_table(spark, folder, name, found.version)
+    if entry["files"]:
+        place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__row")]
+        order = ["__file", "__block", "__row"]
+        rows = rows.select("*", *place).coalesce(1).sortWithinPartitions(*order).drop(*order)
+    draft = f"{target.rstrip('/')}.{uuid.uuid4().hex}"
+    try:
+        rows.write.options(**CSV).csv(draft)
+        parts = _files(spark, draft)
+        if parts:
+            _move(spark, f"{draft}/{parts[0]}", target, replace=True)
+        else:  # a table without rows has no file
+            stream = _store(spark, target).create(_path(spark, target), True)
+            stream.write(bytearray((",".join(rows.columns) + "\n").encode()))
+            stream.close()
+    finally:
+        remove_folder(spark, draft)
+    return target
+
+
 def catalog(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
     """cube, version, form, n_files, n_rows: what the manifest lists."""
     found = manifest(spark, folder, version)
@@ -206,6 +259,11 @@ def catalog(spark: SparkSession, folder: str, version: int | None = None) -> Dat
     return spark.createDataFrame(rows, "cube string, version long, form string, n_files long, n_rows long")
 
 
+def _runs(found: Manifest) -> set[str]:
+    """Runs whose files a version lists."""
+    return {found.run, *(e["folder"].split("/")[1] for e in found.tables.values())}
+
+
 def expire(spark: SparkSession, folder: str, keep: int = 2, unfinished_hours: float = 24.0) -> list[int]:
     """Remove all but the last `keep` versions, and what broken runs left behind; returns the versions removed.
 
@@ -215,8 +273,8 @@ def expire(spark: SparkSession, folder: str, keep: int = 2, unfinished_hours: fl
     if keep < 1:
         raise ValueError("the current version stays")
     known = versions(spark, folder)
-    old, kept = known[:-keep], {manifest(spark, folder, v).run for v in known[-keep:]}
-    gone = {manifest(spark, folder, v).run for v in old}
+    old, kept = known[:-keep], {run for v in known[-keep:] for run in _runs(manifest(spark, folder, v))}
+    gone = {run for v in old for run in _runs(manifest(spark, folder, v))} - kept
     for v in old:  # no reader may find a manifest without its files
         remove_folder(spark, f"{folder}/manifests/{v:020d}.json")
     store = _store(spark, folder)

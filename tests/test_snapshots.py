@@ -1,5 +1,6 @@
 """Versions are whole, kept apart, typed, and checked against their manifest."""
 
+import csv
 import os
 
 import pytest
@@ -123,6 +124,28 @@ def test_folders_by_column_and_empty_tables(spark, tmp_path, cubes):
     assert S.read_table(spark, out, "none", checked=True).columns == ["year", "id"] and S.read_table(spark, out, "none").count() == 0
 
 
+def test_one_file_for_readers_of_files(spark, tmp_path, cubes):
+    out, target = str(tmp_path / "out"), str(tmp_path / "web" / "numbers.csv")
+    ordered = cubes["numbers"].repartition(5).orderBy(F.desc("id"))
+    S.publish_tables(spark, out, {"numbers": ordered, "none": ordered.where("id < 0")}, "csv")
+    for _ in range(2):  # the second one replaces the first
+        S.export_file(spark, out, "numbers", target)
+    with open(target, newline="") as file:
+        rows = list(csv.reader(file))
+    assert rows[0] == ["id", "part", "third"] and [int(r[0]) for r in rows[1:]] == list(range(49, -1, -1))
+    S.export_file(spark, out, "none", str(tmp_path / "web" / "none.csv"))
+    assert open(tmp_path / "web" / "none.csv").read() == "id,part,third\n"
+    assert sorted(n for n in os.listdir(tmp_path / "web") if not n.startswith(".")) == ["none.csv", "numbers.csv"]
+    with pytest.raises(ValueError, match="too many"):
+        S.export_file(spark, out, "numbers", target, most_bytes=10)
+
+
+@pytest.mark.parametrize("name", ["a/b", "", "_x", ".x", "a=b", "a:b"])
+def test_names_become_folders(spark, tmp_path, cubes, name):
+    with pytest.raises(ValueError, match="folders"):
+        S.publish_tables(spark, str(tmp_path / "out"), {name: cubes["numbers"]})
+
+
 def test_nothing_published(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         S.read_table(spark, str(tmp_path / "none"), "numbers")
