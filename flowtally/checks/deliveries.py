@@ -312,7 +312,7 @@ COMBINED = SHEETS + """,
 
 
 def _combined(spark, folder) -> DataFrame:
-    headers = _headers(spark, folder)
+    headers = staged(_headers(spark, folder), "sheet-headers")  # read for operations and for destinations
     return combined_movements(D.sheet_operations(headers), D.sheet_destinations(headers), D.tidy_returns(_raw_returns(spark, folder), ["src_row"], ID_LENGTH))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from ..operators.joins import join_on
@@ -12,6 +14,7 @@ from ..sources import files as S
 from ..sources import headers as H
 from ..sources import infer as I
 from ..sources import tables as T
+from ..sources import workbook as W
 from .registry import LINES, check, delivered
 
 def _csv(df, spark, label, header=True):
@@ -229,3 +232,33 @@ def unmatched_places(spark, folder):
     nations = T.table(spark, folder, "nation")
     customers = T.table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     return unmatched_names(customers.select(F.expr(PLACE).alias("name")), "name", nations, "n_name")
+
+
+BOOK_COLUMNS = ["o_orderkey", "o_orderpriority", "o_totalprice"]
+
+
+@delivered
+def _workbooks(spark, folder):
+    """A workbook for each partition of the orders, with one sheet of open orders and one of the others."""
+    base = new_folder(spark, "workbooks")
+    orders = T.table(spark, folder, "orders").repartition(4).select(*BOOK_COLUMNS, (F.col("o_orderstatus") == "O").alias("open"))
+
+    def write(batches):
+        sheets = {True: [BOOK_COLUMNS], False: [BOOK_COLUMNS]}
+        for batch in batches:
+            for *cells, is_open in zip(*[c.to_pylist() for c in batch.columns]):
+                sheets[is_open].append(cells)
+        path = f"{base}/book-{TaskContext.get().partitionId()}.xlsx"
+        W.write_workbook(path, {"open": sheets[True], "other": sheets[False]})
+        yield pa.RecordBatch.from_pydict({"path": [path]})
+
+    return [r["path"] for r in orders.mapInArrow(write, "path string").collect()]
+
+
+@check("O3", sql="""SELECT o_orderkey, o_orderpriority, o_totalprice, CASE o_orderstatus WHEN 'O' THEN 1 ELSE 2 END AS sheet,
+    CASE o_orderstatus WHEN 'O' THEN 2001 ELSE 2002 END AS year FROM orders""")
+def scan_workbooks(spark, folder):
+    """Both sheets of every workbook, one by number and one by name."""
+    listed = [s for path in _workbooks(spark, folder) for s in ((path, 1, 2001), (path, "other", 2002))]
+    rows = W.read_workbooks(spark, listed, BOOK_COLUMNS)
+    return S.typed(rows, {"o_orderkey": "bigint", "o_totalprice": "double"}).select(*BOOK_COLUMNS, "sheet", "year")
