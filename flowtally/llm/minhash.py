@@ -9,7 +9,9 @@ the shingle sets.
 Near duplicates: signatures are cut into bands, equal bands are joined in Spark, and the
 Jaccard likeness of the shingle sets themselves is verified. Equal sets are grouped first.
 A band that many sets share is not expanded into all pairs: each member is verified against
-one of them, and then only pairs of members that are not yet connected are.
+one of them. Members of bands that still hold several unconnected parts are then paired only
+if they can reach the likeness asked for: sets of sizes in that ratio which share one of the
+rarest shingles of both, as two sets must that are alike enough. No pair is lost by it.
 
 Defined results: NULL counts as empty; texts without words have one common signature and
 are like one another only; fewer than five words form one shingle; repeated rows each
@@ -25,7 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowtally.session import staged
@@ -243,6 +245,37 @@ def _alike(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return staged(both.mapInArrow(verify, "a long, b long"), "alike")
 
 
+def _rare_pairs(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(a, b): sets of different parts that share one of their rarest shingles and do not differ too much in size.
+
+    members: distinct (node, part). Two sets of likeness `least` share at least that share of
+    either one's shingles, so of each the rarest ones, one more than may be missing, suffice.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                listed = [np.frombuffer(x, np.uint64).view(np.int64) for x in part.column(2).to_pylist()]
+                sizes = np.array([len(x) for x in listed], np.int64)
+                each = pa.array(np.repeat(np.arange(len(listed)), sizes))
+                arrays = [part.column(0).take(each), part.column(1).take(each), pa.array(np.repeat(sizes, sizes)), pa.array(np.concatenate(listed))]
+                yield pa.RecordBatch.from_arrays(arrays, ["node", "part", "size", "shingle"])
+
+    found = members.join(sets.withColumnRenamed("node", "of"), F.col("node") == F.col("of")).select("node", "part", "set")
+    each = staged(found.mapInArrow(cut, "node long, part long, size long, shingle long"), "shingles")
+    times = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("times")).where("times > 1").withColumnRenamed("shingle", "s")
+    counted = each.join(times, F.col("shingle") == F.col("s"), "left").select("node", "part", "size", "shingle", F.coalesce("times", F.lit(1)).alias("times"))
+    rarest = Window.partitionBy("node").orderBy("times", "shingle")  # one text's shingles
+    enough = F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1
+    first = counted.withColumn("at", F.row_number().over(rarest)).where((F.col("at") <= enough) & (F.col("times") > 1))
+    first = staged(first.select("node", "part", "size", "shingle"), "rarest")
+    other = first.select(F.col("node").alias("b"), F.col("part").alias("p"), F.col("size").alias("z"), F.col("shingle").alias("s"))
+    near = F.least("size", "z") >= F.greatest("size", "z") * (least - 1e-9)
+    pairs = first.join(other, (F.col("shingle") == F.col("s")) & (F.col("part") < F.col("p")) & near)
+    return pairs.select(F.col("node").alias("a"), "b").distinct()
+
+
 def near_groups(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -295,17 +328,15 @@ def near_groups(
     texts = rows.select("text").mapInArrow(name, "node long, text binary").join(wanted, F.col("node") == F.col("w"), "left_semi")
     sets = staged(texts.groupBy("node").agg(F.min("text").alias("text")).mapInArrow(cut, "node long, set binary"), "sets")
 
-    # every member of a band beside one of them; then, between what is not yet linked, all pairs
+    # every member of a band beside one of them; then, between what is not yet linked, pairs that can be alike
     stars = staged(banded.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
     links = _alike(stars, sets, least)
     roots = staged(components(links), "roots").withColumnRenamed("node", "linked")
     parted = banded.join(roots, F.col("node") == F.col("linked"), "left").select("key", "node", F.coalesce("root", "node").alias("part"))
     parted = staged(parted, "parted")
     mixed = parted.groupBy(F.col("key").alias("k")).agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    parted = parted.join(mixed, F.col("key") == F.col("k"), "left_semi")
-    others = parted.select(F.col("key").alias("k"), F.col("node").alias("b"), F.col("part").alias("p"))
-    pairs = parted.join(others, (F.col("key") == F.col("k")) & (F.col("part") < F.col("p"))).select(F.col("node").alias("a"), "b").distinct()
-    links = links.union(_alike(staged(pairs, "pairs"), sets, least))
+    members = parted.join(mixed, F.col("key") == F.col("k"), "left_semi").select("node", "part").distinct()
+    links = links.union(_alike(staged(_rare_pairs(members, sets, least), "pairs"), sets, least))
 
     roots = components(links)
     named = nodes.select("node", "first").join(roots.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left")
