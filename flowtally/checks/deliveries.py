@@ -7,7 +7,6 @@ values back. The SQL states those values directly from the tables.
 
 from __future__ import annotations
 
-from functools import cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -399,14 +398,9 @@ def _parts(spark, folder):
     code = F.when(F.col("nation") == 4, F.lit("FX")).otherwise(F.concat(F.lit("N"), F.lpad(F.col("nation").cast("string"), 2, "0")))
     drop = ["op_date", "op_id"]
 
-    def spellings() -> DataFrame:
-        both = union_by_name(dated.select("payee", F.lit(L.DATED).alias("layout")), merged.select("payee", "layout"))
-        return L.payee_table(both, lands)
-
-    known = cache(spellings)
+    filled = union_by_name(dated.drop(*drop).withColumn("layout", F.lit(L.DATED)), merged)
     return {
-        "dated": lambda: L.dated_ledger(dated.drop(*drop), first, lands, order, known()),
-        "merged": lambda: L.merged_ledger(merged, lands, order, known()),
+        "merged": lambda: L.merged_ledger(filled, lands, order, operations=first),
         "named": lambda: L.named_ledger(later.where(year == 2000).withColumn("payee", F.initcap("payee")), lands),
         "coded": lambda: L.coded_ledger(later.where(year >= 2001).drop("payee").withColumn("iso", code), lands),
     }

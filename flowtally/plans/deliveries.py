@@ -29,6 +29,9 @@ STAFF_COLUMNS = [
 ]
 COST_COLUMNS = ["op_id", "op_date", "iso", "amount"]
 REPRESENTATIVE_COLUMNS = ["op_id", "op_date", "n_staff"]
+# The same tables by heading, for `headers.scan_by_header`.
+COST_HEADERS = {"op_id": ["RO-ID"], "op_date": ["Date"], "iso": ["MS/SAC"], "amount": ["TOTAL PAID"]}
+REPRESENTATIVE_HEADERS = {"op_id": ["RO-ID"], "op_date": ["RO Date"], "n_staff": ["Frontex Representative on Board"]}
 NEWER_RETURN_COLUMNS = ["op_id", "op_date", "origin", "dest", "n"]
 NEWER_TYPE_COLUMNS = ["op_date", "op_type", "op_id"]
 ID_HEADER, STATE_HEADER, SUBTOTAL = "RO-ID", "MSSAC", "Total"

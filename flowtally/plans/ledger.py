@@ -67,44 +67,49 @@ def dated_ledger(
     order: Sequence[str] = ROW_ORDER,
     payees: DataFrame | None = None,
 ) -> DataFrame:
-    """Layout `info, payee, amount`: a date range closes the merged info text.
-
-    The operation is found by its date in `operations(op_id, op_date)`. Two operations
-    on one date both take the row, so that table should hold one per date. `payees` is a
-    ready `payee_table`, for several layouts read together.
-    """
-    rows = rows.withColumn("layout", F.lit(DATED))
-    dated = fill_down(rows.withColumn("op_date", range_end("info")), ["op_date"], order, ["src_file"])
-    found = join_on(dated, operations.select("op_date", "op_id"), "op_date")
-    return _with_payee(found, payees if payees is not None else payee_table(rows, countries))
+    """Layout DATED alone, see `merged_ledger`."""
+    return merged_ledger(rows.withColumn("layout", F.lit(DATED)), countries, order, payees, operations)
 
 
 def merged_ledger(
-    rows: DataFrame, countries: DataFrame, order: Sequence[str] = ROW_ORDER, payees: DataFrame | None = None
+    rows: DataFrame,
+    countries: DataFrame,
+    order: Sequence[str] = ROW_ORDER,
+    payees: DataFrame | None = None,
+    operations: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of the layouts with merged ids, told apart by `layout`, in one pass.
+    """Rows of the layouts with merged cells, told apart by `layout`, in one pass.
 
+    * DATED `info, payee, amount`: a date range closes the merged info text;
     * NUMBERED `number, payee, n_escorts, amount`: a number within the year, maybe with text after it;
     * KEYED `op_id, payee, n_escorts, amount`: the full id;
     * OWN_DATES `number, payee, op_date, amount`: a number, and a date on every row.
+
+    Operations of DATED rows are found by their date in `operations(op_id, op_date)`. Two
+    operations on one date both take the row, so that table should hold one per date.
+    `payees` is a ready `payee_table`, for several deliveries read apart.
     """
-    missing = [c for c in ("number", "op_id", "op_date") if c not in rows.columns]
+    missing = [c for c in ("info", "number", "op_id", "op_date") if c not in rows.columns]
     rows = rows.withColumns({c: F.lit(None).cast("string") for c in missing})
-    own = F.col("layout") == OWN_DATES
+    own, layout = F.col("layout") == OWN_DATES, F.col("layout")
     read = rows.withColumns(
         {
-            "number": F.when(own, F.col("number")).when(F.col("layout") == NUMBERED, leading_digits("number")),
-            "op_id": F.when(F.col("layout") == KEYED, F.col("op_id")),
+            "number": F.when(own, F.col("number")).when(layout == NUMBERED, leading_digits("number")),
+            "op_id": F.when(layout == KEYED, F.col("op_id")),
+            "range_end": F.when(layout == DATED, range_end("info")),
         }
     )
-    filled = fill_down(read, ["number", "op_id"], order, ["src_file"])
+    filled = fill_down(read, ["number", "op_id", "range_end"], order, ["src_file"])
     built = operation_key(F.col("year"), F.col("number"))
     keyed = filled.withColumns(
         {
-            "op_id": F.when(F.col("layout") == KEYED, F.col("op_id")).otherwise(built),
-            "op_date": F.when(own, parse_date("op_date", YEAR_FIRST)),
+            "op_id": F.when(layout == KEYED, F.col("op_id")).when(layout != DATED, built),
+            "op_date": F.when(own, parse_date("op_date", YEAR_FIRST)).otherwise(F.col("range_end")),
         }
     )
+    if operations is not None:
+        known = operations.select(F.col("op_date").alias("range_end"), F.col("op_id").alias("found"))
+        keyed = join_on(keyed, known, "range_end", null_safe=False).withColumn("op_id", F.coalesce("op_id", "found"))
     return _with_payee(keyed, payees if payees is not None else payee_table(rows, countries))
 
 

@@ -35,6 +35,7 @@ CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreT
 #: NULL is written as nothing and an empty text as two quotes; a mark that no text holds tells them apart.
 CSV_READ = CSV | {"multiLine": True, "nullValue": "\0", "emptyValue": ""}
 FILE_BYTES = 1 << 28
+_NO_ROWS = {"rows": 0, "checksum": None}
 
 
 @dataclass(frozen=True)
@@ -107,12 +108,12 @@ def _checksum(names: Sequence[str]) -> Column:
     return F.sum(F.xxhash64(*[quoted(c) for c in names]).cast("decimal(38,0)")).cast("string")
 
 
-def _described(df: DataFrame) -> list[dict]:
-    """Rows and checksum of every file that a table is read from."""
+def _described(df: DataFrame, place: str) -> dict[str, dict]:
+    """Rows and checksum of every file that a table is read from, by its path below `place`."""
     names = df.columns
     by_file = df.withColumn("__file", F.col("_metadata.file_path")).groupBy("__file")
     found = by_file.agg(F.count(F.lit(1)).alias("rows"), _checksum(names).alias("checksum")).collect()
-    return [r.asDict() | {"__file": unquote(r["__file"])} for r in found]
+    return {unquote(r["__file"]).rpartition(f"{place}/")[2]: {"rows": r["rows"], "checksum": r["checksum"]} for r in found}
 
 
 def _files(spark: SparkSession, base: str) -> list[str]:
@@ -136,9 +137,8 @@ def _entry(spark: SparkSession, df: DataFrame, folder: str, place: str, form: st
     schema = json.loads(T.StructType([T.StructField(f.name, f.dataType) for f in fields]).json())
     entry = {"form": form, "schema": schema, "folder": place, "by": list(by)}
     names = _files(spark, base)
-    rows = {d["__file"]: d for d in _described(_loaded(spark, entry, base, names))} if names else {}
-    named = {f: next((d for path, d in rows.items() if path.endswith(f"{place}/{f}")), None) for f in names}
-    files = [{"file": f, "rows": d["rows"] if d else 0, "checksum": d["checksum"] if d else None} for f, d in named.items()]
+    found = _described(_loaded(spark, entry, base, names), place) if names else {}
+    files = [{"file": f, **found.get(f, _NO_ROWS)} for f in names]
     return entry | {"rows": sum(f["rows"] for f in files), "files": files}
 
 
@@ -209,13 +209,13 @@ def damaged(spark: SparkSession, folder: str, name: str, version: int | None = N
     entry = manifest(spark, folder, version).tables[name]
     base = f"{folder}/{entry['folder']}"
     there = set(_files(spark, base)) if _store(spark, base).exists(_path(spark, base)) else set()
-    found = _described(_loaded(spark, entry, base, sorted(there & {f["file"] for f in entry["files"]}))) if there else []
+    listed = sorted(there & {f["file"] for f in entry["files"]})
+    found = _described(_loaded(spark, entry, base, listed), entry["folder"]) if listed else {}
     rows = []
     for f in entry["files"]:
-        got = next((d for d in found if d["__file"].endswith(f"{entry['folder']}/{f['file']}")), None)
-        count, checksum = (got["rows"], got["checksum"]) if got else (0, None)
-        if f["file"] not in there or (count, checksum) != (f["rows"], f["checksum"]):
-            rows.append((f["file"], f["rows"], count if f["file"] in there else None))
+        got = found.get(f["file"], _NO_ROWS)
+        if f["file"] not in there or got != {"rows": f["rows"], "checksum": f["checksum"]}:
+            rows.append((f["file"], f["rows"], got["rows"] if f["file"] in there else None))
     return spark.createDataFrame(rows, "file string, listed_rows long, found_rows long")
 
 

@@ -4,8 +4,9 @@ import gzip
 
 import pytest
 
+from flowtally.plans import deliveries as D
 from flowtally.sources import headers as H
-from flowtally.sources.files import ROW_ORDER
+from flowtally.sources.files import ROW_ORDER, read_rows
 
 COLUMNS = {"id": ["RO-ID"], "origin": ["MS/SAC", "State"], "n": []}
 
@@ -72,3 +73,14 @@ def test_no_files(spark, tmp_path):
     (tmp_path / "folder").mkdir()
     scan = H.scan_by_header(spark, str(tmp_path / "folder"), COLUMNS)
     assert scan.rows.collect() == [] and scan.quarantine.collect() == []
+
+
+def test_tables_by_heading_equal_those_by_position(spark, tmp_path):
+    rows = [("RO-1", "01/02/2020", "DEU", '"1,234.50 €"'), ("RO-2", "02/02/2020", "AUT", "€ -"), ("RO-ID", "Date", "MS/SAC", "TOTAL PAID")]
+    by_position = write(tmp_path, "p.csv", "RO-ID,Date,MS/SAC,TOTAL PAID\n" + "".join(",".join(r) + "\n" for r in rows))
+    by_name = write(tmp_path, "n.csv", "TOTAL PAID,MS/SAC,RO-ID,Date\n" + "".join(",".join((r[3], r[2], r[0], r[1])) + "\n" for r in rows))
+    want = D.costs(read_rows(spark, by_position, D.COST_COLUMNS)).collect()
+    assert sorted(map(str, D.costs(H.scan_by_header(spark, by_name, D.COST_HEADERS).rows).collect())) == sorted(map(str, want))
+    staff = write(tmp_path, "s.csv", "RO Date,Frontex Representative on Board,RO-ID\n03/04/2020,2,RO-5\n")
+    (row,) = D.representatives(H.scan_by_header(spark, staff, D.REPRESENTATIVE_HEADERS).rows).collect()
+    assert (row.op_id, str(row.op_date), row.n_staff) == ("RO-5", "2020-04-03", 2.0)
