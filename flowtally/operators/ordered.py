@@ -63,7 +63,7 @@ def _edges(df: DataFrame, keys: Sequence[str], chunks: int) -> list:
     hashed = [F.hash(quoted(k)) for k in keys]  # of any type; NULL is one value
     bucket = F.pmod(F.xxhash64(*hashed), F.lit(chunks * _PER_CHUNK))
     picked = df.groupBy(bucket.alias("bucket")).agg(F.min_by(key, F.xxhash64(F.lit(1), *hashed)).alias("key"))
-    rows = [r["key"] for r in picked.orderBy("key").collect()]
+    rows = picked.agg(F.sort_array(F.collect_list("key")).alias("keys")).first()["keys"]  # a few for each chunk
     at = dict.fromkeys(len(rows) * k // chunks for k in range(1, chunks))
     return [rows[k] for k in at if 0 < k < len(rows)]
 
