@@ -1,19 +1,21 @@
 """A hierarchical Pitman-Yor language model that scores whole texts.
 
-Restaurants are contexts and dishes are words. The root has no context; below it, each of
-the `contexts` most frequent words, and the start of a text, has a restaurant for the words
+Restaurants are contexts and dishes are words. The root has no context; below it, every
+word that stands before another, and the start of a text, has a restaurant for the words
 that follow it. All of them share the root as parent: a table that opens in a context is a
-customer of the root. Words behind any other word sit at the root itself, whose base is
-uniform over the known words and one unknown word.
+customer of the root, whose base is uniform over the known words and one unknown word. A
+context without training customers hands everything to the root.
 
-Seating is sampled by Gibbs. Restaurants meet only in their totals of customers and
+Seating is sampled in sweeps. Restaurants meet only in their totals of customers and
 tables; everything else belongs to one dish. So Spark keeps a row of dishes per bucket of
 words, with their customers in all restaurants, and a sweep is one pass over these rows:
-given the totals of the sweep before, the customers of each dish leave and are seated again
-by the Chinese-restaurant rule (one by one up to 32, then by binomial draws over growing
-blocks), contexts first, then the root with the tables of the contexts. The totals, a number
-for each context, are then summed anew. Probabilities are averaged over the sweeps kept. A
-dish of any frequency has at most one entry per context, so nothing grows with it.
+given the totals of the sweep before, the customers of each dish are seated again by the
+Chinese-restaurant rule (one by one up to 32, then by binomial draws over growing blocks),
+contexts first, then the root with the tables of the contexts. The totals of contexts are
+then summed anew: each bucket sends the tables of its own contexts to shards of contexts,
+which add them up and answer; only those of the root reach the driver. Probabilities are
+averaged over the sweeps kept. A dish of any frequency has at most one entry per context,
+so nothing grows with it. Contexts go by the 64-bit hash of their word.
 
 Counting and scoring follow the input. A task turns its texts into blocks of at most `block`
 tokens. A block asks each bucket once for its distinct words and (context, word) pairs, with
@@ -28,7 +30,7 @@ gives an empty one; other columns are left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +38,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,18 +47,20 @@ from flowtally.session import staged
 from .common import column, fold, shuffle_partitions, text_bytes
 
 END = b""  # no word is empty
-CONTEXTS = 1024
 NONE = 0  # context number of words that sit at the root; 1 is the start of a text
 START = 1
 SINGLE = 32
 BLOCK = 1_000_000
-LEADERS = 4096
-BLOCK_SCHEMA = "block long, doc_ids array<long>, held array<boolean>, sizes array<long>, tokens binary, words array<binary>, leaders array<struct<word:binary,n:bigint>>"
-ASK_SCHEMA = "bucket int, block long, words array<binary>, pairs array<int>, context array<smallint>, n array<bigint>"
+BLOCK_SCHEMA = "block long, doc_ids array<long>, held array<boolean>, sizes array<long>, tokens binary, words array<binary>"
+ASK_SCHEMA = "bucket int, block long, words array<binary>, pairs binary, contexts binary, context binary, n binary"
 DISH_SCHEMA = (
-    "bucket int, context array<smallint>, n array<bigint>, pairs array<int>, blocks array<bigint>,"
-    " asked_words array<int>, asked_pairs array<int>, word_at array<int>, pair_at array<int>"
+    "bucket int, contexts binary, ends binary, context binary, n binary, pairs binary, blocks binary,"
+    " asked_words binary, asked_pairs binary, word_at binary, pair_at binary"
 )
+SENT_SCHEMA = "shard int, bucket int, kind int, values binary"
+TIE_SCHEMA = "shard int, at binary, buckets binary, sizes binary"
+ROOT = -1  # shard of the sums that go to the driver
+CUSTOMERS = 0  # kind of message; 1 and above: tables after so many sweeps, plus 1
 
 
 # -- texts to blocks ---------------------------------------------------------------
@@ -64,11 +68,7 @@ DISH_SCHEMA = (
 
 def _block(number: int, index: dict[bytes, int], rows: list, tokens: list[np.ndarray]) -> pa.RecordBatch:
     stream = np.concatenate(tokens)
-    trained = np.concatenate([np.full(len(t), not r[1]) for t, r in zip(tokens, rows)])
-    counts = np.bincount(stream[trained], minlength=len(index))
     words = list(index)
-    top = np.argsort(-counts, kind="stable")[:LEADERS]
-    leaders = [{"word": words[i], "n": int(counts[i])} for i in top.tolist() if counts[i] and words[i] != END]
     packed = zstandard.ZstdCompressor(level=1).compress(stream.astype("<u4").tobytes())
     doc_ids, held, sizes = zip(*rows)
     return pa.RecordBatch.from_arrays(
@@ -79,14 +79,13 @@ def _block(number: int, index: dict[bytes, int], rows: list, tokens: list[np.nda
             pa.array([list(sizes)], pa.list_(pa.int64())),
             pa.array([packed], pa.binary()),
             pa.array([words], pa.list_(pa.binary())),
-            pa.array([leaders], pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
         ],
-        ["block", "doc_ids", "held", "sizes", "tokens", "words", "leaders"],
+        ["block", "doc_ids", "held", "sizes", "tokens", "words"],
     )
 
 
 def blocks(docs: DataFrame, id_column: str, text_column: str, modulus: int, size: int = BLOCK) -> DataFrame:
-    """Token blocks: documents, compressed token numbers, distinct words and the most frequent of them.
+    """Token blocks: documents, compressed token numbers and distinct words.
 
     A document is never split, so a block may exceed `size` by one document.
     """
@@ -151,11 +150,36 @@ def _stream(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), "<u4"), np.array(row["sizes"], np.int64)
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Integers by planes of their bytes, so that high bytes of small ones take no space."""
+    planes = np.ascontiguousarray(np.asarray(values, "<i8")).view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+
+
+def _parts(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.array([_pack(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())
+
+
 def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
-def requests(made: DataFrame, contexts: dict[bytes, int], buckets: int) -> DataFrame:
+def _numbers(words: list[bytes]) -> dict[bytes, int]:
+    """Every word of a block as a context."""
+    return {w: START + 1 + i for i, w in enumerate(words)}
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    """Ids of a block's contexts by their numbers; the end, which precedes no word, lends the start its hash."""
+    return np.fromiter((xxhash.xxh64_intdigest(w) for w in (END, END, *words)), np.uint64, len(words) + 2).view(np.int64)
+
+
+def requests(made: DataFrame, buckets: int) -> DataFrame:
     """A row per block and bucket: words, pairs per word, contexts and training counts of the pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,21 +187,24 @@ def requests(made: DataFrame, contexts: dict[bytes, int], buckets: int) -> DataF
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1).to_pylist()[0]
                 stream, sizes = _stream(row)
-                need = asked(stream, sizes, row["words"], contexts, buckets)
+                need = asked(stream, sizes, row["words"], _numbers(row["words"]), buckets)
                 trained = np.repeat(~np.array(row["held"], bool), sizes)
                 n = np.bincount(need.token[trained], minlength=len(need.pair))
                 per_word = np.bincount(need.pair, minlength=len(row["words"]))[need.word]
                 words = pa.array(row["words"], pa.binary()).take(pa.array(need.word))
+                hashes = _hashes(row["words"])
+                found = [np.unique(need.context[a:b], return_inverse=True) for a, b in zip(need.pair_bounds[:-1], need.pair_bounds[1:])]
                 full = pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(buckets), pa.int32()),
                         pa.array(np.full(buckets, row["block"]), pa.int64()),
                         _lists(need.bounds, words),
-                        _lists(need.bounds, pa.array(per_word, pa.int32())),
-                        _lists(need.pair_bounds, pa.array(need.context, pa.int16())),
-                        _lists(need.pair_bounds, pa.array(n, pa.int64())),
+                        _parts(per_word, need.bounds),
+                        pa.array([_pack(hashes[c]) for c, _ in found], pa.binary()),
+                        pa.array([_pack(at) for _, at in found], pa.binary()),
+                        _parts(n, need.pair_bounds),
                     ],
-                    ["bucket", "block", "words", "pairs", "context", "n"],
+                    ["bucket", "block", "words", "pairs", "contexts", "context", "n"],
                 )
                 yield full.filter(pa.array(np.diff(need.bounds) > 0))
 
@@ -188,9 +215,22 @@ def _flat(table: pa.Table, name: str) -> np.ndarray:
     return pc.list_flatten(table.column(name).combine_chunks()).to_numpy(zero_copy_only=False)
 
 
-def dishes(asks: DataFrame) -> DataFrame:
+def _arrays(batch: pa.RecordBatch | pa.Table, at: int = 0) -> dict:
+    """A row with its packed integers as arrays."""
+    cells = {name: batch.column(name)[at].as_py() for name in batch.schema.names}
+    return {k: _unpack(c) if isinstance(c, bytes) else c for k, c in cells.items()}
+
+
+def _column(table: pa.Table, name: str) -> list[np.ndarray]:
+    return [_unpack(c) for c in table.column(name).to_pylist()]
+
+
+def dishes(asks: DataFrame, shards: int) -> DataFrame:
     """A row per bucket: pairs of each dish with contexts and customers, and who asked for what.
 
+    `contexts` are those of the bucket in order of their shards, which `ends` bounds;
+    `context` of a pair is its place among them, from 1.
+
     word_at and pair_at point from the asked words and pairs, block by block, to the dishes
     and pairs of the bucket. A bucket's size is bounded by the number of buckets.
     """
@@ -199,23 +239,29 @@ def dishes(asks: DataFrame) -> DataFrame:
         words = pc.list_flatten(table.column("words").combine_chunks())
         word_at = pc.dictionary_encode(words)
         word_at = (word_at.combine_chunks() if isinstance(word_at, pa.ChunkedArray) else word_at).indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        context, n = _flat(table, "context").astype(np.int64), _flat(table, "n")
-        code, pair_at = np.unique(np.repeat(word_at, _flat(table, "pairs")) << 16 | context, return_inverse=True)
+        n, per_word, local, context = (_column(table, c) for c in ("n", "pairs", "contexts", "context"))
+        contexts, context = np.unique(np.concatenate([x[at] for x, at in zip(local, context)]), return_inverse=True)
+        shard = ((contexts.view(np.uint64) >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(1, len(order) + 1)
+        code, pair_at = np.unique(np.repeat(word_at, np.concatenate(per_word)) << 32 | place[context], return_inverse=True)
         customers = np.zeros(len(code), np.int64)
-        np.add.at(customers, pair_at, n)
+        np.add.at(customers, pair_at, np.concatenate(n))
         row = {
             "bucket": table.column("bucket")[0].as_py(),
-            "context": (code & 0xFFFF).astype(np.int16),
+            "contexts": contexts[order],
+            "ends": np.r_[0, np.cumsum(np.bincount(shard, minlength=shards))],
+            "context": code & 0xFFFFFFFF,
             "n": customers,
-            "pairs": np.bincount(code >> 16).astype(np.int32),
+            "pairs": np.bincount(code >> 32),
             "blocks": table.column("block").to_numpy(),
             "asked_words": pc.list_value_length(table.column("words")).to_numpy(),
-            "asked_pairs": pc.list_value_length(table.column("context")).to_numpy(),
-            "word_at": word_at.astype(np.int32),
-            "pair_at": pair_at.astype(np.int32),
+            "asked_pairs": [len(x) for x in n],
+            "word_at": word_at,
+            "pair_at": pair_at,
         }
-        types = [pa.int16(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
-        arrays = [pa.array([row["bucket"]], pa.int32()), *[pa.array([row[c]], pa.list_(t)) for c, t in zip(list(row)[1:], types)]]
+        arrays = [pa.array([row["bucket"]], pa.int32()), *[pa.array([_pack(row[c])], pa.binary()) for c in list(row)[1:]]]
         return pa.Table.from_arrays(arrays, list(row))
 
     return asks.groupBy("bucket").applyInArrow(merge, DISH_SCHEMA)
@@ -312,46 +358,141 @@ def _after(row: dict, states: list[State]) -> Iterator[Seats]:
         yield seats
 
 
-def _totals(held: DataFrame, restaurants: int, state: State | None) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """(customers, tables, counts of counts) over all dishes; a few numbers per restaurant leave a task."""
-    shared = held.sparkSession.sparkContext.broadcast(state)
+def _sent(row: dict, values: np.ndarray, kind: int) -> pa.RecordBatch:
+    """One number per context of a bucket, as a message to each shard."""
+    ends = np.asarray(row["ends"], np.int64)
+    many = len(ends) - 1
+    full = pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.arange(many), pa.int32()),
+            pa.array(np.full(many, row["bucket"]), pa.int32()),
+            pa.array(np.full(many, kind), pa.int32()),
+            _parts(values, ends),
+        ],
+        ["shard", "bucket", "kind", "values"],
+    )
+    return full.filter(pa.array(np.diff(ends) > 0))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        customers, tables, shape = np.zeros(restaurants), np.zeros(restaurants), np.zeros(4)
+
+def _told(row: dict, seats: Seats, kind: int) -> list[pa.RecordBatch]:
+    """Tables per context for the shards, sums of the root and of counts for the driver."""
+    tables = np.bincount(seats.context, seats.tables, row["ends"][-1] + 1)[1:]
+    once = [np.count_nonzero(x == k) for x in (seats.root_customers, seats.n) for k in (1, 2)]
+    sums = [seats.root_customers.sum(), seats.root_tables.sum(), *once, seats.n.sum(), np.count_nonzero(seats.root_customers)]
+    root = [pa.array([x], pa.int32()) for x in (ROOT, row["bucket"], kind)] + [pa.array([_pack(sums)], pa.binary())]
+    return [_sent(row, tables.astype(np.int64), kind), pa.RecordBatch.from_arrays(root, ["shard", "bucket", "kind", "values"])]
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Messages of all dishes with one table per restaurant, and the customers of contexts."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            row = _arrays(batch, at)
+            seats = _first_seats(row)
+            yield from _told(row, seats, 1)
+            yield _sent(row, np.bincount(seats.context, seats.n, row["ends"][-1] + 1)[1:].astype(np.int64), CUSTOMERS)
+
+
+def ties(held: DataFrame) -> DataFrame:
+    """A row per shard: buckets in order, how many contexts each has there, and which ones."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                row = batch.slice(at, 1).to_pylist()[0]
-                seats = _first_seats(row) if shared.value is None else next(_after(row, [shared.value]))
-                inside = seats.context != NONE
-                customers += np.bincount(seats.context[inside], seats.n[inside], restaurants)
-                tables += np.bincount(seats.context[inside], seats.tables[inside], restaurants)
-                customers[NONE] += seats.root_customers.sum()
-                tables[NONE] += seats.root_tables.sum()
-                shape += [np.count_nonzero(seats.root_customers == 1), np.count_nonzero(seats.root_customers == 2),
-                          np.count_nonzero(seats.n[inside] == 1), np.count_nonzero(seats.n[inside] == 2)]
-        values = np.concatenate([customers, tables, shape]).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values)), pa.int32()), pa.array(values)], ["at", "n"])
-
-    parts = held.select("bucket", "context", "n", "pairs").mapInArrow(run, "at int, n long")
-    sums = np.zeros(2 * restaurants + 4, np.int64)
-    for r in parts.groupBy("at").agg(F.sum("n").alias("n")).collect():
-        sums[r["at"]] = r["n"]
-    return sums[:restaurants], sums[restaurants : 2 * restaurants], sums[2 * restaurants :].tolist()
+                row = _arrays(batch, at)
+                yield _sent(row, row["contexts"], 0)
+
+    def merge(table: pa.Table) -> pa.Table:
+        table = table.sort_by("bucket")
+        keys = _column(table, "values")
+        at = np.unique(np.concatenate(keys), return_inverse=True)[1]
+        parts = at, table.column("bucket").to_numpy(), [len(k) for k in keys]
+        lists = [pa.array([_pack(x)], pa.binary()) for x in parts]
+        return pa.Table.from_arrays([table.column("shard").slice(0, 1).combine_chunks(), *lists], ["shard", "at", "buckets", "sizes"])
+
+    return held.select("bucket", "contexts", "ends").mapInArrow(split, SENT_SCHEMA).groupBy("shard").applyInArrow(merge, TIE_SCHEMA)
+
+
+def totals(tied: DataFrame, sent: DataFrame) -> DataFrame:
+    """Messages added up by context, and sent back to the buckets that hold it."""
+
+    def add(left: pa.Table, right: pa.Table) -> pa.Table:
+        tie = _arrays(left)
+        ends = np.r_[0, np.cumsum(tie["sizes"])]
+        answers = []
+        for kind in sorted(pc.unique(right.column("kind")).to_pylist()):
+            values = np.concatenate(_column(right.filter(pc.equal(right.column("kind"), kind)).sort_by("bucket"), "values"))
+            sums = np.zeros(int(tie["at"].max()) + 1, np.int64)
+            np.add.at(sums, tie["at"], values)
+            many = len(tie["buckets"])
+            fixed = [pa.array(np.broadcast_to(x, many), pa.int32()) for x in (tie["shard"], tie["buckets"], kind)]
+            answers.append(pa.Table.from_arrays([*fixed, _parts(sums[tie["at"]], ends)], ["shard", "bucket", "kind", "values"]))
+        return pa.concat_tables(answers)
+
+    return tied.groupBy("shard").cogroup(sent.where(F.col("shard") != ROOT).groupBy("shard")).applyInArrow(add, SENT_SCHEMA)
+
+
+def _received(table: pa.Table) -> dict[int, np.ndarray]:
+    """Kind -> totals of a bucket's contexts in their order."""
+    kinds = pc.unique(table.column("kind")).to_pylist()
+    return {k: np.concatenate(_column(table.filter(pc.equal(table.column("kind"), k)).sort_by("shard"), "values")) for k in kinds}
 
 
 def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once + twice else 0.5
 
 
-def fit(held: DataFrame, restaurants: int, types: int, sweeps: int) -> list[State]:
-    """The totals after each sweep; the first are those of one table per dish."""
-    customers, tables, shape = _totals(held, restaurants, None)
-    discounts = (_discount(*shape[:2]), _discount(*shape[2:]))
-    states = [State(customers, tables, discounts, types)]
-    for _ in range(sweeps):
-        customers, tables, _ = _totals(held, restaurants, states[-1])
-        states.append(State(customers, tables, discounts, types))
-    return states
+@dataclass
+class Fit:
+    """What holds for the whole model; totals of contexts stay in `sent`."""
+
+    roots: list[tuple[int, int]]  # customers and tables of the root before the first sweep and after each
+    discounts: tuple[float, float]
+    types: int
+    trained: int
+
+    def state(self, k: int, tables: np.ndarray, customers: np.ndarray | None = None) -> State:
+        """State after sweep k for the contexts of one bucket."""
+        known = np.zeros(len(tables), np.int64) if customers is None else customers
+        return State(np.r_[self.roots[k][0], known], np.r_[self.roots[k][1], tables], self.discounts, self.types)
+
+
+def _root_sums(sent: DataFrame) -> list[int]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(8, np.int64)
+        for batch in batches:
+            sums += sum(_column(batch, "values"), np.zeros(8, np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(8), pa.int32()), pa.array(sums)], ["at", "n"])
+
+    sums = sent.where(F.col("shard") == ROOT).select("values").mapInArrow(add, "at int, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    found = {r["at"]: r["n"] for r in sums.collect()}
+    return [int(found.get(i, 0)) for i in range(8)]
+
+
+def _sweep(model: Fit, k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = _arrays(left)
+        state = model.state(k, _received(right)[k + 1])
+        return pa.Table.from_batches(_told(row, next(_after(row, [state])), k + 2))
+
+    return run
+
+
+def fit(held: DataFrame, tied: DataFrame, sweeps: int) -> tuple[Fit, list[DataFrame]]:
+    """The model and the messages before the first sweep, of one table per dish, and after each."""
+    spark = held.sparkSession
+    sent = [staged(held.select("bucket", "ends", "context", "n", "pairs").mapInArrow(_opened, SENT_SCHEMA), "seats")]
+    sums = _root_sums(sent[0])
+    model = Fit([(sums[0], sums[1])], (_discount(*sums[2:4]), _discount(*sums[4:6])), sums[7], sums[6])
+    rows = held.select("bucket", "ends", "context", "n", "pairs").repartition(shuffle_partitions(spark), "bucket").persist(StorageLevel.DISK_ONLY)
+    for k in range(sweeps):
+        back = totals(tied, sent[-1].where(F.col("kind") != CUSTOMERS))
+        seats = rows.groupBy("bucket").cogroup(back.groupBy("bucket")).applyInArrow(_sweep(model, k), SENT_SCHEMA)
+        sent.append(staged(seats, "seats"))
+        sums = _root_sums(sent[-1])
+        model = Fit([*model.roots, (sums[0], sums[1])], model.discounts, model.types, model.trained)
+    rows.unpersist()
+    return model, sent
 
 
 def predictive(row: dict, states: list[State]) -> np.ndarray:
@@ -373,7 +514,6 @@ def scores(
     id_column: str = "doc_id",
     text_column: str = "text",
     modulus: int = 10,
-    contexts: int = CONTEXTS,
     sweeps: int = 4,
     kept: int = 2,
     block: int = BLOCK,
@@ -382,50 +522,38 @@ def scores(
 
     Columns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and
     perplexity per token; scores are log10 probabilities of the whole text. The last `kept`
-    of the sweeps are averaged. Contexts are the words that lead the blocks' own counts.
+    of the sweeps are averaged.
     """
     spark = docs.sparkSession
     made = staged(blocks(docs, id_column, text_column, modulus, block), "token-blocks")
-    leaders = made.select(F.explode("leaders").alias("l")).groupBy("l.word").agg(F.sum("l.n").alias("n"))
-    top = leaders.orderBy(F.desc("n"), "word").limit(contexts).collect()
-    numbers = {bytes(r["word"]): START + 1 + i for i, r in enumerate(top)}
     buckets = max(4 * shuffle_partitions(spark), made.count())
-    held = staged(dishes(requests(made, numbers, buckets)), "dishes")
-
-    row = held.select(F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")).agg(F.sum("n")).first()
-    trained = int(row[0] or 0)
-
-    def count_types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for r in batch.to_pylist():
-                dish = np.repeat(np.arange(len(r["pairs"])), r["pairs"])
-                found.append(int(np.count_nonzero(np.bincount(dish, r["n"], len(r["pairs"])))))
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["n"])
-
-    types = int(held.select("pairs", "n").mapInArrow(count_types, "n long").agg(F.sum("n")).first()[0] or 0)
-    restaurants = len(numbers) + 2
-    states = spark.sparkContext.broadcast(fit(held, restaurants, types, sweeps)[-kept - 1 :])  # two numbers per context
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                r = batch.slice(at, 1).to_pylist()[0]
-                log_p = np.log10(predictive(r, states.value)).astype(np.float32)[np.array(r["pair_at"], np.int64)]
-                dish = np.repeat(np.arange(len(r["pairs"])), r["pairs"])
-                n = np.bincount(dish, r["n"], len(r["pairs"])).astype(np.int64)[np.array(r["word_at"], np.int64)]
-                many = len(r["blocks"])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(r["blocks"], pa.int64()),
-                        pa.array([r["bucket"]] * many, pa.int32()),
-                        _lists(np.r_[0, np.cumsum(r["asked_words"])], pa.array(n)),
-                        _lists(np.r_[0, np.cumsum(r["asked_pairs"])], pa.array(log_p)),
-                    ],
-                    ["block", "bucket", "n", "log_p"],
-                )
+    held = staged(dishes(requests(made, buckets), shuffle_partitions(spark)), "dishes")
+    tied = staged(ties(held), "ties")
+    model, sent = fit(held, tied, sweeps)
+    trained, types = model.trained, model.types
+    last = list(range(sweeps - kept, sweeps + 1))
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        r, sums = _arrays(left), _received(right)
+        states = [model.state(k, sums[k + 1], sums[CUSTOMERS]) for k in last]
+        log_p = np.log10(predictive(r, states)).astype(np.float32)[r["pair_at"]]
+        dish = np.repeat(np.arange(len(r["pairs"])), r["pairs"])
+        n = np.bincount(dish, r["n"], len(r["pairs"])).astype(np.int64)[r["word_at"]]
+        return pa.Table.from_arrays(
+            [
+                pa.array(r["blocks"], pa.int64()),
+                pa.array(np.full(len(r["blocks"]), r["bucket"]), pa.int32()),
+                _lists(np.r_[0, np.cumsum(r["asked_words"])], pa.array(n)),
+                _lists(np.r_[0, np.cumsum(r["asked_pairs"])], pa.array(log_p)),
+            ],
+            ["block", "bucket", "n", "log_p"],
+        )
 
-    answers = held.mapInArrow(answer, "block long, bucket int, n array<bigint>, log_p array<float>")
+    told = sent[0].where(F.col("kind") == CUSTOMERS)
+    for k in last:
+        told = told.unionByName(sent[k].where(F.col("kind") == k + 1))
+    asked_rows = held.drop("contexts", "ends").groupBy("bucket")
+    answers = asked_rows.cogroup(totals(tied, told).groupBy("bucket")).applyInArrow(answer, "block long, bucket int, n array<bigint>, log_p array<float>")
     base = np.log10(trained + 0.1 * (types + 1))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -434,7 +562,7 @@ def scores(
         parts = []
         for r in left.to_pylist():
             stream, sizes = _stream(r)
-            need = asked(stream, sizes, r["words"], numbers, buckets)
+            need = asked(stream, sizes, r["words"], _numbers(r["words"]), buckets)
             n = np.empty(len(counts), np.int64)
             n[need.word] = counts
             first = np.cumsum(sizes) - sizes

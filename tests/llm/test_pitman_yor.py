@@ -105,3 +105,13 @@ def test_seating_follows_the_rule():
     found = py.seated(np.full(n, customers), np.full(n, base), np.full(n, opening), discount, draw)
     assert found.mean() == pytest.approx((p * np.arange(customers + 1)).sum(), rel=0.03)
     assert py.seated(np.array([0, 1, 5_000_000]), np.full(3, 0.1), np.full(3, 9.0), 0.5, draw)[:2].tolist() == [0, 1]
+
+
+def test_every_word_is_a_context(spark):
+    """4,500 words, each always before its own successor: a cap on contexts scores most pairs by the root."""
+    pairs = [f"a{i} b{i}" for i in range(4500)]
+    rows = [(d, " ".join(pairs[(d * 450 + j) % 4500] for j in range(900))) for d in range(40)]
+    found = {r["doc_id"]: r for r in py.scores(spark.createDataFrame(rows, "doc_id long, text string"), block=5000).collect()}
+    assert len(found) == 40 and any(r["held_out"] for r in found.values())
+    # behind a word that is known the next is nearly certain, so a text takes about half of its words' information
+    assert all(r["score"] > 0.75 * r["base_score"] for r in found.values())
