@@ -8,6 +8,7 @@ from flowtally.operators import columns as K
 from flowtally.operators import joins as J
 from flowtally.operators import reshape as S
 from flowtally.operators import totals as A
+from flowtally.sources import tables as T
 
 
 def rows(df, *order):
@@ -109,3 +110,21 @@ def test_totals(spark):
 def test_top_by_breaks_ties_by_name(spark):
     df = spark.createDataFrame([("b", 1), ("a", 1), ("c", None), ("d", 5)], "k string, n int")
     assert [r.k for r in A.top_by(df, "k", strict_sum("n"), 3).collect()] == ["d", "a", "b"]
+
+
+def test_movements_keep_all_partitions_by_operation(spark, tmp_path):
+    """Tasks behind the shuffle by operation are as many as set, so their memory follows rows / partitions."""
+    made = {
+        "nation": ([(0, "NATION_0"), (1, "NATION_1")], "n_nationkey long, n_name string"),
+        "supplier": ([(1, 0), (2, 1)], "s_suppkey long, s_nationkey long"),
+        "orders": ([(i, 1, "1-URGENT") for i in range(200)], "o_orderkey long, o_custkey long, o_orderpriority string"),
+        "lineitem": ([(i % 200, 1 + i % 2, 1.0) for i in range(400)], "l_orderkey long, l_suppkey long, l_quantity double"),
+    }
+    for name, (data, schema) in made.items():
+        df = spark.createDataFrame(data, schema)
+        if name == "orders":
+            df = df.withColumn("o_orderdate", F.lit("1995-01-01").cast("timestamp"))
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    moves = T.movements(spark, str(tmp_path), origin=False)
+    assert moves.agg(F.sum("n")).first()[0] == 400
+    assert moves.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
