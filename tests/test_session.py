@@ -36,3 +36,13 @@ def test_publishing_leaves_only_its_cubes(spark, tmp_path):
     assert set(os.listdir(base.removeprefix("file:"))) == before
     for name, cube in published(moves, types, ledger, countries).items():
         assert sorted(map(str, read_cube(spark, paths[name]).collect())) == sorted(map(str, cube.collect())), name
+
+
+def test_published_movements_are_shuffled_once_per_operation_cube(spark):
+    moves = spark.createDataFrame([(1, "2020-01-02", "A", "X", 12.0)], "op_id long, op_date string, origin string, dest string, n double")
+    moves = moves.selectExpr("op_id", "to_date(op_date) AS op_date", "origin", "dest", "n")
+    types = spark.createDataFrame([(1, "JRO")], "op_id long, op_type string")
+    ledger = spark.createDataFrame([(1, 2020, "A", 5)], "op_id long, year int, payee string, amount int").selectExpr("op_id", "year", "payee", "CAST(amount AS decimal(18,4)) AS amount")
+    countries = spark.createDataFrame([("A", "AAA")], "name string, iso string")
+    plan = published(moves, types, ledger, countries, null_safe=False)["averages_omitted"]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(op_id") == 1 and "REPARTITION_BY_NUM" in plan
