@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.reshape import union_by_name
-from ..operators.totals import with_group_total
 from ..plans import cubes as Q
 from ..plans import deliveries as D
 from ..plans import ledger as L
@@ -38,14 +37,21 @@ def _number(c: str) -> Column:
     return F.regexp_extract(c, r"(\d+)$", 1).cast("long")
 
 
+def _with_first(rows: DataFrame) -> DataFrame:
+    """The smallest `k` of each operation on its rows, which lie together after their join by operation.
+
+    At most one row per place in each of these windows.
+    """
+    return rows.withColumn("first", F.min("k").over(Window.partitionBy("op_id")))
+
+
 # --- returns with continuation rows -------------------------------------------------
 
 @delivered
 def _raw_returns(spark, folder) -> DataFrame:
     """Id and date only on an operation's first row, subtotals after it, headers between pages."""
     moves = T.movements(spark, folder).withColumn("k", _number("dest") + 1)
-    # at most one row per place in each of these windows
-    moves = staged(with_group_total(moves, ["op_id"], {"first": F.min("k")}), "moves")
+    moves = staged(_with_first(moves), "moves")
     head = F.col("k") == F.col("first")
     shifted, merged = F.col("op_id") % 40 == 7, F.col("op_id") % 9 == 0
     tail = F.concat(_day("op_date"), F.lit(" "), F.left("op_type", F.lit(3)))
@@ -338,7 +344,7 @@ def _payments(spark, folder) -> DataFrame:
     """Ledger rows with the payee written in several ways, plus what must be dropped."""
     rows = T.ledger(spark, folder).join(T.operation_headers(spark, folder, origin=False).select("op_id", "op_date"), "op_id")
     rows = rows.withColumn("k", _number("payee"))
-    rows = with_group_total(rows, ["op_id"], {"first": F.min("k")})
+    rows = _with_first(rows)
     written = (
         F.when(F.col("k") == 4, F.lit("FX MISSIONS"))
         .when(F.col("k") == 5, F.lit("THE NETHERLANDS_CANCELLED"))

@@ -68,26 +68,28 @@ def _edges(df: DataFrame, keys: Sequence[str], chunks: int) -> list:
     return [rows[k] for k in at if 0 < k < len(rows)]
 
 
-def _chunk(df: DataFrame, keys: Sequence[str], edges: Sequence) -> Column:
-    """How many edges lie at or below a row, found by halving."""
+def _numbered(df: DataFrame, keys: Sequence[str], edges: Sequence, out: str) -> DataFrame:
+    """Rows with `out`: how many edges lie at or below them, found by halving.
+
+    A column for each step: compiled like any other, where a lambda would be interpreted row by row.
+    """
     if not edges:
-        return F.lit(0)
+        return df.withColumn(out, F.lit(0))
     types = [df.schema[k].dataType for k in keys]
-    row = F.struct(*[quoted(k) for k in keys])
     listed = F.array(*[F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(e, types, keys)]) for e in edges])
-    steps = [1 << k for k in reversed(range(len(edges).bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when((at + step <= len(edges)) & (F.get(listed, at + step - 1) <= row), at + step).otherwise(at),
-    )
+    at, row = F.col(out), F.col("__row")
+    placed = df.withColumns({"__row": F.struct(*[quoted(k) for k in keys]), out: F.lit(0)})
+    for step in [1 << k for k in reversed(range(len(edges).bit_length()))]:
+        reached = (at + step <= len(edges)) & (F.get(listed, at + step - 1) <= row)
+        placed = placed.withColumn(out, F.when(reached, at + step).otherwise(at))
+    return placed.drop("__row")
 
 
 def chunked(df: DataFrame, keys: Sequence[str], out: str = "__chunk", chunks: int | None = None) -> DataFrame:
     """Rows with the number of their chunk, in the order of `keys`; written once."""
     parts = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     edges = _edges(df, keys, parts) if parts > 1 else []
-    return staged(df.withColumn(out, _chunk(df, keys, edges)), "ordered-rows")
+    return staged(_numbered(df, keys, edges, out), "ordered-rows")
 
 
 def _carried(placed: DataFrame, scans: Mapping[str, tuple[str, Scan]], order: Sequence[str], by: Sequence[str]) -> DataFrame:

@@ -36,16 +36,14 @@ def country_codes(countries: DataFrame) -> DataFrame:
 def payee_table(rows: DataFrame, countries: DataFrame) -> DataFrame:
     """written, own_dates, payee, iso for every spelling of a usable payee in the rows.
 
-    Names are cleaned once per spelling instead of once per row. The table is written, so
-    that Spark knows its size and can pick the join for it.
+    Names are cleaned once per spelling instead of once per row: the spellings are written
+    first, or Spark would move the filters on cleaned names below the distinct, to every row.
+    The table is written too, so that Spark knows its size and can pick the join for it.
     """
     own = F.col("own_dates")
     spellings = rows.select(F.col("payee").alias("written"), (F.col("layout") == OWN_DATES).alias("own_dates"))
-    named = (
-        spellings.where(F.col("written").isNotNull())
-        .distinct()
-        .withColumn("payee", F.when(own, names.payee_2016("written")).otherwise(names.payee("written")))
-    )
+    spellings = staged(spellings.where(F.col("written").isNotNull()).distinct(), "spellings")
+    named = spellings.withColumn("payee", F.when(own, names.payee_2016("written")).otherwise(names.payee("written")))
     usable = ~is_one_of("written", names.TOTAL_LABELS) & ~is_one_of("payee", names.UNUSABLE_PAYEES)
     usable_own = ~matches("payee", names.UNUSABLE_PAYEE_PATTERN_2016) & ~is_one_of("payee", names.UNUSABLE_PAYEES_2016)
     coded = with_lookup(named.where(F.when(own, usable_own).otherwise(usable)), "payee", country_codes(countries), "name", {"iso": "iso"})

@@ -1,5 +1,6 @@
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from flowtally.plans import deliveries as D
@@ -119,3 +120,21 @@ def test_sheets(spark):
     assert sorted(dests) == [("2010_1", 1), ("2010_2", 3)]
     assert (dests["2010_1", 1].dest, dests["2010_1", 1].staff_agrees) == ("Congo DR", True)
     assert (dests["2010_2", 3].dest, dests["2010_2", 3].staff_agrees) == (None, None)
+
+
+@pytest.mark.parametrize(("make", "label"), [("_raw_returns", "moves"), ("_payments", "raw-ledger")])
+def test_deliveries_read_the_lines_once(spark, folder, monkeypatch, make, label):
+    from flowtally.checks import deliveries
+
+    plans = {}
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        raise StopIteration
+
+    monkeypatch.setattr(deliveries, "staged", noted)
+    raw = getattr(deliveries, make).__closure__
+    function = next(c.cell_contents for c in raw if callable(c.cell_contents))
+    with pytest.raises(StopIteration):
+        function(spark, folder)
+    assert plans[label].count("l_suppkey") and plans[label].count("Relation [l_orderkey") == 1

@@ -98,3 +98,18 @@ def test_whole_ledger_feeds_the_cubes(spark, countries):
         (2012, "Slovakia", 0.0, 2.0),
         (2012, "all EU member states", 5.0, 2.0),
     ]
+
+
+def test_spellings_are_written_before_they_are_cleaned(spark, countries, monkeypatch):
+    """Filters on cleaned names must not sink below the distinct, where they would clean every row."""
+    plans = {}
+
+    def noted(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return staged(df, label)
+
+    staged = L.staged
+    monkeypatch.setattr(L, "staged", noted)
+    rows = spark.createDataFrame([("keyed", "Germany"), ("keyed", "Germany"), ("keyed", "TOTAL COST"), ("keyed", None)], "layout string, payee string")
+    assert [r.written for r in L.payee_table(rows, countries).collect()] == ["Germany"]
+    assert "Aggregate" in plans["spellings"] and "regexp" not in plans["spellings"] and "Aggregate" not in plans["payees"]

@@ -105,3 +105,20 @@ def test_columns_keep_their_order(spark):
 def test_row_numbers_start_at_one(spark, by):
     df = spark.range(10).select(F.col("id").alias("p"), F.lit("x").alias("g"), F.col("id").alias("v"))
     assert [r.n for r in number_rows(df, "n", ["p"], by).orderBy("p").collect()] == list(range(1, 11))
+
+
+def test_chunks_are_found_by_compiled_columns(spark, monkeypatch):
+    """No lambda per row; each row's chunk is the number of edges at or below it, NULL being lowest."""
+    from bisect import bisect_right
+
+    from flowtally.operators import ordered
+
+    plans = []
+    monkeypatch.setattr(ordered, "staged", lambda df, label: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or df)
+    edges = [("a", 3), ("a", 7), ("b", 1), ("b", 9), ("c", 2)]
+    monkeypatch.setattr(ordered, "_edges", lambda *a: edges)
+    data = [(g, i) for g in (None, "a", "b", "c") for i in (None, *range(12))]
+    found = ordered.chunked(spark.createDataFrame(data, "g string, i int"), ["g", "i"], chunks=6).collect()
+    low = lambda g, i: (g or "", -1 if i is None else i)
+    assert len(found) == len(data) and all(r["__chunk"] == bisect_right(edges, low(r.g, r.i)) for r in found)
+    assert "lambda" not in plans[0]
