@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from flowtally import session
 from flowtally.functions.nulls import lenient_sum, strict_sum
 from flowtally.operators import columns as K
 from flowtally.operators import joins as J
@@ -128,3 +129,19 @@ def test_movements_keep_all_partitions_by_operation(spark, tmp_path):
     moves = T.movements(spark, str(tmp_path), origin=False)
     assert moves.agg(F.sum("n")).first()[0] == 400
     assert moves.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+
+
+def test_partitions_by_operation_follow_the_number_of_lines(spark, tmp_path, monkeypatch):
+    """With few shuffle partitions set, a task would hold more rows the larger the table is."""
+    monkeypatch.setattr(session, "ROWS_PER_PARTITION", 20)
+    rows = {
+        "nation": "SELECT 0L AS n_nationkey, 'A' AS n_name",
+        "supplier": "SELECT 1L AS s_suppkey, 0L AS s_nationkey",
+        "orders": "SELECT id AS o_orderkey, 1L AS o_custkey, '1-URGENT' AS o_orderpriority, timestamp'1995-01-01' AS o_orderdate FROM range(200)",
+        "lineitem": "SELECT id % 200 AS l_orderkey, 1L AS l_suppkey, 1.0D AS l_quantity, 2.0D AS l_extendedprice, 0.0D AS l_discount FROM range(400)",
+    }
+    for name, sql in rows.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    for made, column in ((T.movements(spark, str(tmp_path), origin=False), "n"), (T.ledger(spark, str(tmp_path)), "amount")):
+        assert int(made.agg(F.sum(column)).first()[0]) == (400 if column == "n" else 800)
+        assert made.rdd.getNumPartitions() == 20 > int(spark.conf.get("spark.sql.shuffle.partitions"))
