@@ -51,7 +51,7 @@ NONE = 0  # context number of words that sit at the root; 1 is the start of a te
 START = 1
 SINGLE = 32
 BLOCK = 1_000_000
-BLOCK_SCHEMA = "block long, doc_ids array<long>, held array<boolean>, sizes array<long>, tokens binary, words array<binary>"
+BLOCK_SCHEMA = "block long, doc_ids array<long>, held array<boolean>, sizes array<long>, tokens binary, words binary"
 ASK_SCHEMA = "bucket int, block long, words array<binary>, pairs binary, contexts binary, context binary, n binary"
 DISH_SCHEMA = (
     "bucket int, contexts binary, ends binary, context binary, n binary, pairs binary, blocks binary,"
@@ -69,7 +69,8 @@ CUSTOMERS = 0  # kind of message; 1 and above: tables after so many sweeps, plus
 def _block(number: int, index: dict[bytes, int], rows: list, tokens: list[np.ndarray]) -> pa.RecordBatch:
     stream = np.concatenate(tokens)
     words = list(index)
-    packed = zstandard.ZstdCompressor(level=1).compress(stream.astype("<u4").tobytes())
+    planes = stream.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    packed = zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
     doc_ids, held, sizes = zip(*rows)
     return pa.RecordBatch.from_arrays(
         [
@@ -78,7 +79,7 @@ def _block(number: int, index: dict[bytes, int], rows: list, tokens: list[np.nda
             pa.array([list(held)], pa.list_(pa.bool_())),
             pa.array([list(sizes)], pa.list_(pa.int64())),
             pa.array([packed], pa.binary()),
-            pa.array([words], pa.list_(pa.binary())),
+            pa.array([zstandard.ZstdCompressor(level=3).compress(b" ".join(words))], pa.binary()),
         ],
         ["block", "doc_ids", "held", "sizes", "tokens", "words"],
     )
@@ -118,9 +119,9 @@ def blocks(docs: DataFrame, id_column: str, text_column: str, modulus: int, size
 class Asked:
     """What a block needs: its distinct (word, context) pairs, dealt to buckets by word."""
 
-    word: np.ndarray  # local words in order of bucket
+    word: np.ndarray  # local words in order of bucket and hash
     bounds: np.ndarray  # of each bucket in `word`
-    pair: np.ndarray  # word of each pair, pairs in order of bucket
+    pair: np.ndarray  # word of each pair, pairs in order of `word` and context
     context: np.ndarray
     pair_bounds: np.ndarray
     token: np.ndarray  # pair of each token
@@ -130,24 +131,27 @@ def asked(stream: np.ndarray, sizes: np.ndarray, words: list[bytes], contexts: d
     reach = len(contexts) + 2
     kind = np.int32 if len(words) * reach < 1 << 31 else np.int64
     before = np.fromiter((contexts.get(w, NONE) for w in words), kind, len(words))
-    code = stream.astype(kind)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+    bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+    word = np.lexsort((hashes, bucket))
+    place = np.empty(len(words), kind)
+    place[word] = np.arange(len(words))
+    code = place[stream]
     code *= reach
     code[1:] += before[stream[:-1]]
     first = np.cumsum(sizes) - sizes
-    code[first] = stream[first].astype(kind) * reach + START
+    code[first] = place[stream[first]] * reach + START
     code, token = np.unique(code, return_inverse=True)
-    bucket = np.fromiter((xxhash.xxh64_intdigest(w) % buckets for w in words), np.int64, len(words))
-    word = np.argsort(bucket, kind="stable")
-    pair = code // reach
-    order = np.argsort(bucket[pair], kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
+    pair = word[code // reach]
     ends = [np.r_[0, np.cumsum(np.bincount(b, minlength=buckets))] for b in (bucket, bucket[pair])]
-    return Asked(word, ends[0], pair[order], (code % reach)[order], ends[1], place[token])
+    return Asked(word, ends[0], pair, code % reach, ends[1], token)
 
 
-def _stream(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), "<u4"), np.array(row["sizes"], np.int64)
+def _stream(row: dict) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Token numbers, sizes of documents and words of a block; no word holds a blank."""
+    unpacked = zstandard.ZstdDecompressor().decompress
+    planes = np.frombuffer(unpacked(row["tokens"]), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel(), np.array(row["sizes"], np.int64), unpacked(row["words"]).split(b" ")
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -161,6 +165,11 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 
+def _steps(values: np.ndarray) -> np.ndarray:
+    """Differences of neighbours, small where values rise; `np.cumsum` undoes it."""
+    return np.diff(values, prepend=values.dtype.type(0))
+
+
 def _parts(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.array([_pack(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())
 
@@ -170,13 +179,13 @@ def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
 
 
 def _numbers(words: list[bytes]) -> dict[bytes, int]:
-    """Every word of a block as a context."""
-    return {w: START + 1 + i for i, w in enumerate(words)}
+    """Every word of a block as a context, in order of hashes."""
+    return {w: START + 1 + i for i, w in enumerate(sorted(words, key=xxhash.xxh64_intdigest))}
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
+def _hashes(numbers: dict[bytes, int]) -> np.ndarray:
     """Ids of a block's contexts by their numbers; the end, which precedes no word, lends the start its hash."""
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in (END, END, *words)), np.uint64, len(words) + 2).view(np.int64)
+    return np.fromiter((xxhash.xxh64_intdigest(w) for w in (END, END, *numbers)), np.uint64, len(numbers) + 2)
 
 
 def requests(made: DataFrame, buckets: int) -> DataFrame:
@@ -186,13 +195,14 @@ def requests(made: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1).to_pylist()[0]
-                stream, sizes = _stream(row)
-                need = asked(stream, sizes, row["words"], _numbers(row["words"]), buckets)
+                stream, sizes, words = _stream(row)
+                numbers = _numbers(words)
+                need = asked(stream, sizes, words, numbers, buckets)
                 trained = np.repeat(~np.array(row["held"], bool), sizes)
                 n = np.bincount(need.token[trained], minlength=len(need.pair))
-                per_word = np.bincount(need.pair, minlength=len(row["words"]))[need.word]
-                words = pa.array(row["words"], pa.binary()).take(pa.array(need.word))
-                hashes = _hashes(row["words"])
+                per_word = np.bincount(need.pair, minlength=len(words))[need.word]
+                words = pa.array(words, pa.binary()).take(pa.array(need.word))
+                hashes = _hashes(numbers)
                 found = [np.unique(need.context[a:b], return_inverse=True) for a, b in zip(need.pair_bounds[:-1], need.pair_bounds[1:])]
                 full = pa.RecordBatch.from_arrays(
                     [
@@ -200,7 +210,7 @@ def requests(made: DataFrame, buckets: int) -> DataFrame:
                         pa.array(np.full(buckets, row["block"]), pa.int64()),
                         _lists(need.bounds, words),
                         _parts(per_word, need.bounds),
-                        pa.array([_pack(hashes[c]) for c, _ in found], pa.binary()),
+                        pa.array([_pack(_steps(hashes[c]).view(np.int64)) for c, _ in found], pa.binary()),
                         pa.array([_pack(at) for _, at in found], pa.binary()),
                         _parts(n, need.pair_bounds),
                     ],
@@ -232,25 +242,27 @@ def dishes(asks: DataFrame, shards: int) -> DataFrame:
     `context` of a pair is its place among them, from 1.
 
     word_at and pair_at point from the asked words and pairs, block by block, to the dishes
-    and pairs of the bucket. A bucket's size is bounded by the number of buckets.
+    and pairs of the bucket. Blocks ask in the order of hashes that dishes and pairs have here,
+    so both rise within a block and are kept as steps. A bucket's size is bounded by the number
+    of buckets.
     """
 
     def merge(table: pa.Table) -> pa.Table:
         words = pc.list_flatten(table.column("words").combine_chunks())
-        word_at = pc.dictionary_encode(words)
-        word_at = (word_at.combine_chunks() if isinstance(word_at, pa.ChunkedArray) else word_at).indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        found = pc.dictionary_encode(words)
+        found = found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
+        rank = np.empty(len(found.dictionary), np.int64)
+        rank[np.argsort(np.array([xxhash.xxh64_intdigest(w) for w in found.dictionary.to_pylist()], np.uint64))] = np.arange(len(rank))
+        word_at = rank[found.indices.to_numpy(zero_copy_only=False)]
         n, per_word, local, context = (_column(table, c) for c in ("n", "pairs", "contexts", "context"))
-        contexts, context = np.unique(np.concatenate([x[at] for x, at in zip(local, context)]), return_inverse=True)
-        shard = ((contexts.view(np.uint64) >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(1, len(order) + 1)
-        code, pair_at = np.unique(np.repeat(word_at, np.concatenate(per_word)) << 32 | place[context], return_inverse=True)
+        contexts, context = np.unique(np.concatenate([np.cumsum(x.view(np.uint64))[at] for x, at in zip(local, context)]), return_inverse=True)
+        shard = ((contexts >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)  # rises with the hash
+        code, pair_at = np.unique(np.repeat(word_at, np.concatenate(per_word)) << 32 | context + 1, return_inverse=True)
         customers = np.zeros(len(code), np.int64)
         np.add.at(customers, pair_at, np.concatenate(n))
         row = {
             "bucket": table.column("bucket")[0].as_py(),
-            "contexts": contexts[order],
+            "contexts": contexts.view(np.int64),
             "ends": np.r_[0, np.cumsum(np.bincount(shard, minlength=shards))],
             "context": code & 0xFFFFFFFF,
             "n": customers,
@@ -258,8 +270,8 @@ def dishes(asks: DataFrame, shards: int) -> DataFrame:
             "blocks": table.column("block").to_numpy(),
             "asked_words": pc.list_value_length(table.column("words")).to_numpy(),
             "asked_pairs": [len(x) for x in n],
-            "word_at": word_at,
-            "pair_at": pair_at,
+            "word_at": _steps(word_at),
+            "pair_at": _steps(pair_at),
         }
         arrays = [pa.array([row["bucket"]], pa.int32()), *[pa.array([_pack(row[c])], pa.binary()) for c in list(row)[1:]]]
         return pa.Table.from_arrays(arrays, list(row))
@@ -481,14 +493,14 @@ def _sweep(model: Fit, k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 def fit(held: DataFrame, tied: DataFrame, sweeps: int) -> tuple[Fit, list[DataFrame]]:
     """The model and the messages before the first sweep, of one table per dish, and after each."""
     spark = held.sparkSession
-    sent = [staged(held.select("bucket", "ends", "context", "n", "pairs").mapInArrow(_opened, SENT_SCHEMA), "seats")]
+    sent = [staged(held.select("bucket", "ends", "context", "n", "pairs").mapInArrow(_opened, SENT_SCHEMA), "seats", release=True)]
     sums = _root_sums(sent[0])
     model = Fit([(sums[0], sums[1])], (_discount(*sums[2:4]), _discount(*sums[4:6])), sums[7], sums[6])
     rows = held.select("bucket", "ends", "context", "n", "pairs").repartition(shuffle_partitions(spark), "bucket").persist(StorageLevel.DISK_ONLY)
     for k in range(sweeps):
         back = totals(tied, sent[-1].where(F.col("kind") != CUSTOMERS))
         seats = rows.groupBy("bucket").cogroup(back.groupBy("bucket")).applyInArrow(_sweep(model, k), SENT_SCHEMA)
-        sent.append(staged(seats, "seats"))
+        sent.append(staged(seats, "seats", release=True))
         sums = _root_sums(sent[-1])
         model = Fit([*model.roots, (sums[0], sums[1])], model.discounts, model.types, model.trained)
     rows.unpersist()
@@ -527,8 +539,8 @@ def scores(
     spark = docs.sparkSession
     made = staged(blocks(docs, id_column, text_column, modulus, block), "token-blocks")
     buckets = max(4 * shuffle_partitions(spark), made.count())
-    held = staged(dishes(requests(made, buckets), shuffle_partitions(spark)), "dishes")
-    tied = staged(ties(held), "ties")
+    held = staged(dishes(requests(made, buckets), shuffle_partitions(spark)), "dishes", release=True)
+    tied = staged(ties(held), "ties", release=True)
     model, sent = fit(held, tied, sweeps)
     trained, types = model.trained, model.types
     last = list(range(sweeps - kept, sweeps + 1))
@@ -536,9 +548,9 @@ def scores(
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         r, sums = _arrays(left), _received(right)
         states = [model.state(k, sums[k + 1], sums[CUSTOMERS]) for k in last]
-        log_p = np.log10(predictive(r, states)).astype(np.float32)[r["pair_at"]]
+        log_p = np.log10(predictive(r, states)).astype(np.float32)[np.cumsum(r["pair_at"])]
         dish = np.repeat(np.arange(len(r["pairs"])), r["pairs"])
-        n = np.bincount(dish, r["n"], len(r["pairs"])).astype(np.int64)[r["word_at"]]
+        n = np.bincount(dish, r["n"], len(r["pairs"])).astype(np.int64)[np.cumsum(r["word_at"])]
         return pa.Table.from_arrays(
             [
                 pa.array(r["blocks"], pa.int64()),
@@ -561,8 +573,8 @@ def scores(
         counts, found = _flat(right, "n"), _flat(right, "log_p").astype(np.float64)
         parts = []
         for r in left.to_pylist():
-            stream, sizes = _stream(r)
-            need = asked(stream, sizes, r["words"], _numbers(r["words"]), buckets)
+            stream, sizes, words = _stream(r)
+            need = asked(stream, sizes, words, _numbers(words), buckets)
             n = np.empty(len(counts), np.int64)
             n[need.word] = counts
             first = np.cumsum(sizes) - sizes

@@ -2,6 +2,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import xxhash
 import pytest
 
 from flowtally.llm import pitman_yor as py
@@ -115,3 +116,19 @@ def test_every_word_is_a_context(spark):
     assert len(found) == 40 and any(r["held_out"] for r in found.values())
     # behind a word that is known the next is nearly certain, so a text takes about half of its words' information
     assert all(r["score"] > 0.75 * r["base_score"] for r in found.values())
+
+
+def test_asked_words_and_pairs_rise_by_hash_within_a_bucket():
+    """Dishes keep the same order, so positions of a block are small steps."""
+    words = [b"", *[b"w%d" % i for i in range(40)]]
+    stream = np.array([*np.random.default_rng(1).integers(1, 41, 300), 0], np.uint32)
+    numbers = py._numbers(words)
+    need, ids = py.asked(stream, np.array([len(stream)]), words, numbers, 3), py._hashes(numbers)
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+    for k in range(3):
+        inside = hashes[need.word[need.bounds[k] : need.bounds[k + 1]]]
+        assert (inside[1:] > inside[:-1]).all()
+        a, b = need.pair_bounds[k], need.pair_bounds[k + 1]
+        asked = [(hashes[w], ids[c]) for w, c in zip(need.pair[a:b], need.context[a:b]) if c != py.START]
+        assert asked == sorted(asked)
+    assert (np.cumsum(py._steps(ids)) == ids).all()
