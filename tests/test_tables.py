@@ -1,5 +1,7 @@
 """Columns, joins, shapes and totals."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +147,21 @@ def test_partitions_by_operation_follow_the_number_of_lines(spark, tmp_path, mon
     for made, column in ((T.movements(spark, str(tmp_path), origin=False), "n"), (T.ledger(spark, str(tmp_path)), "amount")):
         assert int(made.agg(F.sum(column)).first()[0]) == (400 if column == "n" else 800)
         assert made.rdd.getNumPartitions() == 20 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_lines_are_dealt_before_they_are_summed(spark, tmp_path, monkeypatch):
+    """Sums in a scan, or in the few partitions set, would hold more lines in a task the larger the table is."""
+    monkeypatch.setattr(session, "ROWS_PER_PARTITION", 20)
+    rows = {
+        "nation": "SELECT id AS n_nationkey, 'A' AS n_name FROM range(2)",
+        "supplier": "SELECT id AS s_suppkey, id AS s_nationkey FROM range(2)",
+        "orders": "SELECT id AS o_orderkey, 1L AS o_custkey, '1-URGENT' AS o_orderpriority, timestamp'1995-01-01' AS o_orderdate FROM range(200)",
+        "lineitem": "SELECT id % 100 AS l_orderkey, id % 2 AS l_suppkey, 1.0D AS l_quantity, 2.0D AS l_extendedprice, 0.0D AS l_discount FROM range(400)",
+    }
+    for name, sql in rows.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{name}.parquet")
+    for made in (T.movements(spark, str(tmp_path), origin=False), T.ledger(spark, str(tmp_path))):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        dealt = re.search(r"hashpartitioning\(op_id#\d+L, s_nationkey#\d+L, 20\), REPARTITION_BY_NUM", plan)
+        assert dealt and "Aggregate" not in plan[dealt.end() :]
+        assert made.count() == 100
