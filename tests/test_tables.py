@@ -11,6 +11,7 @@ from flowtally.operators import columns as K
 from flowtally.operators import joins as J
 from flowtally.operators import reshape as S
 from flowtally.operators import totals as A
+from flowtally.plans import costs as C
 from flowtally.sources import tables as T
 
 
@@ -165,3 +166,9 @@ def test_lines_are_dealt_before_they_are_summed(spark, tmp_path, monkeypatch):
         dealt = re.search(r"hashpartitioning\(op_id#\d+L, s_nationkey#\d+L, 20\), REPARTITION_BY_NUM", plan)
         assert dealt and "Aggregate" not in plan[dealt.end() :]
         assert made.count() == 100
+    costs = C.operation_costs(T.movements(spark, str(tmp_path), origin=False), T.operation_payments(spark, str(tmp_path)), 1, null_safe=False)
+    plan = costs._jdf.queryExecution().executedPlan().toString()
+    dealt = [m.end() for m in re.finditer(r"hashpartitioning\(op_id#\d+L, [ls]_\w+#\d+L, 20\), REPARTITION_BY_NUM", plan)]
+    assert len(dealt) == 2 and "Aggregate" not in plan[dealt[1] :]
+    assert "ENSURE_REQUIREMENTS" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning(op_id" in x and ", 20)" not in x)
+    assert [(r["n"], int(r["amount"])) for r in costs.collect()] == [(4.0, 8)] * 100
