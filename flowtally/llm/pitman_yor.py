@@ -16,6 +16,8 @@ then summed anew: each bucket sends the tables of its own contexts to shards of
 which add them up and answer; only those of the root reach the driver. Probabilities are
 averaged over the sweeps kept. A dish of any frequency has at most one entry per context,
 so nothing grows with it. Contexts go by the 64-bit hash of their word.
+There are as many buckets as full blocks, whatever the partitions, and no more shards than
+buckets; random draws go by bucket, so scores are the same for any number of partitions.
 
 Counting and scoring follow the input. A task turns its texts into blocks of at most `block`
 tokens. A block asks each bucket once for its distinct words and (context, word) pairs, with
@@ -38,7 +40,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark import StorageLevel, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +54,7 @@ START = 1
 SINGLE = 32
 BLOCK = 1_000_000
 BLOCK_SCHEMA = "block long, doc_ids array<long>, held array<boolean>, sizes array<long>, tokens binary, words binary"
-ASK_SCHEMA = "bucket int, block long, words array<binary>, pairs binary, contexts binary, context binary, n binary"
+ASK_SCHEMA = "bucket int, block long, words binary, pairs binary, contexts binary, context binary, n binary"
 DISH_SCHEMA = (
     "bucket int, contexts binary, ends binary, context binary, n binary, pairs binary, blocks binary,"
     " asked_words binary, asked_pairs binary, word_at binary, pair_at binary"
@@ -70,7 +72,7 @@ def _block(number: int, index: dict[bytes, int], rows: list, tokens: list[np.nda
     stream = np.concatenate(tokens)
     words = list(index)
     planes = stream.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    packed = zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    packed = zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
     doc_ids, held, sizes = zip(*rows)
     return pa.RecordBatch.from_arrays(
         [
@@ -79,7 +81,7 @@ def _block(number: int, index: dict[bytes, int], rows: list, tokens: list[np.nda
             pa.array([list(held)], pa.list_(pa.bool_())),
             pa.array([list(sizes)], pa.list_(pa.int64())),
             pa.array([packed], pa.binary()),
-            pa.array([zstandard.ZstdCompressor(level=3).compress(b" ".join(words))], pa.binary()),
+            pa.array([_pack_words(words)], pa.binary()),
         ],
         ["block", "doc_ids", "held", "sizes", "tokens", "words"],
     )
@@ -149,9 +151,16 @@ def asked(stream: np.ndarray, sizes: np.ndarray, words: list[bytes], contexts: d
 
 def _stream(row: dict) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Token numbers, sizes of documents and words of a block; no word holds a blank."""
-    unpacked = zstandard.ZstdDecompressor().decompress
-    planes = np.frombuffer(unpacked(row["tokens"]), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel(), np.array(row["sizes"], np.int64), unpacked(row["words"]).split(b" ")
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel(), np.array(row["sizes"], np.int64), _unpack_words(row["words"])
+
+
+def _pack_words(words: list[bytes]) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(b" ".join(words))
+
+
+def _unpack_words(packed: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(packed).split(b" ")
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -174,10 +183,6 @@ def _parts(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.array([_pack(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())
 
 
-def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
-
-
 def _numbers(words: list[bytes]) -> dict[bytes, int]:
     """Every word of a block as a context, in order of hashes."""
     return {w: START + 1 + i for i, w in enumerate(sorted(words, key=xxhash.xxh64_intdigest))}
@@ -201,14 +206,14 @@ def requests(made: DataFrame, buckets: int) -> DataFrame:
                 trained = np.repeat(~np.array(row["held"], bool), sizes)
                 n = np.bincount(need.token[trained], minlength=len(need.pair))
                 per_word = np.bincount(need.pair, minlength=len(words))[need.word]
-                words = pa.array(words, pa.binary()).take(pa.array(need.word))
+                in_order = [words[i] for i in need.word.tolist()]
                 hashes = _hashes(numbers)
                 found = [np.unique(need.context[a:b], return_inverse=True) for a, b in zip(need.pair_bounds[:-1], need.pair_bounds[1:])]
                 full = pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(buckets), pa.int32()),
                         pa.array(np.full(buckets, row["block"]), pa.int64()),
-                        _lists(need.bounds, words),
+                        pa.array([_pack_words(in_order[a:b]) for a, b in zip(need.bounds[:-1], need.bounds[1:])], pa.binary()),
                         _parts(per_word, need.bounds),
                         pa.array([_pack(_steps(hashes[c]).view(np.int64)) for c, _ in found], pa.binary()),
                         pa.array([_pack(at) for _, at in found], pa.binary()),
@@ -221,10 +226,6 @@ def requests(made: DataFrame, buckets: int) -> DataFrame:
     return made.select("block", "held", "sizes", "tokens", "words").mapInArrow(run, ASK_SCHEMA)
 
 
-def _flat(table: pa.Table, name: str) -> np.ndarray:
-    return pc.list_flatten(table.column(name).combine_chunks()).to_numpy(zero_copy_only=False)
-
-
 def _arrays(batch: pa.RecordBatch | pa.Table, at: int = 0) -> dict:
     """A row with its packed integers as arrays."""
     cells = {name: batch.column(name)[at].as_py() for name in batch.schema.names}
@@ -248,9 +249,8 @@ def dishes(asks: DataFrame, shards: int) -> DataFrame:
     """
 
     def merge(table: pa.Table) -> pa.Table:
-        words = pc.list_flatten(table.column("words").combine_chunks())
-        found = pc.dictionary_encode(words)
-        found = found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
+        words = [_unpack_words(w) for w in table.column("words").to_pylist()]
+        found = pa.chunked_array([pa.array(w, pa.binary()) for w in words]).combine_chunks().dictionary_encode()
         rank = np.empty(len(found.dictionary), np.int64)
         rank[np.argsort(np.array([xxhash.xxh64_intdigest(w) for w in found.dictionary.to_pylist()], np.uint64))] = np.arange(len(rank))
         word_at = rank[found.indices.to_numpy(zero_copy_only=False)]
@@ -268,7 +268,7 @@ def dishes(asks: DataFrame, shards: int) -> DataFrame:
             "n": customers,
             "pairs": np.bincount(code >> 32),
             "blocks": table.column("block").to_numpy(),
-            "asked_words": pc.list_value_length(table.column("words")).to_numpy(),
+            "asked_words": [len(w) for w in words],
             "asked_pairs": [len(x) for x in n],
             "word_at": _steps(word_at),
             "pair_at": _steps(pair_at),
@@ -492,18 +492,16 @@ def _sweep(model: Fit, k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
 def fit(held: DataFrame, tied: DataFrame, sweeps: int) -> tuple[Fit, list[DataFrame]]:
     """The model and the messages before the first sweep, of one table per dish, and after each."""
-    spark = held.sparkSession
     sent = [staged(held.select("bucket", "ends", "context", "n", "pairs").mapInArrow(_opened, SENT_SCHEMA), "seats", release=True)]
     sums = _root_sums(sent[0])
     model = Fit([(sums[0], sums[1])], (_discount(*sums[2:4]), _discount(*sums[4:6])), sums[7], sums[6])
-    rows = held.select("bucket", "ends", "context", "n", "pairs").repartition(shuffle_partitions(spark), "bucket").persist(StorageLevel.DISK_ONLY)
+    rows = held.select("bucket", "ends", "context", "n", "pairs")
     for k in range(sweeps):
         back = totals(tied, sent[-1].where(F.col("kind") != CUSTOMERS))
         seats = rows.groupBy("bucket").cogroup(back.groupBy("bucket")).applyInArrow(_sweep(model, k), SENT_SCHEMA)
         sent.append(staged(seats, "seats", release=True))
         sums = _root_sums(sent[-1])
         model = Fit([*model.roots, (sums[0], sums[1])], model.discounts, model.types, model.trained)
-    rows.unpersist()
     return model, sent
 
 
@@ -521,6 +519,21 @@ def predictive(row: dict, states: list[State]) -> np.ndarray:
 # -- scoring -----------------------------------------------------------------------
 
 
+def _tokens(made: DataFrame) -> int:
+    sizes = F.aggregate("sizes", F.lit(0).cast("long"), lambda total, size: total + size)
+    return made.agg(F.sum(sizes)).first()[0] or 0
+
+
+def dealt(tokens: int, block: int, partitions: int) -> tuple[int, int]:
+    """Buckets of words, as many as full blocks, and shards of contexts, no more of them than shuffle partitions.
+
+    Each block asks each bucket, and each bucket writes to each shard, so a small table must not
+    be cut finely where tasks are many or input files short.
+    """
+    buckets = max(1, -(-tokens // block))
+    return buckets, min(buckets, partitions)
+
+
 def scores(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -538,8 +551,8 @@ def scores(
     """
     spark = docs.sparkSession
     made = staged(blocks(docs, id_column, text_column, modulus, block), "token-blocks")
-    buckets = max(4 * shuffle_partitions(spark), made.count())
-    held = staged(dishes(requests(made, buckets), shuffle_partitions(spark)), "dishes", release=True)
+    buckets, shards = dealt(_tokens(made), block, shuffle_partitions(spark))
+    held = staged(dishes(requests(made, buckets), shards), "dishes", release=True)
     tied = staged(ties(held), "ties", release=True)
     model, sent = fit(held, tied, sweeps)
     trained, types = model.trained, model.types
@@ -555,8 +568,8 @@ def scores(
             [
                 pa.array(r["blocks"], pa.int64()),
                 pa.array(np.full(len(r["blocks"]), r["bucket"]), pa.int32()),
-                _lists(np.r_[0, np.cumsum(r["asked_words"])], pa.array(n)),
-                _lists(np.r_[0, np.cumsum(r["asked_pairs"])], pa.array(log_p)),
+                _parts(n, np.r_[0, np.cumsum(r["asked_words"])]),
+                _parts(log_p.view("<i4"), np.r_[0, np.cumsum(r["asked_pairs"])]),
             ],
             ["block", "bucket", "n", "log_p"],
         )
@@ -565,12 +578,13 @@ def scores(
     for k in last:
         told = told.unionByName(sent[k].where(F.col("kind") == k + 1))
     asked_rows = held.drop("contexts", "ends").groupBy("bucket")
-    answers = asked_rows.cogroup(totals(tied, told).groupBy("bucket")).applyInArrow(answer, "block long, bucket int, n array<bigint>, log_p array<float>")
+    answers = asked_rows.cogroup(totals(tied, told).groupBy("bucket")).applyInArrow(answer, "block long, bucket int, n binary, log_p binary")
     base = np.log10(trained + 0.1 * (types + 1))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         right = right.sort_by("bucket")
-        counts, found = _flat(right, "n"), _flat(right, "log_p").astype(np.float64)
+        counts, found = (np.concatenate(_column(right, c)) for c in ("n", "log_p"))
+        found = found.astype("<i4").view("<f4").astype(np.float64)
         parts = []
         for r in left.to_pylist():
             stream, sizes, words = _stream(r)

@@ -132,3 +132,28 @@ def test_asked_words_and_pairs_rise_by_hash_within_a_bucket():
         asked = [(hashes[w], ids[c]) for w, c in zip(need.pair[a:b], need.context[a:b]) if c != py.START]
         assert asked == sorted(asked)
     assert (np.cumsum(py._steps(ids)) == ids).all()
+
+
+def test_buckets_and_shards_follow_tokens_not_partitions():
+    """Each bucket writes to each shard; with as many as partitions, their messages grow with the square."""
+    assert py.dealt(9_000_000, py.BLOCK, 12) == py.dealt(9_000_000, py.BLOCK, 211) == (9, 9)
+    assert py.dealt(0, py.BLOCK, 211) == (1, 1)
+    assert py.dealt(10 * py.BLOCK + 1, py.BLOCK, 4) == (11, 4)
+
+
+def test_requests_hold_each_word_once_and_follow_buckets(spark, documents):
+    made = py.blocks(documents.repartition(5), "doc_id", "text", 10)
+    tokens = py._tokens(made)
+    assert tokens == sum(sum(r["sizes"]) for r in made.collect())
+    asks = py.requests(made, 3)
+    assert asks.schema["words"].dataType.simpleString() == "binary"
+    held = py.dishes(asks, 2)
+    rows = held.collect()
+    assert len(rows) == 3 and sum(py._unpack(r["n"]).sum() for r in rows) <= tokens
+    opened = held.select("bucket", "ends", "context", "n", "pairs").mapInArrow(py._opened, py.SENT_SCHEMA).count()
+    assert opened <= 3 * (2 * 2 + 1)
+
+
+def test_words_survive_packing():
+    for words in ([b""], [b"", b"a"], [b"a", b"", "\u00fc".encode()]):
+        assert py._unpack_words(py._pack_words(words)) == words
